@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textkiln.llm import jaccard, lattice, mih, mixing, sharding
+from textkiln.llm import bpe, jaccard, lattice, mih, mixing, quality, sharding, tokenbin, urlfilter, warc
+from textkiln.llm.common import fresh_path
 
 #: Target weights of the sources: five tiers.
 MIX_WEIGHTS = {f"src{i}": float(i % 5 + 1) for i in range(20)}
 
+#: Folder of the public tokenizer files; a parameter of every operator that reads one.
+TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+WORD_BPE, BYTE_BPE = f"{TOKENIZERS}/word_bpe_49k.json", f"{TOKENIZERS}/byte_bpe_50k.json"
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -35,11 +42,36 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "source", "n_copies", "copy_no", "shuffle_key", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = warc.write_archives(_table(spark, sf_dir, "pages"), fresh_path(spark, "warc"))
+    return warc.captures(files).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(_table(spark, sf_dir, "documents"), WORD_BPE)
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similarity_groups(_table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_exact_topk, op3_embedding_near_dedup, op4_mixing, op7_ngram_jaccard_join)}
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = tokenbin.write_token_files(_table(spark, sf_dir, "documents"), BYTE_BPE, fresh_path(spark, "ids"))
+    return tokenbin.read_token_files(files, with_ids=False)
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.fit(docs, _table(spark, sf_dir, "labels"))
+    scored = quality.score_column(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_exact_topk, op3_embedding_near_dedup, op4_mixing, op5_warc, op6_bpe, op7_ngram_jaccard_join, op8_url_filter, op9_token_files, op10_quality_classifier)}
 
 _CODES = """codes AS (SELECT vec_id AS id, list_sum(list_transform(range(64), lambda i: CASE WHEN embedding[i + 1] > 0 THEN 1::HUGEINT << i ELSE 0::HUGEINT END))::UBIGINT AS code
   FROM embeddings WHERE len(embedding) >= 64)"""
