@@ -398,7 +398,8 @@ def similarity_groups(docs: DataFrame, *, n: int = 5, percent: int = 80) -> Data
     members = materialize(grouped.join(of_node, "node"), "members")
     split = members.groupBy("grp").agg(F.ceil(F.greatest(F.count("*") / PART_SETS, F.sum("n_grams") / PART_GRAMS)).cast("int").alias("parts"))
     dealt = members.join(split, "grp").withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    with_text = dealt.join(texts.where("doc_id is not null"), dealt["rep"] == texts["doc_id"]).select("grp", "node", "own", "parts", "text")
+    # merge: candidates grow with the documents, so their join is a sort-merge join at every size
+    with_text = dealt.join(texts.where("doc_id is not null").hint("merge"), dealt["rep"] == texts["doc_id"]).select("grp", "node", "own", "parts", "text")
     with_text = with_text.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     keys = ["grp", "lo", "hi"]
     blocks = with_text.select("grp", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "text")
