@@ -1,8 +1,9 @@
 """URL filter: rules by host and path, and for other URLs a naive Bayes model over segmented words.
 
 A unigram model of the pages' words splits concatenated host and path names by Viterbi search ("cheappills" to
-"cheap", "pills"). URLs that a rule decides, and a short list of seed words, train a multinomial naive Bayes
-model over these words, which judges the rest.
+"cheap", "pills"). A multinomial naive Bayes model over these words judges the URLs that no rule decides. Its
+training labels are weak: a URL with a seed word of unwanted URLs, and none of wanted ones, is an example to block,
+any other one to allow. The rules say nothing about words, so their verdicts are not trained on.
 """
 
 from __future__ import annotations
@@ -21,10 +22,10 @@ from textkiln.llm.common import slices
 
 #: Fixed rules: verdict, host, path.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
-#: Seed words of unwanted and wanted URLs; each counts as SEED_WEIGHT training words.
-BLOCK_SEEDS = ("spam", "pills", "cheap", "casino", "poker", "bet", "loan", "xxx", "porn", "adult", "farm", "viagra", "escort", "free", "win", "click")
+#: Seed words of unwanted and wanted URLs, and the weight of each as training words, so that every one is known.
+SEED_WEIGHT = 5
+BLOCK_SEEDS = ("spam", "pills", "cheap", "casino", "poker", "bet", "bets", "ads", "loan", "loans", "xxx", "porn", "adult", "farm", "viagra", "escort", "free", "win", "click")
 ALLOW_SEEDS = ("blog", "news", "wiki", "docs", "forum", "edu", "science", "library", "museum", "article")
-SEED_WEIGHT = 50
 #: Entries of the word model and of the naive Bayes model: the most frequent words of all pages, ties by the word.
 MAX_WORDS, MAX_WORD_LENGTH = 50_000, 24
 
@@ -81,7 +82,7 @@ class Segmenter:
         total = sum(counts.values()) + 1
         self.cost = {w: math.log(total / n) for w, n in counts.items()}
         self.unknown = math.log(total) + 2.0
-        self.longest = max(map(len, counts), default=1)
+        self.longest = MAX_WORD_LENGTH
 
     def split(self, name: str) -> list[str]:
         """Letters by Viterbi search, runs of digits as '0', everything else a border."""
@@ -97,10 +98,7 @@ class Segmenter:
             for start in range(max(0, end - self.longest), end):
                 piece = run[start:end]
                 cost = self.cost.get(piece)
-                if cost is None and (end - start == 1 or end - start == len(run)):
-                    cost = self.unknown + 3.0 * (end - start)
-                if cost is not None:
-                    options.append((best[start] + cost, start))
+                options.append((best[start] + (self.unknown + 3.0 * (end - start) if cost is None else cost), start))
             cost, start = min(options)
             best.append(cost)
             back.append(start)
@@ -118,12 +116,12 @@ def tokens_of(segmenter: Segmenter, host: str, path: str) -> list[str]:
 
 
 class NaiveBayes:
-    """Multinomial, with add-one smoothing. counts: word to (allowed, blocked); docs: numbers of examples."""
+    """Multinomial, with add-one smoothing. counts: word to (allowed, blocked); urls: examples of each."""
 
-    def __init__(self, counts: dict[str, tuple[int, int]], docs: tuple[int, int]):
+    def __init__(self, counts: dict[str, tuple[int, int]], urls: tuple[int, int]):
         size = len(counts) + 1
+        self.prior = math.log((urls[1] + 1) / (urls[0] + 1))
         totals = [sum(c[i] for c in counts.values()) + size for i in (0, 1)]
-        self.prior = math.log((docs[1] + 1) / (docs[0] + 1))
         self.odds = {w: math.log((b + 1) / totals[1]) - math.log((a + 1) / totals[0]) for w, (a, b) in counts.items()}
         self.other = math.log(totals[0] / totals[1])
 
@@ -147,22 +145,24 @@ def judge(pages: DataFrame, *, rules=RULES, key: str = "page_id", url: str = "ur
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: Counter = Counter()
-            for host, path, ruled in zip(*(batch.column(c).to_pylist() for c in ("host", "path", "ruled")), strict=True):
-                seen[None, ruled] += 1
-                seen.update((w, ruled) for w in tokens_of(segmenter, host, path))
-            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in seen], pa.string()), pa.array([r == "block" for _, r in seen]), pa.array(list(seen.values()), pa.int64())], names=["word", "blocked", "n"])
-
-    found = parts.where("ruled is not null").select("host", "path", "ruled").mapInArrow(words, "word string, blocked boolean, n long")
-    sums = found.groupBy("word").agg(F.sum(F.when(~F.col("blocked"), F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("blocked"), F.col("n")).otherwise(0)).alias("b"))
-    docs = next(((r["a"], r["b"]) for r in sums.where("word is null").collect()), (0, 0))
+            for host, path in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True):
+                tokens = tokens_of(segmenter, host, path)
+                bare = {w[2:] for w in tokens}
+                blocked = not bare.isdisjoint(BLOCK_SEEDS) and bare.isdisjoint(ALLOW_SEEDS)
+                seen[None, blocked] += 1
+                seen.update((w, blocked) for w in tokens)
+            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in seen], pa.string()), pa.array([x for _, x in seen], pa.bool_()), pa.array(list(seen.values()), pa.int64())], names=["word", "blocked", "n"])
+
+    found = parts.select("host", "path").mapInArrow(words, "word string, blocked boolean, n long")
+    sums = found.groupBy("word").agg(*[F.coalesce(F.sum(F.when(F.col("blocked") == side, F.col("n"))), F.lit(0)).alias(name) for side, name in ((False, "a"), (True, "b"))])
+    urls = next(((r["a"], r["b"]) for r in sums.where("word is null").collect()), (0, 0))
     top = sums.where("word is not null").orderBy(F.desc(F.col("a") + F.col("b")), "word").limit(most)
     counts = {r["word"]: (r["a"], r["b"]) for r in top.collect()}
     for side, seeds in enumerate((ALLOW_SEEDS, BLOCK_SEEDS)):
-        for w in seeds:
-            for mark in "hp":
-                a, b = counts.get(f"{mark}:{w}", (0, 0))
-                counts[f"{mark}:{w}"] = (a + SEED_WEIGHT * (not side), b + SEED_WEIGHT * side)
-    model = NaiveBayes(counts, docs)
+        for w in (f"{mark}:{w}" for mark in "hp" for w in seeds):
+            a, b = counts.get(w, (0, 0))
+            counts[w] = (a + SEED_WEIGHT * (not side), b + SEED_WEIGHT * side)
+    model = NaiveBayes(counts, urls)
     kind = pages.schema[key].dataType.simpleString()
 
     def verdicts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
