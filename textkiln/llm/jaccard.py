@@ -131,7 +131,7 @@ HITS_DDL = "doc_id long, n_grams long, node long, sig long, class int, need int"
 ENTRY = np.dtype([("node", "<i8"), ("class", "<i4"), ("need", "<i4")])
 
 
-def _sign(batches: Iterator[pa.RecordBatch], n: int, percent: int, parts: int, flush: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def _sign(batches: Iterator[pa.RecordBatch], n: int, percent: int, parts: int, flush: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """Documents to a row each, and to blobs of signatures for each part. Equal sets of one task sign once."""
     tops, seen, entries, sigs, owner, held = _classes(percent), set(), [], [], [], 0
 
@@ -149,7 +149,7 @@ def _sign(batches: Iterator[pa.RecordBatch], n: int, percent: int, parts: int, f
         none = pa.nulls(len(out), pa.int64())
         return batch_of(FACTS, [pa.array(part[cuts[:-1]], pa.int32()), none, none, none, pa.array(out, pa.binary())])
 
-    for batch in slices(batches, "text", 2 << 20):
+    for batch in slices(batches, "text", 1 << 19):
         data, off = _text_buffers(batch.column("text"))
         ids = batch.column("doc_id").to_pylist()
         sizes, nodes = [], []
@@ -360,7 +360,7 @@ def _groups(batches: Iterator[pa.RecordBatch], n: int, percent: int) -> Iterator
             if edges:
                 yield batch_of(LINKS, [list(c) for c in zip(*edges, strict=True)])
 
-    for batch in slices(batches, "text", 2 << 20):
+    for batch in slices(batches, "text", 1 << 19):
         data, off = _text_buffers(batch.column("text"))
         rows = zip(*(batch.column(c).to_pylist() for c in ("grp", "lo", "hi", "own", "node")), gram_sets(data, off, n), strict=True)
         for grp, lo, hi, part, node, grams in rows:
