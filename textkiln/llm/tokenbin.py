@@ -169,7 +169,8 @@ def read_token_files(files: DataFrame, *, with_ids: bool = True) -> DataFrame:
     ``start`` counts the ids of all documents before; ``ids_crc32`` is over little-endian uint32 ids.
     """
     before = F.sum("n_ids").over(Window.orderBy("partition", "file")) - F.col("n_ids")  # one row per file
-    listed = materialize(files.withColumn("start", before).select("path", "start"), "token-starts").repartition("path")
+    listed = materialize(files.withColumn("start", before).select("path", "start"), "token-starts")
+    listed = listed.repartition(max(1, listed.count()), "path")
     fields = [("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())] + [("ids", pa.list_(pa.int32()))] * with_ids
     schema = pa.schema(fields)
 
