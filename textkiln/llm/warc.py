@@ -158,7 +158,8 @@ def read_records(files: DataFrame) -> DataFrame:
                 if rows:
                     yield batch_of(RECORDS, [list(c) for c in zip(*rows, strict=True)])
 
-    return files.select("path").repartition("path").mapInArrow(run, RECORDS_DDL)
+    listed = files.select("path")
+    return listed.repartition(max(1, listed.count()), "path").mapInArrow(run, RECORDS_DDL)
 
 
 def assemble(records: DataFrame) -> DataFrame:
