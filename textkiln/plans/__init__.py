@@ -1 +1,4 @@
+"""Registered queries and their DuckDB SQL."""
 
+from textkiln.plans import scalars
+from textkiln.plans.base import QUERIES, SQL
