@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from textkiln.functions.normalize import collapse
 from textkiln.functions.script import bengali_per_content
 from textkiln.functions.tags import EMOJI_PATTERN
-from textkiln.functions.text import any_of, hits, lines, ngrams, patterns_hit, ratio, strip, words
+from textkiln.functions.text import any_of, hits, lines, ngrams, patterns_hit, strip, words
 
 #: Our own cue lists: ordered tasks with regular expressions over the lower-cased request.
 TASKS = (("creative", r"(poem|story|song|letter|কবিতা|গল্প).{0,40}(write|লিখ)|(write|লিখ).{0,40}(poem|story|song|letter|কবিতা|গল্প)"), ("dialogue", r"dialogue|conversation|সংলাপ|কথোপকথন"), ("translation", r"translat|অনুবাদ"), ("math", r"[+×÷%]|equation|সমীকরণ|যোগ|ভাগ"), ("structured", r"\blist\b|steps|তালিকা|ধাপ|the "), ("advice", r"how |should|কিভাবে|উচিত|পরামর্শ| of "))
@@ -38,10 +38,15 @@ def sentence_count(text: Column) -> Column:
 def repeated_ngrams(text: Column, n: int = 3) -> Column:
     """Share of n-grams that occur more than once, all their occurrences counted; 0 below 3 n words."""
     tokens = words(text)
-    grams = F.array_sort(ngrams(tokens, n))
-    same = lambda i, step: F.coalesce(F.try_element_at(grams, i + step) == F.element_at(grams, i), F.lit(False))
-    count = F.size(F.filter(F.sequence(F.lit(1), F.greatest(F.size(grams), F.lit(1))), lambda i: same(i, 1) | F.when(i > 1, same(i, -1)).otherwise(False)))
-    return F.when(F.size(tokens) < 3 * n, 0.0).otherwise(ratio(count, F.size(grams)))
+    start = F.struct(F.lit("").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("repeated"))
+
+    def step(acc: Column, gram: Column) -> Column:  # over sorted grams: the second of a run brings the first with it
+        same = (acc["run"] > 0) & (acc["last"] == gram)
+        run = F.when(same, acc["run"] + 1).otherwise(1)
+        return F.struct(gram.alias("last"), run.alias("run"), (acc["repeated"] + F.when(same, F.when(acc["run"] == 1, 2).otherwise(1)).otherwise(0)).alias("repeated"))
+
+    count = F.aggregate(F.array_sort(ngrams(tokens, n)), start, step)["repeated"]
+    return F.when(F.size(tokens) < 3 * n, 0.0).otherwise(count / F.greatest(F.size(tokens) - n + 1, F.lit(1)))
 
 
 def repeated_lines(text: Column) -> Column:

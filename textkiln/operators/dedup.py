@@ -26,20 +26,19 @@ def exact_dedup(df: DataFrame, text: str = "text", *order: Column) -> DataFrame:
     return best.select("_row.*")
 
 
-def mod_p61(x: Column) -> Column:
-    """Non-negative bigint modulo 2^61 - 1."""
-    y = x.bitwiseAND(F.lit(P61)) + F.shiftrightunsigned(x, 61)
-    return F.when(y >= P61, y - P61).otherwise(y)
+def mul_mod_p61(a: Column, x: Column) -> Column:
+    """a * x modulo 2^61 - 1 for a, x below it: limbs of 31 bits, so no product or sum reaches 2^63."""
+    low31, low30 = F.lit((1 << 31) - 1), F.lit((1 << 30) - 1)
+    a1, a0 = F.shiftright(a, 31), a.bitwiseAND(low31)
+    x1, x0 = F.shiftright(x, 31), x.bitwiseAND(low31)
+    middle = (a1 * x0 + a0 * x1) % P61  # its 2^61 = 1, so times 2^31 is a rotation
+    shifted = F.shiftleft(middle.bitwiseAND(low30), 31) + F.shiftright(middle, 30)
+    return (a1 * x1 * 2 + shifted + (a0 * x0) % P61) % P61
 
 
-def mul_mod_p61(a: Column, x: Column) -> Column:
-    """a * x modulo 2^61 - 1 for a, x below it: 31-bit limbs, so no product overflows."""
-    a1, a0 = F.shiftright(a, 31), a.bitwiseAND(F.lit((1 << 31) - 1))
-    x1, x0 = F.shiftright(x, 31), x.bitwiseAND(F.lit((1 << 31) - 1))
-    middle = mod_p61(mod_p61(a1 * x0) + mod_p61(a0 * x1))
-    high = mod_p61(a1 * x1 * 2)  # 2^62 = 2
-    shifted = mod_p61(F.shiftleft(middle.bitwiseAND(F.lit((1 << 30) - 1)), 31) + F.shiftright(middle, 30))  # middle * 2^31
-    return mod_p61(mod_p61(high + shifted) + mod_p61(a0 * x0))
+def reduce_p61(x: Column) -> Column:
+    """An unsigned 64-bit value, held in a bigint, modulo 2^61 - 1."""
+    return (x.bitwiseAND(F.lit(P61)) + F.shiftrightunsigned(x, 61)) % P61
 
 
 def word_shingles(text: Column, n: int = 5) -> Column:
@@ -74,7 +73,7 @@ def permutations(n: int, seed: int = 1) -> list[tuple[int, int]]:
 def minhash(shingles: Column, perms: list[tuple[int, int]], hashed: Column | None = None) -> Column:
     """Signature: for each permutation the least ((a x + b) mod P) mod 2^32 over the shingles' hashes."""
     x = hashed if hashed is not None else F.transform(shingles, hash60)
-    one = lambda a, b: F.array_min(F.transform(x, lambda v: mod_p61(mul_mod_p61(F.lit(a), v) + F.lit(b)).bitwiseAND(F.lit(MASK32))))
+    one = lambda a, b: F.array_min(F.transform(x, lambda v: ((mul_mod_p61(F.lit(a), v) + F.lit(b)) % P61).bitwiseAND(F.lit(MASK32))))
     return F.array(*[one(a, b) for a, b in perms])
 
 
