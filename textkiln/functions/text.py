@@ -15,6 +15,11 @@ def sub(text: Column, pattern: str, to: str = "") -> Column:
     return F.regexp_replace(text, pattern, to)
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with the value computed once per row, however often body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def strip(text: Column) -> Column:
     return sub(text, r"^\s+|\s+$")
 
@@ -45,7 +50,8 @@ def count_in(tokens: Column, values) -> Column:
 
 def ngrams(tokens: Column, n: int) -> Column:
     """Consecutive n-grams joined by a space; none for fewer tokens."""
-    return F.when(F.size(tokens) >= n, F.transform(F.sequence(F.lit(1), F.size(tokens) - n + 1), lambda i: F.array_join(F.slice(tokens, i, n), " "))).otherwise(F.array().cast("array<string>"))
+    none = F.array().cast("array<string>")
+    return let(tokens, lambda t: F.when(F.size(t) >= n, F.transform(F.sequence(F.lit(1), F.size(t) - n + 1), lambda i: F.array_join(F.slice(t, i, n), " "))).otherwise(none))
 
 
 def any_of(text: Column, patterns) -> Column:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textkiln.functions.text import ngrams, words
+from textkiln.functions.text import let, ngrams, words
 
 #: The Mersenne prime 2^61 - 1 of the permutations, and the bits of a signature value.
 P61 = (1 << 61) - 1
@@ -43,8 +43,8 @@ def reduce_p61(x: Column) -> Column:
 
 def word_shingles(text: Column, n: int = 5) -> Column:
     """Distinct word n-grams; a shorter text is one shingle of all its words."""
-    tokens = words(text)
-    return F.array_distinct(F.when(F.size(tokens) < n, F.array(F.array_join(tokens, " "))).otherwise(ngrams(tokens, n)))
+    short = lambda t: F.array(F.array_join(t, " "))
+    return let(words(text), lambda t: F.array_distinct(F.when(F.size(t) < n, short(t)).otherwise(ngrams(t, n))))
 
 
 def char_shingles(text: Column, n: int = 5) -> Column:

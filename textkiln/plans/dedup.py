@@ -50,10 +50,11 @@ def distinct_pairs(spark, d):
     return table(spark, d, "conversations").select("role", F.md5("text").alias("text_md5")).dropDuplicates(["role", "text_md5"])
 
 
-_SH5 = f"CASE WHEN len({WS}) < 5 THEN [array_to_string({WS}, ' ')] ELSE list_distinct(list_transform(range(1, len({WS}) - 3), lambda i: array_to_string({WS}[i:i + 4], ' '))) END"
+_WD = f"wd AS (SELECT doc_id, {WS} AS w FROM documents)"
+_SH5 = "CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END"
 
 
-@query(f"SELECT doc_id, len({_SH5})::INTEGER AS n, md5(array_to_string(list_sort({_SH5}), '|')) AS shingles_md5 FROM documents")
+@query(f"WITH {_WD}, s AS (SELECT doc_id, {_SH5} AS s FROM wd) SELECT doc_id, len(s)::INTEGER AS n, md5(array_to_string(list_sort(s), '|')) AS shingles_md5 FROM s")
 def word_shingles(spark, d):
     s = D.word_shingles(T())
     return _docs(spark, d).select("doc_id", F.size(s).alias("n"), F.md5(F.array_join(F.array_sort(s), "|")).alias("shingles_md5"))
@@ -65,11 +66,11 @@ def char_shingles(spark, d):
 
 
 _PERMS_SQL = "perms(k, a, b) AS (VALUES " + ", ".join(f"({i}, {a}::HUGEINT, {b}::HUGEINT)" for i, (a, b) in enumerate(PERMS)) + ")"
-_SIG = f"""sh AS (SELECT doc_id, unnest({_SH5}) AS s FROM documents), x AS (SELECT doc_id, ('0x' || substr(md5(s), 1, 15))::HUGEINT AS x FROM sh), {_PERMS_SQL},
+_SIG = f"""{_WD}, sh AS (SELECT doc_id, unnest({_SH5}) AS s FROM wd), x AS (SELECT doc_id, ('0x' || substr(md5(s), 1, 15))::HUGEINT AS x FROM sh), {_PERMS_SQL},
 sig AS (SELECT doc_id, k, min(((a * x + b) % {D.P61}::HUGEINT) % 4294967296)::BIGINT AS v FROM x, perms GROUP BY doc_id, k)"""
 _SLICES = f"slices AS (SELECT doc_id, k // {ROWS} AS band, string_agg(v::VARCHAR, '-' ORDER BY k) AS slice FROM sig GROUP BY doc_id, k // {ROWS})"
 _EDGES = "edges AS (SELECT DISTINCT s.doc_id AS a, m.b FROM slices s JOIN (SELECT band, slice, min(doc_id) AS b FROM slices GROUP BY band, slice) m USING (band, slice) WHERE s.doc_id <> m.b)"
-_COMP = "both AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges), reach AS (SELECT a AS s, a AS t FROM both UNION SELECT r.s, l.b FROM reach r JOIN both l ON r.t = l.a), comp AS (SELECT s AS node, min(t) AS component FROM reach GROUP BY s)"
+_COMP = "bi AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges), reach AS (SELECT a AS s, a AS t FROM bi UNION SELECT r.s, l.b FROM reach r JOIN bi l ON r.t = l.a), comp AS (SELECT s AS node, min(t) AS component FROM reach GROUP BY s)"
 
 
 def _signatures(spark, d):
