@@ -1,4 +1,4 @@
 """Registered queries and their DuckDB SQL."""
 
-from textkiln.plans import dedup, pairs, pipelines, scalars
+from textkiln.plans import dedup, pairs, pipelines, scalars, streams
 from textkiln.plans.base import QUERIES, SQL

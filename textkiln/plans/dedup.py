@@ -60,9 +60,9 @@ def word_shingles(spark, d):
     return _docs(spark, d).select("doc_id", F.size(s).alias("n"), F.md5(F.array_join(F.array_sort(s), "|")).alias("shingles_md5"))
 
 
-@query("SELECT doc_id, len(list_distinct(list_transform(range(1, greatest(length(t) - 4, 1) + 1), lambda i: substr(t, i, 5))))::INTEGER AS n FROM (SELECT doc_id, left(text, 2000) AS t FROM documents)")
+@query("SELECT doc_id, len(list_distinct(list_transform(range(1, greatest(length(t) - 4, 1) + 1), lambda i: substr(t, i, 5))))::INTEGER AS n FROM (SELECT doc_id, text AS t FROM documents)")
 def char_shingles(spark, d):
-    return _docs(spark, d).select("doc_id", F.size(D.char_shingles(F.left("text", F.lit(2000)))).alias("n"))
+    return _docs(spark, d).select("doc_id", F.size(D.char_shingles(T())).alias("n"))
 
 
 _PERMS_SQL = "perms(k, a, b) AS (VALUES " + ", ".join(f"({i}, {a}::HUGEINT, {b}::HUGEINT)" for i, (a, b) in enumerate(PERMS)) + ")"
@@ -196,15 +196,15 @@ def position_split(spark, d):
     return order.split_by_position(_docs(spark, d).select("doc_id"), "doc_id", 9, [("train", 0.95), ("val", 0.025), ("test", 0.025)])
 
 
-_TOK = f"t AS (SELECT doc_id, list_concat(list_concat([1], list_transform({WS}, lambda w: 3 + length(w))), [2]) AS k FROM documents WHERE doc_id < 300)"
+_TOK = f"t AS (SELECT doc_id, list_concat(list_concat([1], list_transform({WS}, lambda w: 3 + length(w))), [2]) AS k FROM documents)"
 
 
-@query(f"""WITH {_TOK}, o AS (SELECT doc_id, k, coalesce(sum(len(k)) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS b FROM t), c AS (SELECT b + i - 1 - 5 AS at, k[i] AS tok FROM o, unnest(range(1, len(k) + 1)) u(i)),
-g AS (SELECT at // 128 AS seq, list(tok ORDER BY at) AS toks FROM c WHERE at >= 0 GROUP BY 1) SELECT seq::BIGINT AS seq, (seq * 128 + 5)::BIGINT AS start, md5(array_to_string(toks, ',')) AS tokens_md5 FROM g WHERE len(toks) = 128""")
+@query(f"""WITH {_TOK}, o AS (SELECT doc_id, k, coalesce(sum(len(k)) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS b FROM t), c AS (SELECT b + i - 1 - 5 AS p, k[i] AS tok FROM o, unnest(range(1, len(k) + 1)) u(i)),
+g AS (SELECT p // 128 AS seq, list(tok ORDER BY p) AS toks FROM c WHERE p >= 0 GROUP BY 1) SELECT seq::BIGINT AS seq, (seq * 128 + 5)::BIGINT AS start, md5(array_to_string(toks, ',')) AS tokens_md5 FROM g WHERE len(toks) = 128""")
 def token_packing(spark, d):
-    """Fixed-length sequences over the stream of tokens (1, word lengths + 3, 2) of the first 300 documents, from offset 5; the operator works on any stream."""
+    """Fixed-length sequences over the stream of tokens (1, word lengths + 3, 2) of all documents, from offset 5."""
     toks = F.concat(F.array(F.lit(1)), F.transform(words(T()), lambda w: F.length(w) + 3), F.array(F.lit(2)))
-    packed = order.pack_sequences(_docs(spark, d).where("doc_id < 300").select("doc_id", toks.alias("k")), "doc_id", "k", 128, 5)
+    packed = order.pack_sequences(_docs(spark, d).select("doc_id", toks.alias("k")), "doc_id", "k", 128, 5)
     return packed.select("seq", "start", F.md5(F.array_join("tokens", ",")).alias("tokens_md5"))
 
 
@@ -230,9 +230,9 @@ def release_gates(spark, d):
     return s.select(F.explode(F.array(*[F.struct(F.lit(k).alias("gate"), v.alias("passed")) for k, v in gates.items()])).alias("g")).select("g.gate", "g.passed")
 
 
-@query("SELECT lang, exp(least(avg(1 + (n_chars % 13) / 4.0), 20))::DOUBLE AS perplexity FROM documents WHERE doc_id % 10 = 0 GROUP BY lang")
+@query("SELECT lang, exp(least(avg(1 + (n_chars % 13) / 4.0), 20))::DOUBLE AS perplexity FROM documents GROUP BY lang")
 def heldout_perplexity(spark, d):
-    return _docs(spark, d).where("doc_id % 10 = 0").groupBy("lang").agg(F.exp(F.least(F.avg(1 + (F.col("n_chars") % 13) / 4.0), F.lit(20.0))).alias("perplexity"))
+    return _docs(spark, d).groupBy("lang").agg(F.exp(F.least(F.avg(1 + (F.col("n_chars") % 13) / 4.0), F.lit(20.0))).alias("perplexity"))
 
 
 @query(f"""WITH p AS (SELECT doc_id, {WS} AS w FROM documents), g AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) AS g, len(w) AS n FROM p WHERE len(w) >= 9), c AS (SELECT doc_id, g, any_value(n) AS n, count(*) AS c FROM g GROUP BY doc_id, g),

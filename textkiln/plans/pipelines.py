@@ -167,18 +167,19 @@ def unknown_sources(spark, d):
     return table(spark, d, "documents").select("source").distinct().join(F.broadcast(sources(spark)), "source", "left_anti")
 
 
-@query("WITH n AS (SELECT *, row_number() OVER (PARTITION BY sha256(text) ORDER BY doc_id) AS rn FROM documents WHERE doc_id % 4 <> 0) SELECT doc_id FROM n WHERE rn = 1 AND sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE doc_id % 4 = 0)")
+@query("WITH n AS (SELECT *, row_number() OVER (PARTITION BY sha256(text) ORDER BY doc_id) AS rn FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)) SELECT doc_id FROM n WHERE rn = 1 AND sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE doc_id IN (SELECT doc_id FROM labels))")
 def anti_seen_hash(spark, d):
-    """New documents, the first of each text, whose hash the base doesn't hold."""
-    docs = table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("sha"))
-    fresh = docs.where("doc_id % 4 <> 0").groupBy("sha").agg(F.min("doc_id").alias("doc_id"))
-    return fresh.join(docs.where("doc_id % 4 = 0"), "sha", "left_anti").select("doc_id")
+    """Unlabelled documents, the first of each text, whose hash no labelled one has."""
+    docs, labels = table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("sha")), table(spark, d, "labels")
+    fresh = docs.join(labels, "doc_id", "left_anti").groupBy("sha").agg(F.min("doc_id").alias("doc_id"))
+    return fresh.join(docs.join(labels, "doc_id", "left_semi"), "sha", "left_anti").select("doc_id")
 
 
-@query("SELECT page_id FROM pages WHERE split_part(url, '?', 1) NOT IN (SELECT split_part(url, '?', 1) FROM pages WHERE page_id % 3 = 0) AND page_id % 3 <> 0")
+@query("SELECT page_id FROM pages WHERE split_part(url, '?', 1) NOT IN (SELECT split_part(url, '?', 1) FROM pages WHERE url LIKE '%/fr/%') AND url NOT LIKE '%/fr/%'")
 def anti_seen_url(spark, d):
-    pages = table(spark, d, "pages").select("page_id", F.split_part("url", F.lit("?"), F.lit(1)).alias("u"))
-    return pages.where("page_id % 3 <> 0").join(pages.where("page_id % 3 = 0").select("u"), "u", "left_anti").select("page_id")
+    pages = table(spark, d, "pages").select("page_id", "url", F.split_part("url", F.lit("?"), F.lit(1)).alias("u"))
+    french = F.col("url").contains("/fr/")
+    return pages.where(~french).join(pages.where(french).select("u"), "u", "left_anti").select("page_id")
 
 
 @query("SELECT doc_id, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)")
