@@ -1,46 +1,17 @@
-"""Helpers shared by the operators: the shared folder, lineage cuts, hashing and batch plumbing."""
+"""Helpers shared by the operators: hashing and batch plumbing."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
 
 #: Fixed constants of the splitmix64 finaliser.
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
-
-    Where it is unset a local session gets a temporary folder; a cluster session must name one.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    made = "file://" + tempfile.mkdtemp(prefix="textkiln-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a table in the shared folder and read it back: cuts lineage, survives lost executors."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def splitmix(x: np.ndarray) -> np.ndarray:
     """64-bit finaliser, elementwise; wraps modulo 2**64."""
     x = (x ^ (x >> np.uint64(30))) * MIX_A

@@ -18,8 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textkiln.llm.common import GOLDEN, batch_of, materialize, slices, splitmix
-from textkiln.llm.components import components
+from textkiln.llm.common import GOLDEN, batch_of, slices, splitmix
+from textkiln.operators.graph import components
+from textkiln.operators.storage import materialize
 
 #: Growth from one class of set sizes to the next.
 RATIO = 1.25

@@ -16,8 +16,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textkiln.llm.common import GOLDEN, batch_of, materialize, splitmix
-from textkiln.llm.components import components
+from textkiln.llm.common import GOLDEN, batch_of, splitmix
+from textkiln.operators.graph import components
+from textkiln.operators.storage import materialize
 
 #: Tables, neighbouring cells probed in each, and the scale of the projections: measured in tests/llm/test_lattice.py.
 TABLES, PROBES, SCALE = 4, 2, 2.1

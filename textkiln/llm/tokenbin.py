@@ -16,9 +16,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textkiln.llm.common import batch_of, fresh_path, materialize, slices
+from textkiln.llm.common import batch_of, slices
 from textkiln.llm.files import atomic_writer, reader
 from textkiln.llm.words import encoder
+from textkiln.operators.storage import fresh_path, materialize
 
 MAGIC = b"TKRP0001"
 #: Rounds of replacement, pairs replaced in a round, and the least count of a pair worth a rule.

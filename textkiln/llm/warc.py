@@ -18,8 +18,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textkiln.llm.common import batch_of, materialize, slices
+from textkiln.llm.common import batch_of, slices
 from textkiln.llm.files import atomic_writer, reader
+from textkiln.operators.storage import materialize
 
 SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 DATE = "2024-01-01T00:00:00Z"
