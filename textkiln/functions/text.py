@@ -11,6 +11,11 @@ def hits(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern))
 
 
+def chars(text: Column, kind: str) -> Column:
+    """Characters of the class ``kind``: runs are cut out and the lengths compared, which builds no list of matches."""
+    return F.length(text) - F.length(F.regexp_replace(text, f"{kind}+", ""))
+
+
 def sub(text: Column, pattern: str, to: str = "") -> Column:
     return F.regexp_replace(text, pattern, to)
 

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textkiln.operators.storage import spread
+
 #: Fixed letter maps of the projection to Bengali, Assamese and Devanagari letters.
 LATIN = "abcdefghijklmnopqrstuvwxyzàâäáéèêëíîïìóôöòúùûüñçßœæãõ."
 BENGALI = "অবচদএফগহিজকলমনোপখরসতুভধষণঝ" + "আ" * 27 + "।"
@@ -46,7 +48,8 @@ def query(sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in ("documents", "pages") else df
 
 
 def bn(spark: SparkSession, sf_dir: str) -> DataFrame:
