@@ -9,6 +9,7 @@ from textkiln.functions import sft as P
 from textkiln.functions.text import ngrams, words
 from textkiln.operators import dedup as D
 from textkiln.operators import graph, order
+from textkiln.operators.storage import materialize
 from textkiln.plans.base import SOURCES_SQL, query, sources, table
 from textkiln.plans.base import text as T
 from textkiln.plans.scalars import WS
@@ -76,7 +77,7 @@ _COMP = "bi AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges), reach AS (
 def _signatures(spark, d):
     hashed = F.transform(F.col("shingles"), D.hash60)
     rows = _docs(spark, d).select("doc_id", "source", "n_chars", D.word_shingles(T()).alias("shingles")).withColumn("x", hashed)
-    return rows.select("doc_id", "source", "n_chars", D.minhash(F.col("shingles"), PERMS, F.col("x")).alias("sig"))
+    return materialize(rows.select("doc_id", "source", "n_chars", D.minhash(F.col("shingles"), PERMS, F.col("x")).alias("sig")), "signatures")
 
 
 @query(f"WITH {_SIG} SELECT doc_id, string_agg(v::VARCHAR, ',' ORDER BY k) AS sig FROM sig GROUP BY doc_id")

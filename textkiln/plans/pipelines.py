@@ -56,10 +56,12 @@ m AS (SELECT source, doc_id, text, CASE WHEN st <> 'ok' THEN st ELSE 'ok' END AS
 
 
 def merge_status(docs: DataFrame) -> DataFrame:
-    """docs with status: short, ratio, dedup or kept."""
+    """docs, with bytes for their texts, and status: short, ratio, dedup or kept. Only hashes are shuffled."""
     staged = docs.withColumn("st", F.when(F.length("text") < 100, "short").when(S.bengali_per_visible(T()) < 0.3, "ratio").otherwise("ok"))
-    ok = staged.where("st = 'ok'").withColumn("status", F.when(F.row_number().over(Window.partitionBy(F.sha2("text", 256)).orderBy("doc_id")) == 1, "kept").otherwise("dedup"))
-    return staged.where("st <> 'ok'").withColumn("status", F.col("st")).unionByName(ok).drop("st")
+    staged = staged.withColumns({"sha": F.sha2("text", 256), "bytes": F.octet_length("text")}).drop("text")
+    rank = F.row_number().over(Window.partitionBy("st", "sha").orderBy("doc_id"))
+    status = F.when(F.col("st") != "ok", F.col("st")).when(rank == 1, "kept").otherwise("dedup")
+    return staged.withColumn("status", status).drop("st", "sha")
 
 
 @query(_MERGE + " SELECT doc_id, status FROM m")
@@ -70,7 +72,7 @@ def merge_statuses(spark, d):
 @query(_MERGE + " SELECT source, count(*) AS n_read, count(*) FILTER (status = 'kept') AS kept, count(*) FILTER (status = 'short') AS short, count(*) FILTER (status = 'ratio') AS ratio, count(*) FILTER (status = 'dedup') AS dedup, coalesce(sum(strlen(text)) FILTER (status = 'kept'), 0)::BIGINT AS bytes FROM m GROUP BY source")
 def merge_stats(spark, d):
     counts = [F.count_if(F.col("status") == s).alias(s) for s in ("kept", "short", "ratio", "dedup")]
-    return merge_status(bn(spark, d)).groupBy("source").agg(F.count("*").alias("n_read"), *counts, F.coalesce(F.sum(F.when(F.col("status") == "kept", F.octet_length("text"))), F.lit(0)).alias("bytes"))
+    return merge_status(bn(spark, d)).groupBy("source").agg(F.count("*").alias("n_read"), *counts, F.coalesce(F.sum(F.when(F.col("status") == "kept", F.col("bytes"))), F.lit(0)).alias("bytes"))
 
 
 @query(f"""WITH {BN}, {COUNTS}, {ROUTE} SELECT r.doc_id, CASE WHEN bn.source = 'src5' THEN CASE WHEN length({STRIP('bn.text')}) >= 20 THEN 'banglish' ELSE 'reject' END ELSE split_part(v, ':', 1) END AS track FROM routed r JOIN bn USING (doc_id)""")
