@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textkiln.llm.common import slices
+from textkiln.operators.storage import materialize
 
 #: Fixed rules: verdict, host, path.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
@@ -72,7 +73,8 @@ def count_words(pages: DataFrame, text: str = "html", most: int = MAX_WORDS) ->
             yield give()
 
     counts = pages.select(text).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return {r["word"]: r["n"] for r in counts.orderBy(F.desc("n"), "word").limit(most).collect()}
+    top = materialize(counts.orderBy(F.desc("n"), "word").limit(most), "words")  # merged on an executor: the driver gets ``most`` rows at most
+    return {r["word"]: r["n"] for r in top.collect()}
 
 
 class Segmenter:
@@ -156,7 +158,8 @@ def judge(pages: DataFrame, *, rules=RULES, key: str = "page_id", url: str = "ur
     found = parts.select("host", "path").mapInArrow(words, "word string, blocked boolean, n long")
     sums = found.groupBy("word").agg(*[F.coalesce(F.sum(F.when(F.col("blocked") == side, F.col("n"))), F.lit(0)).alias(name) for side, name in ((False, "a"), (True, "b"))])
     urls = next(((r["a"], r["b"]) for r in sums.where("word is null").collect()), (0, 0))
-    top = sums.where("word is not null").orderBy(F.desc(F.col("a") + F.col("b")), "word").limit(most)
+    sums = materialize(sums, "url-words")
+    top = materialize(sums.where("word is not null").orderBy(F.desc(F.col("a") + F.col("b")), "word").limit(most), "url-words")
     counts = {r["word"]: (r["a"], r["b"]) for r in top.collect()}
     for side, seeds in enumerate((ALLOW_SEEDS, BLOCK_SEEDS)):
         for w in (f"{mark}:{w}" for mark in "hp" for w in seeds):
