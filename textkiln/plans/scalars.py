@@ -149,7 +149,7 @@ def dialect(spark, d):
     return bn(spark, d).select("doc_id", G.dialect(T()).alias("d")).select("doc_id", "d.dialect", "d.score")
 
 
-@query(f"""WITH {BN}, s AS (SELECT doc_id, concat(text, ' করিয়া হইল, তাহার সহিত বলিলেন।') AS text FROM bn WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, text FROM bn WHERE doc_id % 2 <> 0),
+@query(f"""WITH {BN}, s AS (SELECT doc_id, nfc_normalize(concat(text, ' করিয়া হইল, তাহার সহিত বলিলেন।')) AS text FROM bn WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, text FROM bn WHERE doc_id % 2 <> 0),
 t AS (SELECT doc_id, unnest(list_filter(list_transform(string_split_regex(text, '\\s+'), lambda w: regexp_replace(w, '^[{G.SADHU_STRIP.replace("'", "''")}]+|[{G.SADHU_STRIP.replace("'", "''")}]+$', '', 'g')), lambda w: regexp_matches(w, '{R.one_of(R.BENGALI)}'))) AS t FROM s),
 c AS (SELECT doc_id, concat(CASE WHEN starts_with(t, 'হই') AND length(t) >= 4 THEN 'a' ELSE '' END, CASE WHEN contains(t, 'িয়াছ') THEN 'b' ELSE '' END, CASE WHEN contains(t, 'িতেছ') THEN 'c' ELSE '' END, CASE WHEN contains(t, 'িবার') THEN 'd' ELSE '' END,
  CASE WHEN t LIKE '%িয়া' AND length(t) >= 5 AND t NOT IN ({_in(G.NOT_PARTICIPLES)}) THEN 'e' ELSE '' END, CASE WHEN (t LIKE '%িলেন' OR t LIKE '%িলাম') AND t NOT IN ({_in(G.NOT_FINITE)}) THEN 'f' ELSE '' END,

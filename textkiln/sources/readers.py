@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textkiln.functions.normalize import strip_wikitext
+from textkiln.functions.text import strip
 
 #: A document of profile A; fields that a line lacks are null.
 DOCUMENT = T.StructType([T.StructField(n, t) for n, t in (("id", T.StringType()), ("text", T.StringType()), ("source", T.StringType()), ("url", T.StringType()), ("title", T.StringType()), ("timestamp", T.StringType()), ("lang", T.StringType()), ("lang_score", T.DoubleType()), ("char_count", T.LongType()), ("metadata", T.MapType(T.StringType(), T.StringType())))])
@@ -39,7 +40,7 @@ def read_parquet_text(spark: SparkSession, path: str, field: str | None = None,
 
 def read_blank_separated(spark: SparkSession, path: str) -> DataFrame:
     """Documents parted by blank lines."""
-    return spark.read.option("lineSep", "\n\n").text(path).select(F.trim(F.col("value")).alias("text")).where("text <> ''")
+    return spark.read.option("lineSep", "\n\n").text(path).select(strip(F.col("value")).alias("text")).where("text <> ''")
 
 
 def read_mediawiki(spark: SparkSession, path: str, shortest: int = 200, namespaces: tuple[int, ...] = (0,)) -> DataFrame:
@@ -62,12 +63,8 @@ def read_seeds(spark: SparkSession, path: str) -> DataFrame:
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """Little-endian uint16 token files: path, tokens."""
     import numpy as np
-    import pandas as pd
-
-    @F.pandas_udf("array<int>")
-    def parse(raw: pd.Series) -> pd.Series:
-        return raw.map(lambda b: np.frombuffer(b, "<u2").astype("int32").tolist())
 
+    parse = F.pandas_udf(lambda raw: raw.map(lambda b: np.frombuffer(b, "<u2").astype("int32").tolist()), "array<int>")
     return spark.read.format("binaryFile").load(path).select("path", parse("content").alias("tokens"))
 
 
