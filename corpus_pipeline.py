@@ -17,13 +17,16 @@ REJECT_BELOW = 0.3
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps what the compression classifier, fitted on the labelled rows of ``docs``, doesn't reject."""
+    """Keeps what the compression classifier, fitted on the labelled rows of ``docs``, doesn't reject; null and empty texts are judged by the score of no text."""
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.score_column(docs, model, name="_tk_score").where(F.col("_tk_score") >= REJECT_BELOW).select(*COLUMNS)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, that with the smallest doc_id, of each group linked by 5-word shingles with similarity 0.8 or more."""
+    """Keeps one document, that with the smallest doc_id, of each group linked by 5-word shingles with similarity 0.8 or more.
+
+    Rows of a null id link with nothing and stay; rows that repeat the kept id stay with it.
+    """
     groups = jaccard.similarity_groups(docs, n=5, percent=80).where("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.join(groups, "doc_id", "left_anti")
     return kept.select(*COLUMNS)
