@@ -15,7 +15,7 @@ def _star(edges: DataFrame, small: bool) -> DataFrame:
     else:
         pairs = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = pairs.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-    joined = pairs.join(least, "a")
+    joined = pairs.join(materialize(least, "least"), "a")  # as a table: the edges of a hot node can be split as a skewed join
     if small:
         out = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(joined.select("a", F.col("m").alias("b")))
     else:
