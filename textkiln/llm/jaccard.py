@@ -393,7 +393,9 @@ def similarity_groups(docs: DataFrame, *, n: int = 5, percent: int = 80) -> Data
     hits = facts.where("sig is not null").select("node", "sig", "class", "need")
     able = hits.groupBy("node", "class").agg(F.count("*").alias("n"), F.min("need").alias("need")).where("n >= need").select("node", "class")
     kept = hits.join(able, ["node", "class"]).select("sig", "node")
-    star = kept.join(kept.groupBy("sig").agg(F.min("node").alias("center")), "sig").select(F.col("node").alias("a"), F.col("center").alias("b"))
+    # least members are tables of their own: a join with an aggregate of the same stage isn't split where a key is hot
+    center = materialize(kept.groupBy("sig").agg(F.min("node").alias("center")), "centers")
+    star = kept.join(center, "sig").select(F.col("node").alias("a"), F.col("center").alias("b"))
     grouped = components(star).withColumnRenamed("component", "grp")
     of_node = rows.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n_grams").alias("n_grams"))
     members = materialize(grouped.join(of_node, "node"), "members")
@@ -408,7 +410,7 @@ def similarity_groups(docs: DataFrame, *, n: int = 5, percent: int = 80) -> Data
     links = blocks.mapInArrow(lambda it: _groups(it, n, percent), "a long, b long")
     comp = components(links)
     labelled = rows.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = labelled.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
+    least = materialize(labelled.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least")), "least")
     out = labelled.join(least, "component", "left")
     component_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id"))
     return out.select("doc_id", F.col("n_grams").alias("n_shingles"), component_id.alias("component_id"))
