@@ -20,7 +20,7 @@ from textkiln.llm.common import GOLDEN, batch_of, splitmix
 from textkiln.operators.graph import components
 from textkiln.operators.storage import materialize
 
-#: Tables, neighbouring cells probed in each, and the scale of the projections: measured in tests/llm/test_lattice.py.
+#: Tables, neighbouring cells probed in each, and the scale of the projections: recall is measured in tests/llm/test_operators.py.
 TABLES, PROBES, SCALE = 4, 2, 2.1
 #: Rows of a cell that one task compares at a time; larger cells are split into pairs of parts.
 PART_ROWS = 1024
