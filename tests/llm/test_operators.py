@@ -390,3 +390,32 @@ def test_quality_learns_and_holds_out(spark):
     flipped = known.withColumn("quality", F.when(quality.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
     assert quality.fit(docs, flipped) == model  # held-out labels change nothing
     assert quality.score_column(empty(spark), quality.fit(empty(spark), known)).count() == 0
+
+
+def test_calibration_converges_on_imbalanced_nearly_separable_rows():
+    for seed in range(20):
+        rng = np.random.default_rng(seed)
+        y = (np.arange(3000) % 7 > 0).astype(float)
+        v = np.where(y > 0, 0.05, -0.05) + 0.012 * rng.standard_normal(3000)
+        v[:3] *= -1  # a few on the wrong side
+        ratio = 0.4 + 0.05 * rng.standard_normal(3000) + np.where(rng.random(3000) < 0.01, 1.0, 0.0)
+        x = np.stack([np.ones(3000), v, ratio, ratio * ratio, rng.uniform(4, 9, 3000)], 1)
+        w = np.array(quality.calibrate(x, y))
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))
+        assert np.mean(p[y == 0] < 0.3) > 0.99 and np.mean(p[y == 1] >= 0.3) > 0.99
+        spread = np.where(x.std(0) > 0, x.std(0), 1)
+        mean = np.where(x.std(0) > 0, x.mean(0), 0)
+        u = np.concatenate([[w[0] + w[1:] @ mean[1:]], w[1:] * spread[1:]])
+        assert np.abs(((x - mean) / spread).T @ (y - p) - 1e-2 * u).max() < 1e-3  # the gradient of the penalised loss
+    with pytest.raises(ValueError):
+        quality.calibrate(x, y, rounds=1)
+    assert all(np.isfinite(quality.calibrate(x, np.ones(3000))))
+
+
+def test_quality_converges_on_the_largest_table(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))  # 2706 good and 449 bad rows train
+    model = quality.fit(docs, labels)
+    held = labels.where(quality.held_out(F.col("doc_id"))).select("doc_id", "quality")
+    rows = quality.score_column(docs.select("doc_id", "text").join(held, "doc_id"), model).select("quality", "score").collect()
+    for label in (0, 1):
+        assert np.mean([(r["score"] >= 0.3) == label for r in rows if r["quality"] == label]) > 0.9

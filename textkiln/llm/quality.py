@@ -70,18 +70,34 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -35, 35))))
 
 
-def calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> tuple[float, ...]:
-    """Logistic weights by Newton's method."""
+def calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 200) -> tuple[float, ...]:
+    """Logistic weights by Newton's method, each step halved until the penalised loss falls; an error if it doesn't converge."""
     mean, spread = x.mean(0), x.std(0)
     spread[spread == 0] = 1
     mean[0], spread[0] = 0, 1
     s, w = (x - mean) / spread, np.zeros(x.shape[1])
+
+    def loss(w: np.ndarray) -> float:
+        z = s @ w
+        return float((np.logaddexp(0, z) - y * z).sum() + ridge / 2 * (w @ w))
+
+    held = loss(w)
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(s @ w, -35, 35)))
-        step = np.linalg.solve((s * (p * (1 - p))[:, None]).T @ s + ridge * np.eye(len(w)), s.T @ (y - p) - ridge * w)
-        w += step
-        if np.abs(step).max() < 1e-9:
+        p = np.exp(-np.logaddexp(0, -(s @ w)))
+        down = s.T @ (y - p) - ridge * w
+        step = np.linalg.solve((s * (p * (1 - p))[:, None]).T @ s + ridge * np.eye(len(w)), down)
+        gain = float(down @ step)
+        if gain <= 1e-10 * (1 + held):
             break
+        size = 1.0
+        while not (new := loss(w + size * step)) <= held - 1e-4 * size * gain:
+            size /= 2
+            if size < 1e-12:
+                raise ValueError(f"the calibration finds no smaller loss than {held:.6g}")
+        w, held = w + size * step, new
+    else:
+        raise ValueError(f"the calibration hasn't converged after {rounds} rounds: loss {held:.6g}")
+    w = w + step  # the last step is within the tolerance
     out = w / spread
     out[0] = w[0] - float((w[1:] / spread[1:] * mean[1:]).sum())
     return tuple(float(v) for v in out)
