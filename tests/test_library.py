@@ -4,6 +4,7 @@ import gzip
 import random
 import struct
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -150,3 +151,65 @@ def test_entry_imports_without_a_session():
 
     code = "import __spark_entry__ as e; assert len(e.queries()) >= len(e.oracle_sql()) > 0"
     assert subprocess.run([sys.executable, "-c", code], cwd=ROOT).returncode == 0
+
+
+def test_full_size_near_duplicates_equal_brute_force(spark, tmp_path):
+    import hashlib
+
+    from textkiln import plans
+
+    rng, pool = random.Random(12), [f"w{i}" for i in range(300)]
+    texts = [None, "", "a b", "a b", "abc"]
+    for _ in range(12):
+        base = [rng.choice(pool) for _ in range(rng.randint(20, 120))]
+        for _ in range(4):
+            copy = list(base)
+            for _ in range(rng.randint(0, len(base) // 12)):  # also pairs that 4 bands of 4 would merge
+                copy[rng.randrange(len(copy))] = rng.choice(pool)
+            texts.append(" ".join(copy))
+    rows = [(i, t, "en", f"src{rng.randrange(20)}", len(t or "")) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").write.parquet(str(tmp_path / "documents.parquet"))
+    perms = D.permutations(128, seed=11)
+    least = lambda hashes: [min((a * x + b) % D.P61 % (1 << 32) for x in hashes) for a, b in perms]
+
+    def grams(t):
+        w = (t or "").split()
+        return {" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
+
+    sigs = [least({int(hashlib.md5(g.encode()).hexdigest()[:15], 16) for g in grams(t)}) for t in texts]
+    run = lambda name: plans.QUERIES[name](spark, str(tmp_path)).collect()
+    assert {r["doc_id"]: r["sig"] for r in run("minhash_signatures_128")} == {i: ",".join(map(str, s)) for i, s in enumerate(sigs)}
+    meet = lambda x, y: any(x[k : k + 8] == y[k : k + 8] for k in range(0, 128, 8))
+    pairs = [(a, b) for a in range(len(texts)) for b in range(a) if meet(sigs[a], sigs[b])]
+    root = {i: i for i in range(len(texts))}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    want = {i: find(i) for i in root}
+    assert {r["doc_id"]: r["component"] for r in run("near_dup_components_128")} == want and 10 < len(set(want.values())) < len(want)
+    assert {(r["a"], r["b"]) for r in run("lsh_band_edges_128")} <= set(pairs)
+    assert sorted(r["component"] for r in run("near_dup_survivors_128") if r["kept"]) == sorted(set(want.values()))
+    assert run("cluster_stats_128")[0]["kept"] == len(set(want.values()))
+    chars = [least([int(x) for x in D.char_hashes(t or "")]) for t in texts]
+    kept = []
+    for i in range(len(texts)):
+        if not any(meet(chars[i], chars[k]) for k in kept):
+            kept.append(i)
+    assert sorted(r["doc_id"] for r in run("greedy_near_dup_128")) == kept
+
+
+def test_character_shingles_and_signature_limbs():
+    for t in ["", "ab", "abcde", "aaaaaaaaa", "straße 日本語 😀 straße 日本語", "".join(random.Random(1).choice("abc") for _ in range(5000))]:
+        assert len(D.char_hashes(t)) == len({t[i : i + 5] for i in range(max(1, len(t) - 4))})
+    edge = [(D.P61 - 1, D.P61 - 1), (1, 0), ((1 << 31) - 1, 5), (1 << 60, D.P61 - 1)]
+    rng = random.Random(2)
+    for x in [0, 1, D.P61 - 1, (1 << 31) - 1, 1 << 31, *(rng.randrange(D.P61) for _ in range(500))]:
+        assert D.signatures_of([np.array([x], np.int64)], edge)[0].tolist() == [(a * x + b) % D.P61 % (1 << 32) for a, b in edge]
+    sets = [np.array([rng.randrange(D.P61) for _ in range(n)]) for n in (3, 1, 40, 7)]
+    assert (D.signatures_of(sets, edge, block=8) == np.concatenate([D.signatures_of([x], edge) for x in sets])).all()

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,6 +80,60 @@ def minhash(shingles: Column, perms: list[tuple[int, int]], hashed: Column | Non
     return F.array(*[one(a, b) for a, b in perms])
 
 
+def signatures_of(sets: list[np.ndarray], perms: list[tuple[int, int]], block: int = 16384) -> np.ndarray:
+    """``minhash`` of sets (none empty) of hashes below 2^61, a row each, in exact limbs of 31 bits: no product or sum reaches 2^64."""
+    u, at, out = np.uint64, 0, np.empty((len(sets), len(perms)), np.int64)
+    ends = np.cumsum([len(x) for x in sets])
+    while at < len(sets):
+        done = int(ends[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, done + block, "right")))
+        x, starts = np.concatenate(sets[at:to]).astype(u), np.concatenate(([0], ends[at : to - 1] - done))
+        x1, x0 = x >> u(31), x & u((1 << 31) - 1)
+        for k, (a, b) in enumerate(perms):
+            a1, a0 = u(a >> 31), u(a & (1 << 31) - 1)
+            m = x0 * a1 + x1 * a0
+            m = (m & u(P61)) + (m >> u(61))
+            v = ((m & u((1 << 30) - 1)) << u(31)) + (m >> u(30)) + x0 * a0
+            v = (v & u(P61)) + (v >> u(61)) + (x1 * (a1 * u(2))) + u(b)
+            v = (v & u(P61)) + (v >> u(61))
+            v = (v + ((v + u(1)) >> u(61))) & u(P61)
+            out[at:to, k] = np.minimum.reduceat(v & u(MASK32), starts)
+        at = to
+    return out
+
+
+def char_hashes(text: str, n: int = 5) -> np.ndarray:
+    """Distinct hashes below 2^60 of the character n-grams; a shorter text is one shingle."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    size, h = max(1, len(c) - n + 1), np.zeros(max(1, len(c) - n + 1), np.uint64)
+    for i in range(min(n, len(c))):
+        h = (h ^ c[i : i + size]) * np.uint64(0x9E3779B97F4A7C15)  # one to one in each character
+        h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    return np.unique((h ^ (h >> np.uint64(32))) >> np.uint64(4))
+
+
+def signatures(df: DataFrame, column: str, perms: list[tuple[int, int]], name: str = "sig") -> DataFrame:
+    """``minhash`` by Arrow workers, for many permutations: ``column`` (hashes of words' shingles, or a text whose characters are
+    shingled) becomes the signature ``name``. A null text is an empty one."""
+    keep = [c for c in df.columns if c != column]
+    chars = df.schema[column].dataType.simpleString() == "string"
+    ddl = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep) + f", `{name}` array<bigint>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = batch.column(column)
+            made = []
+            for s in range(0, len(sets), 256):
+                part = sets.slice(s, 256)
+                made.append(signatures_of([char_hashes(v.as_py() or "") if chars else v.values.to_numpy(zero_copy_only=False) for v in part], perms).ravel())
+            values = pa.array(np.concatenate(made) if made else np.zeros(0, np.int64))
+            sig = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * len(perms), pa.int32()), values)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], sig], names=[*keep, name])
+
+    return df.mapInArrow(run, ddl)
+
+
 def band_edges(signatures: DataFrame, bands: int, rows: int, node: str = "doc_id", sig: str = "sig") -> DataFrame:
     """Edges (a, b) between consecutive members of each bucket of equal band slices: linear in the bucket."""
     cut = F.array(*[F.struct(F.lit(i).alias("band"), F.array_join(F.slice(sig, i * rows + 1, rows), "-").alias("slice")) for i in range(bands)])

@@ -64,3 +64,23 @@ def first_independent(nodes: DataFrame, edges: DataFrame, max_rounds: int = 200)
         gone = links.join(now.withColumnRenamed("node", "earlier"), "earlier", "left_semi").select(F.col("later").alias("node"))
         open_ = materialize(open_.join(now, "node", "left_anti").join(gone, "node", "left_anti"), "open")
     raise RuntimeError("chain of decisions longer than max_rounds")
+
+
+def first_in_buckets(nodes: DataFrame, members: DataFrame, max_rounds: int = 200) -> DataFrame:
+    """``first_independent`` where nodes of a bucket are neighbours: nodes (node), members (node, bucket). No pairs are made, so a
+    round is linear in the buckets' sizes: a node that comes first in all its buckets is kept and the others of these leave.
+    """
+    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    live = materialize(members.distinct().join(shared, "bucket", "left_semi"), "members")
+    out = nodes.join(live.select("node").distinct(), "node", "left_anti")
+    for _ in range(max_rounds):
+        if live.isEmpty():
+            return out
+        least = live.groupBy("bucket").agg(F.min("node").alias("first"))
+        now = live.join(least, "bucket").groupBy("node").agg(F.bool_and(F.col("first") == F.col("node")).alias("ok")).where("ok").select("node")
+        now = materialize(now, "kept")
+        out = out.unionByName(now)
+        taken = live.join(now, "node", "left_semi").select("bucket").distinct()
+        gone = live.join(taken, "bucket", "left_semi").select("node").distinct()
+        live = materialize(live.join(gone, "node", "left_anti"), "members")
+    raise RuntimeError("chain of decisions longer than max_rounds")
