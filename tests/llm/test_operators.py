@@ -203,6 +203,19 @@ def test_warc_round_trip(spark):
     assert warc.write_archives(spark.createDataFrame([], "page_id long, url string, html string"), fresh_path(spark, "warc")).count() == 0
 
 
+def test_warc_keeps_captures_that_share_page_id_and_url(spark):
+    rows = [(None, "u", "one"), (None, "u", "two"), (None, None, "three"), (None, None, "three"), (None, "u", "one"), (None, "None", "n"), (None, None, "n")]
+    rows += [(1, "v", "old"), (1, "v", "new"), (1, "v", "shared"), (0, "w", "shared"), (2, "x", "twice"), (2, "x", "twice"), (2, "x", "once"), (1, "w", "twice")]
+    files = warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3), fresh_path(spark, "warc"))
+    got = warc.captures(files).collect()
+    sha = lambda h: base64.b32encode(hashlib.sha1(h.encode()).digest()).decode()
+    assert Counter((r["page_id"], r["url"], r["payload_digest"]) for r in got) == Counter((i, u or "", sha(h)) for i, u, h in rows)
+    assert {(r["page_id"], r["refers_to"], r["payload_digest"]) for r in got if r["record_type"] == "revisit"} == {(0, 1, sha("shared")), (1, 2, sha("twice"))}
+    ids = {r["response"]["record_id"]: r for r in got}
+    named = [ids[r["response"]["refers_to"]] for r in got if r["record_type"] == "revisit" and r["response"]["refers_to"]]
+    assert len(ids) == len(rows) and [(r["page_id"], r["record_type"], r["payload_digest"]) for r in named] == [(1, "response", sha("shared"))]
+
+
 def test_assembly_keeps_lonely_records(spark):
     rows = [("a", "a", "response", "u", "d", None, None, b"x"), ("b", "r1", "request", "u", "d", None, None, b"y"), ("a", "r2", "request", "u", "d", None, None, b"z"), ("a", "r3", "request", "u", "d", None, None, b"z")]
     got = {r["capture"]: r for r in warc.assemble(spark.createDataFrame(rows, warc.RECORDS_DDL)).collect()}

@@ -28,8 +28,9 @@ REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CRLF = b"\r\n"
 
 
-def record_id(kind: str, page_id: int | None, uri: str | None, tag: str = "") -> str:
-    return f"<urn:uuid:{uuid.uuid5(SPACE, f'{kind}/{page_id}/{uri}/{tag}')}>"
+def record_id(kind: str, page_id: int | None, uri: str | None, sha: str, tag: str = "") -> str:
+    """Of the payload's digest too: captures of one page and url with other payloads are other captures."""
+    return f"<urn:uuid:{uuid.uuid5(SPACE, f'{kind}/{page_id}/{sha}/{tag}/' + repr(uri))}>"
 
 
 def one_line(value: str) -> str:
@@ -51,11 +52,12 @@ def digest(payload: bytes) -> str:
 
 def capture_records(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None = None, refers_id: str | None = None, tag: str = "") -> Iterator[bytes]:
     """The records of one capture; with ``refers_to`` a revisit without payload. ``tag`` tells repeated captures apart."""
-    uri, own, sha = one_line(url or ""), record_id("response", page_id, url, tag), digest(payload)
+    uri, sha = one_line(url or ""), digest(payload)
+    own = record_id("response", page_id, url, sha, tag)
     date = [("WARC-Date", DATE), ("WARC-Target-URI", uri)]
     host = uri.partition("://")[2].split("/")[0].split("?")[0].split("#")[0]
     target = "/" + uri.partition("://")[2].partition("/")[2]
-    yield record("request", [("WARC-Record-ID", record_id("request", page_id, url, tag)), *date, ("WARC-Concurrent-To", own), ("Content-Type", "application/http; msgtype=request")], f"GET {target} HTTP/1.1\r\nHost: {host}\r\n\r\n".encode())
+    yield record("request", [("WARC-Record-ID", record_id("request", page_id, url, sha, tag)), *date, ("WARC-Concurrent-To", own), ("Content-Type", "application/http; msgtype=request")], f"GET {target} HTTP/1.1\r\nHost: {host}\r\n\r\n".encode())
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     common = [("WARC-Record-ID", own), *date, ("WARC-Payload-Digest", f"sha1:{sha}"), ("Content-Type", "application/http; msgtype=response")]
     if refers_to is None:
@@ -63,7 +65,7 @@ def capture_records(page_id: int | None, url: str | None, payload: bytes, refers
     else:
         yield record("revisit", [*common, ("WARC-Profile", REVISIT), *[("WARC-Refers-To", refers_id)] * (refers_id is not None)], http)
     fields = [("page-id", "" if page_id is None else str(page_id)), ("payload-bytes", str(len(payload)))] + [("refers-to-page-id", str(refers_to))] * (refers_to is not None)
-    yield record("metadata", [("WARC-Record-ID", record_id("metadata", page_id, url, tag)), *date, ("WARC-Concurrent-To", own), ("Content-Type", "application/warc-fields")], b"".join(f"{k}: {v}\r\n".encode() for k, v in fields))
+    yield record("metadata", [("WARC-Record-ID", record_id("metadata", page_id, url, sha, tag)), *date, ("WARC-Concurrent-To", own), ("Content-Type", "application/warc-fields")], b"".join(f"{k}: {v}\r\n".encode() for k, v in fields))
 
 
 def members(stream, size: int = 1 << 20) -> Iterator[bytes]:
@@ -105,7 +107,7 @@ def write_archives(pages: DataFrame, folder: str, *, least: int = 0, file_bytes:
     rows = rows.withColumn("sha", F.sha1("html"))
     same = rows.where(F.octet_length("html") >= least).groupBy("sha", "page_id", "url").agg(F.count("*").alias("n"))
     first = same.groupBy("sha").agg(F.sum("n").alias("n"), F.max(F.struct("page_id", "url", F.col("n").alias("rows"))).alias("r"))
-    first = first.where("n > 1 and r.page_id is not null").select(F.col("sha").alias("s"), F.col("r.page_id").alias("to_id"), F.col("r.url").alias("to_url"), (F.col("r.rows") == 1).alias("sole"))
+    first = first.where("n > 1").select(F.col("sha").alias("s"), F.col("r.page_id").alias("to_id"), F.col("r.url").alias("to_url"), (F.col("r.rows") == 1).alias("sole"))
     dealt = rows.join(first, rows["sha"] == first["s"], "left").select("page_id", "url", "html", "to_id", "to_url", "sole")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,9 +123,9 @@ def write_archives(pages: DataFrame, folder: str, *, least: int = 0, file_bytes:
         for batch in slices(batches, "html", 4 << 20):
             for page_id, url, html, to_id, to_url, sole in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 seen += 1
-                known = to_id is None or (sole and (page_id, url) == (to_id, to_url))
-                refers = None if to_id == page_id else to_id
-                packed = b"".join(capture_records(page_id, url, html.encode(), refers, record_id("response", to_id, to_url) if sole else None, "" if known else f"{part}/{seen}"))
+                refers, payload = None if to_id == page_id else to_id, html.encode()
+                known = len(payload) >= least if sole is None else sole and (page_id, url) == (to_id, to_url)  # alone with its payload, or the one that others refer to
+                packed = b"".join(capture_records(page_id, url, payload, refers, record_id("response", to_id, to_url, digest(payload)) if sole else None, "" if known else f"{part}/{seen}"))
                 out.append(packed)
                 n, size = n + 1, size + len(packed)
             if size >= min(file_bytes, 32 << 20):
