@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textkiln.llm import bpe, jaccard, mixing, quality
-from textkiln.llm.queries import MIX_WEIGHTS, WORD_BPE
+from textkiln.llm.queries import MIX_DEFAULT, MIX_WEIGHTS, WORD_BPE
 from textkiln.operators.storage import materialize
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -34,7 +34,7 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats documents so that the sources' bytes meet the target weights, in shuffled order."""
-    return mixing.replicate(docs, MIX_WEIGHTS, seed=17).select(*COLUMNS)
+    return mixing.replicate(docs, MIX_WEIGHTS, default=MIX_DEFAULT, seed=17).select(*COLUMNS)
 
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

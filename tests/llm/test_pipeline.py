@@ -58,3 +58,15 @@ def test_repeated_ids_and_nulls_pass_the_pipeline(spark):
     odd = docs.unionByName(docs.limit(5)).unionByName(docs.limit(1).withColumns({c: F.lit(None).cast(t) for c, t in docs.dtypes}))
     for _, stage in corpus_pipeline.STAGES:
         odd = spark.createDataFrame((out := stage(spark, odd, SF)).collect(), out.schema)
+
+
+def test_unlisted_and_null_sources_are_mixed(spark, tmp_path):
+    names = ["src0", "elsewhere", None]
+    rows = [(i, "some text here", "en", names[i % 3], 14) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    for out in (QUERIES["op4_mixing"](spark, str(tmp_path)), corpus_pipeline.mix_sources(spark, docs, SF)):
+        n = {r["source"]: r["count"] for r in out.groupBy("source").count().collect()}
+        assert set(n) == set(names) and all(abs(c - 200) < 60 for c in n.values())  # equal weights of 1
+    other = docs.where("source is null or source <> 'src0'")
+    assert abs(corpus_pipeline.mix_sources(spark, other, SF).count() - 400) < 80

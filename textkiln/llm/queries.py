@@ -12,6 +12,8 @@ from textkiln.operators.storage import fresh_path
 
 #: Target weights of the sources: five tiers.
 MIX_WEIGHTS = {f"src{i}": float(i % 5 + 1) for i in range(20)}
+#: The weight of every other source, the null source included.
+MIX_DEFAULT = 1.0
 
 #: Folder of the public tokenizer files; a parameter of every operator that reads one.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -38,7 +40,7 @@ def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    out = mixing.replicate(docs, MIX_WEIGHTS, seed=17)
+    out = mixing.replicate(docs, MIX_WEIGHTS, default=MIX_DEFAULT, seed=17)
     return out.select("doc_id", "source", "n_copies", "copy_no", "shuffle_key", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
 
 
