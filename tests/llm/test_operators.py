@@ -405,30 +405,84 @@ def test_quality_learns_and_holds_out(spark):
     assert quality.score_column(empty(spark), quality.fit(empty(spark), known)).count() == 0
 
 
-def test_calibration_converges_on_imbalanced_nearly_separable_rows():
+def test_calibration_is_the_minimum_of_the_penalised_loss():
     for seed in range(20):
         rng = np.random.default_rng(seed)
         y = (np.arange(3000) % 7 > 0).astype(float)
-        v = np.where(y > 0, 0.05, -0.05) + 0.012 * rng.standard_normal(3000)
-        v[:3] *= -1  # a few on the wrong side
-        ratio = 0.4 + 0.05 * rng.standard_normal(3000) + np.where(rng.random(3000) < 0.01, 1.0, 0.0)
-        x = np.stack([np.ones(3000), v, ratio, ratio * ratio, rng.uniform(4, 9, 3000)], 1)
-        w = np.array(quality.calibrate(x, y))
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))
+        x = np.where(y > 0, 0.05, -0.05) + 0.012 * rng.standard_normal(3000)
+        x[:3] *= -1  # a few on the wrong side
+        offset, slope = quality.calibrate(x, y)
+        p = 1 / (1 + np.exp(-(offset + slope * x)))
         assert np.mean(p[y == 0] < 0.3) > 0.99 and np.mean(p[y == 1] >= 0.3) > 0.99
-        spread = np.where(x.std(0) > 0, x.std(0), 1)
-        mean = np.where(x.std(0) > 0, x.mean(0), 0)
-        u = np.concatenate([[w[0] + w[1:] @ mean[1:]], w[1:] * spread[1:]])
-        assert np.abs(((x - mean) / spread).T @ (y - p) - 1e-2 * u).max() < 1e-3  # the gradient of the penalised loss
+        weight = np.where(y == 1, 1500 / y.sum(), 1500 / (3000 - y.sum()))
+        s = np.stack([np.ones(3000), (x - x.mean()) / x.std()], 1)
+        assert np.abs(s.T @ (weight * (y - p)) - 1e-2 * np.array([offset + slope * x.mean(), slope * x.std()])).max() < 1e-3
     with pytest.raises(ValueError):
         quality.calibrate(x, y, rounds=1)
     assert all(np.isfinite(quality.calibrate(x, np.ones(3000))))
 
 
-def test_quality_converges_on_the_largest_table(spark):
+def test_quality_scores_equal_a_plain_computation(spark):
+    import zstandard as zstd
+
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(300)]
+    rows = [(i, " ".join(rng.choice(vocabulary) + ("!" if i % 3 == 0 and rng.random() < 0.4 else "") for _ in range(rng.randint(1, 400)))) for i in range(300)] + [(300, None), (301, ""), (7, "a lesser text of id 7")]
+    labels = [(i, int(i % 3 > 0)) for i in range(300)] + [(7, 0), (None, 0)]
+    df, known = spark.createDataFrame(rows, "doc_id long, text string").repartition(3), spark.createDataFrame(labels, "doc_id long, quality int")
+    got = Counter((r["doc_id"], r["text"], round(r["score"], 9)) for r in quality.score_column(df, quality.fit(df, known)).collect())
+    text = {i: max(t for j, t in rows if j == i) for i in range(300)}
+    order = sorted((i for i in text if zlib.crc32(str(i).encode()) % 5), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+    cut = lambda t: [t.encode()[a : a + 512] for a in range(0, len(t.encode()), 512)]
+
+    def packers(ids):
+        made = []
+        for label in (1, 0):
+            blocks = [b for i in ids if int(i % 3 > 0) == label for b in cut(text[i])]
+            try:
+                raw = zstd.train_dictionary(112 << 10, blocks, k=200, d=8).as_bytes()
+            except zstd.ZstdError:
+                raw = b"".join(blocks)[-(112 << 10) :]
+            made.append(zstd.ZstdCompressor(level=3, dict_data=zstd.ZstdCompressionDict(raw), write_checksum=False, write_content_size=False, write_dict_id=False))
+        return made
+
+    def difference(t, pair):
+        good, bad = (sum(len(z.compress(b)) for b in cut(t)) for z in pair)
+        return (bad - good) / (bad + good) if t else 0.0
+
+    x, y = [], []
+    for fold in (0, 1):
+        pair = packers(order[1 - fold :: 2])
+        x += [difference(text[i], pair) for i in order[fold::2]]
+        y += [float(i % 3 > 0) for i in order[fold::2]]
+    x, y = np.array(x), np.array(y)
+    w, pair = np.zeros(2), packers(order)
+    s, weight = np.stack([np.ones(len(x)), (x - x.mean()) / x.std()], 1), np.where(y == 1, len(y) / 2 / y.sum(), len(y) / 2 / (len(y) - y.sum()))
+    for _ in range(200_000):  # plain gradient descent
+        w += 2 / len(y) * (s.T @ (weight * (y - 1 / (1 + np.exp(-(s @ w))))) - 1e-2 * w)
+    want = Counter((i, t, round(float(1 / (1 + math.exp(-(w[0] + w[1] * (difference(t or "", pair) - x.mean()) / x.std())))), 9)) for i, t in rows)
+    pairs = lambda c: sorted(((i if i is not None else -1, t or "", p) for i, t, p in c.elements()))
+    assert [a[:2] for a in pairs(got)] == [a[:2] for a in pairs(want)]
+    assert np.allclose([a[2] for a in pairs(got)], [a[2] for a in pairs(want)], atol=1e-5)
+
+
+def test_quality_edges(spark):
+    rows = [(1, "good words here", "x"), (1, "good words here", "x"), (2, "bad!!!", "x"), (None, "z", "x"), (3, LONG * 3, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, score string")
+    model = quality.fit(df, spark.createDataFrame([(1, 1), (1, 1), (2, 0)], "doc_id long, quality int"))
+    got = quality.score_column(df, model).collect()
+    assert len(got) == 5 and len({r["score"] for r in got if r["doc_id"] == 1}) == 1 and all(0 <= r["score"] <= 1 for r in got)
+    none = quality.fit(df, spark.createDataFrame([], "doc_id long, quality int"))
+    assert {r["score"] for r in quality.score_column(df, none).collect()} == {0.5}
+
+
+def test_quality_on_a_real_table(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))  # 2706 good and 449 bad rows train
     model = quality.fit(docs, labels)
     held = labels.where(quality.held_out(F.col("doc_id"))).select("doc_id", "quality")
     rows = quality.score_column(docs.select("doc_id", "text").join(held, "doc_id"), model).select("quality", "score").collect()
-    for label in (0, 1):
-        assert np.mean([(r["score"] >= 0.3) == label for r in rows if r["quality"] == label]) > 0.9
+    good, bad = (np.array([r["score"] for r in rows if r["quality"] == label]) for label in (1, 0))
+    assert len({round(r["score"], 6) for r in rows}) > 500
+    assert (good[:, None] > bad[None, :]).mean() > 0.95  # the area under the curve, ties against it
+    assert (good >= 0.3).mean() > 0.97 and (bad < 0.3).mean() > 0.85
+    assert np.mean([(r["score"] >= 0.3) == r["quality"] for r in rows]) > max(len(good), len(bad)) / len(rows)
