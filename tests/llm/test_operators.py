@@ -187,8 +187,10 @@ def test_warc_round_trip(spark):
     html = ["<p>a</p>", None, "", "x\r\n\r\ny" * 5, "<p>a</p>", "ü" * 100_000, "<p>a</p>"]
     rows = [(i, None if i == 2 else f"http://h{i}.org/p?q=1\n{i}", h, "extra") for i, h in enumerate(html)] + [(6, "http://h6.org/p?q=1\n6", "<p>a</p>", "extra"), (None, "u", "<p>a</p>", "e"), (None, "u", "solo", "e")]
     files = warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string, record_type string"), fresh_path(spark, "warc"))
-    got = warc.captures(files).collect()
-    assert len(got) == len(rows)
+    got = warc.captures(files, payload=True).collect()
+    assert len(got) == len(rows) and all(r["digest_holds"] == (True if r["record_type"] == "response" else None) and r["n_records"] == 3 for r in got)
+    thin = lambda rows: sorted(((r["page_id"] is None, r["page_id"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in rows), key=repr)
+    assert thin(warc.captures(files).collect()) == thin(got)
     top = {}
     for i, _, h, _ in rows:
         top[h or ""] = max(top.get(h or "", -1), -1 if i is None else i)
@@ -216,10 +218,32 @@ def test_warc_keeps_captures_that_share_page_id_and_url(spark):
     assert len(ids) == len(rows) and [(r["page_id"], r["record_type"], r["payload_digest"]) for r in named] == [(1, "response", sha("shared"))]
 
 
+@pytest.mark.parametrize("least", [0, 4])
+def test_warc_by_shuffle_equals_broadcast(spark, monkeypatch, least):
+    rows = [(i, f"http://h/{i % 3}", "same" if i % 2 else "x" * (i % 5)) for i in range(60)]
+    df, got = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4), []
+    for bound in (100_000, 0):
+        monkeypatch.setattr(warc, "BROADCAST_PAYLOADS", bound)
+        files = warc.write_archives(df, fresh_path(spark, "warc"), least=least, file_bytes=2000)
+        assert files.count() > 4
+        got.append(sorted((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"] or -1) for r in warc.captures(files).collect()))
+    top = {h: max(i for i, _, x in rows if x == h) for _, _, h in rows}
+    want = sorted((i, len(h), "response" if top[h] == i or len(h) < least else "revisit", -1 if top[h] == i or len(h) < least else top[h]) for i, _, h in rows)
+    assert got == [want, want]
+
+
 def test_assembly_keeps_lonely_records(spark):
-    rows = [("a", "a", "response", "u", "d", None, None, b"x"), ("b", "r1", "request", "u", "d", None, None, b"y"), ("a", "r2", "request", "u", "d", None, None, b"z"), ("a", "r3", "request", "u", "d", None, None, b"z")]
+    made = lambda capture, own, kind, position: ("f", position, capture, own, kind, "u", "d", None, None, None, 1, "s")
+    rows = [made("a", "a", "response", 0), made("b", "r1", "request", 1), made("a", "r2", "request", 2), made("a", "r3", "request", 3), made("a", None, "request", 4), made("a", "r2", "request", 5)]
     got = {r["capture"]: r for r in warc.assemble(spark.createDataFrame(rows, warc.RECORDS_DDL)).collect()}
-    assert got["b"]["response"] is None and got["a"]["request"]["record_id"] == "r2" and got["a"]["n_records"] == 3
+    assert got["b"]["response"] is None and (got["a"]["request"]["record_id"], got["a"]["request"]["position"]) == ("r2", 2) and got["a"]["n_records"] == 5
+    assert warc.assemble(spark.createDataFrame([], warc.RECORDS_DDL)).count() == 0
+
+
+def test_http_headers_of_any_length_are_split():
+    http = {"content-type": "application/http; msgtype=response"}
+    long = b"HTTP/1.1 200 OK\r\nX: " + b"y" * 10_000 + b"\r\n\r\nbody\r\n\r\nrest"
+    assert warc.payload_of(http, long) == b"body\r\n\r\nrest" and warc.payload_of(http, b"HTTP/1.1 200 OK") == b"" and warc.payload_of({}, b"a\r\n\r\nb") == b"a\r\n\r\nb"
 
 
 # op6, op9

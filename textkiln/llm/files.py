@@ -7,6 +7,11 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyarrow import fs
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
+
+#: Tasks that read a list of files, at most; with more files a task reads several, one after the other.
+MAX_TASKS = 8192
 
 
 def open_fs(uri: str) -> tuple[fs.FileSystem, str]:
@@ -27,3 +32,14 @@ def atomic_writer(folder: str, name: str) -> Iterator:
 def reader(uri: str):
     system, path = open_fs(uri)
     return system.open_input_stream(path, compression=None)
+
+
+def attempt_name(stem: str, file: int, suffix: str) -> str:
+    """A file name of this task attempt alone: another attempt of the task never replaces a file that a committed one has listed."""
+    context = TaskContext.get()
+    return f"{stem}-{context.partitionId():06d}-{file:04d}-{context.taskAttemptId()}{suffix}"
+
+
+def deal(files: DataFrame) -> DataFrame:
+    """The rows, one per file, dealt evenly over one task per file or MAX_TASKS."""
+    return files.repartition(max(1, min(files.count(), MAX_TASKS)))

@@ -2,7 +2,8 @@
 
 A capture is written as three records: the request, the response (or a revisit that refers to the response of
 equal payload) and metadata; request and metadata name the response record in WARC-Concurrent-To. Reading
-joins the three by that identifier and gives one nested row per capture.
+joins the three by that identifier and gives one nested row per capture. Only what the headers say, sizes and digests are
+shuffled for that; payloads are read again by their place in the archives, and only where they are asked for.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
+from contextlib import ExitStack
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -19,9 +21,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textkiln.llm.common import batch_of, slices
-from textkiln.llm.files import atomic_writer, reader
+from textkiln.llm.files import atomic_writer, attempt_name, deal, reader
 from textkiln.operators.storage import materialize
 
+#: Payloads that occur twice or more are broadcast up to this count (about 20 MB), and joined by a shuffle beyond it.
+BROADCAST_PAYLOADS = 100_000
+
 SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 DATE = "2024-01-01T00:00:00Z"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -91,8 +96,7 @@ def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
 
 
 FILES = pa.schema([("path", pa.string()), ("n_captures", pa.int64()), ("bytes", pa.int64())])
-RECORDS = pa.schema([(c, pa.string()) for c in ("capture", "record_id", "kind", "uri", "date", "digest", "refers_to")] + [("block", pa.binary())])
-RECORDS_DDL = "capture string, record_id string, kind string, uri string, date string, digest string, refers_to string, block binary"
+FILES_DDL = "path string, n_captures long, bytes long"
 
 
 def write_archives(pages: DataFrame, folder: str, *, least: int = 0, file_bytes: int = 256 << 20) -> DataFrame:
@@ -100,41 +104,41 @@ def write_archives(pages: DataFrame, folder: str, *, least: int = 0, file_bytes:
 
     Of records with equal payloads of at least ``least`` bytes the one with the largest page_id is the response and the
     others revisit it; rows that share that page_id are all responses. A null html is an empty payload, a null
-    url an empty URI; rows of a null page_id are revisits of a group that has an id, else responses.
-    Only groups of two and more are joined back, and a hot payload is split as any skewed join.
+    url an empty URI; rows of a null page_id are revisits of a group that has an id, else responses. Repeated rows
+    are captures of their own, an empty table gives no file. A very long html is one record. Other columns, whatever their
+    names, are not read. The pages are shuffled only if more than BROADCAST_PAYLOADS payloads occur twice or more, and
+    then a hot payload is split as any skewed join.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("sha", F.sha1("html"))
     same = rows.where(F.octet_length("html") >= least).groupBy("sha", "page_id", "url").agg(F.count("*").alias("n"))
     first = same.groupBy("sha").agg(F.sum("n").alias("n"), F.max(F.struct("page_id", "url", F.col("n").alias("rows"))).alias("r"))
     first = first.where("n > 1").select(F.col("sha").alias("s"), F.col("r.page_id").alias("to_id"), F.col("r.url").alias("to_url"), (F.col("r.rows") == 1).alias("sole"))
-    dealt = rows.join(first, rows["sha"] == first["s"], "left").select("page_id", "url", "html", "to_id", "to_url", "sole")
+    first = materialize(first, "warc-first")
+    few = first.limit(BROADCAST_PAYLOADS + 1).count() <= BROADCAST_PAYLOADS
+    dealt = rows.join(F.broadcast(first) if few else first.hint("merge"), rows["sha"] == first["s"], "left").select("page_id", "url", "html", "to_id", "to_url", "sole")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, file, n, size, out, seen = TaskContext.get().partitionId(), 0, 0, 0, [], 0
-
-        def flush() -> pa.RecordBatch:
-            name = f"captures-{part:06d}-{file:04d}.warc.gz"
-            with atomic_writer(folder, name) as stream:
-                for x in out:
-                    stream.write(x)
-            return batch_of(FILES, [[f"{folder}/{name}"], [n], [size]])
-
-        for batch in slices(batches, "html", 4 << 20):
-            for page_id, url, html, to_id, to_url, sole in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                seen += 1
-                refers, payload = None if to_id == page_id else to_id, html.encode()
-                known = len(payload) >= least if sole is None else sole and (page_id, url) == (to_id, to_url)  # alone with its payload, or the one that others refer to
-                packed = b"".join(capture_records(page_id, url, payload, refers, record_id("response", to_id, to_url, digest(payload)) if sole else None, "" if known else f"{part}/{seen}"))
-                out.append(packed)
-                n, size = n + 1, size + len(packed)
-            if size >= min(file_bytes, 32 << 20):
-                yield flush()
-                file, n, size, out = file + 1, 0, 0, []
-        if out:
-            yield flush()
-
-    return materialize(dealt.mapInArrow(run, "path string, n_captures long, bytes long"), "warc-files")
+        part, seen, file = TaskContext.get().partitionId(), 0, 0
+        rows = (r for batch in slices(batches, "html", 4 << 20) for r in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        row = next(rows, None)
+        while row is not None:
+            n, size, name = 0, 0, attempt_name("captures", file, ".warc.gz")
+            with ExitStack() as open_:
+                stream = open_.enter_context(atomic_writer(folder, name))
+                while row is not None and size < file_bytes:
+                    page_id, url, html, to_id, to_url, sole = row
+                    seen += 1
+                    refers, payload = None if to_id == page_id else to_id, html.encode()
+                    known = len(payload) >= least if sole is None else sole and (page_id, url) == (to_id, to_url)  # alone with its payload, or the one that others refer to
+                    to = record_id("response", to_id, to_url, digest(payload)) if sole else None
+                    for x in capture_records(page_id, url, payload, refers, to, "" if known else f"{part}/{seen}"):
+                        size += stream.write(x)
+                    n, row = n + 1, next(rows, None)
+            yield batch_of(FILES, [[f"{folder}/{name}"], [n], [size]])
+            file += 1
+
+    return materialize(dealt.mapInArrow(run, FILES_DDL), "warc-files")
 
 
 def list_archives(spark: SparkSession, pattern: str) -> DataFrame:
@@ -142,49 +146,107 @@ def list_archives(spark: SparkSession, pattern: str) -> DataFrame:
     return spark.read.format("binaryFile").load(pattern).select("path")
 
 
+HEADERS = (("capture", "warc-concurrent-to"), ("record_id", "warc-record-id"), ("kind", "warc-type"), ("uri", "warc-target-uri"), ("date", "warc-date"), ("digest", "warc-payload-digest"), ("refers_to", "warc-refers-to"))
+RECORDS = pa.schema(
+    [("path", pa.string()), ("position", pa.int64()), *[(name, pa.string()) for name, _ in HEADERS], ("fields", pa.map_(pa.string(), pa.string())), ("payload_bytes", pa.int64()), ("payload_sha1", pa.string())]
+)
+RECORDS_DDL = "path string, position long, " + ", ".join(f"{name} string" for name, _ in HEADERS) + ", fields map<string, string>, payload_bytes long, payload_sha1 string"
+
+
+def payload_of(headers: dict[str, str], block: bytes) -> bytes:
+    """What follows the HTTP header, however long it is; of a block without one all, and of a header without end nothing."""
+    if headers.get("content-type", "").replace(" ", "").startswith("application/http"):
+        return block.partition(CRLF + CRLF)[2]
+    return block
+
+
+def fields_of(block: bytes) -> dict[str, str]:
+    """Lines of application/warc-fields; of a repeated name the last."""
+    pairs = (line.partition(":") for line in block.decode("utf-8", "replace").split("\r\n"))
+    return {k.strip(): v.strip() for k, _, v in pairs if k.strip()}
+
+
+def _records(path: str) -> Iterator[tuple[int, dict[str, str], bytes]]:
+    with reader(path) as stream:
+        for position, raw in enumerate(members(stream)):
+            yield position, *parse(raw)
+
+
 def read_records(files: DataFrame) -> DataFrame:
-    """One row per WARC record of the archives in ``files`` (path); capture is the response's record id."""
+    """One row per WARC record of the archives in ``files`` (path), without its block.
+
+    ``capture`` is the response's record id, ``path`` and ``position`` are the record's place, ``fields`` the lines of
+    a metadata record (null for others); payload_bytes and payload_sha1 (base32) are measured on the payload read.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path in batch.column("path").to_pylist():
-                rows, held = [], 0
-                with reader(path) as stream:
-                    for raw in members(stream):
-                        f, block = parse(raw)
-                        own = f.get("warc-record-id")
-                        rows.append((f.get("warc-concurrent-to", own), own, f.get("warc-type"), f.get("warc-target-uri"), f.get("warc-date"), f.get("warc-payload-digest"), f.get("warc-refers-to"), block))
-                        held += len(block)
-                        if held > 4 << 20 or len(rows) >= 4096:
-                            yield batch_of(RECORDS, [list(c) for c in zip(*rows, strict=True)])
-                            rows, held = [], 0
-                if rows:
+        for path in (p for batch in batches for p in batch.column("path").to_pylist()):
+            rows = []
+            for position, h, block in _records(path):
+                payload = payload_of(h, block)
+                fields = list(fields_of(block).items()) if h.get("content-type") == "application/warc-fields" else None
+                names = [h.get(name) for _, name in HEADERS]
+                names[0] = names[0] or names[1]
+                rows.append((path, position, *names, fields, len(payload), digest(payload)))
+                if len(rows) >= 2048:
                     yield batch_of(RECORDS, [list(c) for c in zip(*rows, strict=True)])
+                    rows = []
+            if rows:
+                yield batch_of(RECORDS, [list(c) for c in zip(*rows, strict=True)])
 
-    listed = files.select("path")
-    return listed.repartition(max(1, listed.count()), "path").mapInArrow(run, RECORDS_DDL)
+    return deal(files.select("path")).mapInArrow(run, RECORDS_DDL)
+
+
+PAYLOADS = pa.schema([("path", pa.string()), ("position", pa.int64()), ("payload", pa.binary())])
+
+
+def read_payloads(files: DataFrame) -> DataFrame:
+    """(path, position, payload) of the response records of ``files`` (path)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for path in (p for batch in batches for p in batch.column("path").to_pylist()):
+            rows, held = [], 0
+            for position, h, block in _records(path):
+                if h.get("warc-type") == "response":
+                    rows.append((path, position, payload_of(h, block)))
+                    held += len(rows[-1][2])
+                if held > 4 << 20:
+                    yield batch_of(PAYLOADS, [list(c) for c in zip(*rows, strict=True)])
+                    rows, held = [], 0
+            if rows:
+                yield batch_of(PAYLOADS, [list(c) for c in zip(*rows, strict=True)])
+
+    return deal(files.select("path")).mapInArrow(run, "path string, position long, payload binary")
 
 
 def assemble(records: DataFrame) -> DataFrame:
     """One row per capture: capture id, structs response, request and metadata (first by record id), and counts of records.
 
-    A record whose concurrent-to names no response in the input still gives a row, with a null response.
+    A record whose concurrent-to names no response in the input still gives a row, with a null response. Records without
+    an id are ordered last; equal ones, as of an archive that is listed twice, by their place. Aggregated before
+    it is shuffled, so a hot identifier costs a row a task.
     """
-    body = F.struct("record_id", "kind", "uri", "date", "digest", "refers_to", "block")
+    body = F.struct(*[c for c in records.columns if c != "capture"])
     role = F.when(F.col("kind").isin("response", "revisit"), "response").otherwise(F.col("kind"))
-    pick = lambda name: F.min_by(F.when(F.col("role") == name, F.col("body")), F.when(F.col("role") == name, F.col("record_id"))).alias(name)
-    return records.select("capture", role.alias("role"), body.alias("body"), "record_id").groupBy("capture").agg(
-        pick("response"), pick("request"), pick("metadata"), F.count("*").alias("n_records"))
-
-
-def captures(files: DataFrame) -> DataFrame:
-    """Captures of our archives: page_id, url, request line, payload, digests and what a revisit refers to."""
-    field = lambda name: F.nullif(F.regexp_extract(F.col("metadata.block").cast("string"), rf"(?m)^{name}: (\S*)\r?$", 1), F.lit(""))
-    whole = assemble(read_records(files))
-    split = F.instr(F.decode(F.substring("response.block", 1, 4096), "ISO-8859-1"), "\r\n\r\n")
-    payload = F.when(F.col("response.kind") == "response", F.substring(F.col("response.block"), split + 4, F.lit(2147483647)))
-    return whole.select(
-        "capture", "response", "request", "metadata", field("page-id").cast("long").alias("page_id"), F.col("response.uri").alias("url"), F.col("response.kind").alias("record_type"), payload.alias("payload"),
-        F.when(F.col("response.kind") == "response", F.octet_length(payload).cast("long")).otherwise(field("payload-bytes").cast("long")).alias("payload_bytes"),
-        F.substring_index("response.digest", ":", -1).alias("payload_digest"), field("refers-to-page-id").cast("long").alias("refers_to"),
+    order = F.struct(F.col("record_id").isNull(), "record_id", "path", "position")
+    pick = lambda name: F.min_by(F.when(role == name, body), F.when(role == name, order)).alias(name)
+    return records.groupBy("capture").agg(pick("response"), pick("request"), pick("metadata"), F.count("*").alias("n_records"))
+
+
+def captures(files: DataFrame, *, payload: bool = False) -> DataFrame:
+    """A nested row per capture of our archives: page_id, url, response, request, metadata, digests and what a revisit refers to.
+
+    With ``payload`` also the response's payload (null for revisits), read again by its place. An empty list of files gives no rows.
+    """
+    field = lambda name: F.nullif(F.element_at("metadata.fields", name), F.lit(""))
+    response = F.col("response.kind") == "response"
+    out = assemble(read_records(files)).select(
+        "capture", "response", "request", "metadata", "n_records", field("page-id").cast("long").alias("page_id"), F.col("response.uri").alias("url"), F.col("response.kind").alias("record_type"),
+        F.when(response, F.col("response.payload_bytes")).otherwise(field("payload-bytes").cast("long")).alias("payload_bytes"),
+        F.substring_index("response.digest", ":", -1).alias("payload_digest"), (F.substring_index("response.digest", ":", -1) == F.when(response, F.col("response.payload_sha1"))).alias("digest_holds"),
+        field("refers-to-page-id").cast("long").alias("refers_to"),
     )
+    if not payload:
+        return out
+    found = read_payloads(files)
+    return out.join(found, (F.col("response.path") == found["path"]) & (F.col("response.position") == found["position"]), "left").drop("path", "position")
