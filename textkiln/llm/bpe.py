@@ -1,9 +1,9 @@
 """BPE encoding with reuse of content-defined chunks, and decoding.
 
 A rolling hash over the last bytes cuts every text into chunks, wherever equal passages stand in it, and a chunk
-that the worker has met is not encoded again. A cut can part a word, so at each join the text between the
-last white space before the cut and the first one after it is encoded again; a chunk without white space is
-drawn into the join, until a place is reached where both sides are certain. The ids equal those of the whole text.
+that the worker has met is not encoded again. A cut can part a word. So at each join the text from the last whole word
+before it to the first one after it is encoded again, and what stands between these two is taken over if the ids at both ends are
+those that the chunks have; a chunk without white space is drawn into the join. Where a join doesn't agree the library encodes the whole text.
 """
 
 from __future__ import annotations
@@ -15,9 +15,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from textkiln.llm.common import slices, splitmix
-from textkiln.llm.jaccard import _BYTE, _power, _text_buffers
-from textkiln.llm.words import Encoder, encoder, is_plain
+from textkiln.llm.common import slices, splitmix, text_buffers
+from textkiln.llm.jaccard import _BYTE, _power
+from textkiln.llm.words import _SPACE, Encoder, encoder
 
 #: Bytes of the rolling window, and the mean length of a chunk.
 WINDOW, MEAN = 24, 256
@@ -41,58 +41,107 @@ def cuts(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, mean: int
 
 
 class ChunkEncoder:
-    """Encodes texts by their chunks; keeps (text before the first white space, ids of the middle, text after the last)."""
+    """Encodes texts by their chunks, which it keeps as (text before the first white space, ids between, text after the last, first and
+    last word between); for a chunk without white space only the first is set."""
 
     def __init__(self, words: Encoder):
-        self.words, self.kept, self.size = words, {}, 0
-
-    def _chunk(self, raw: bytes) -> tuple[str, bytes | None, str]:
-        text = raw.decode().replace("\n", " ")
-        head, gap, rest = text.partition(" ")
-        if not gap:
-            out = (text, None, "")
-        else:
-            middle, gap, tail = rest.rpartition(" ")
-            out = (head, b"".join(map(self.words.words.__getitem__, middle.split(" "))) if middle else b"", tail)
+        self.words, self.kept, self.joins, self.size, self.encoded, self.reused, self.unrepaired = words, {}, {}, 0, 0, 0, 0
+
+    def _learn(self, fresh: list[bytes]) -> None:
+        """Encodes distinct new chunks, all at once."""
+        ends = np.cumsum([len(x) for x in fresh])
+        starts = ends - [len(x) for x in fresh]
+        data = np.frombuffer(b"".join(fresh), np.uint8)
+        space = np.flatnonzero(_SPACE[data])
+        lo, hi = np.searchsorted(space, starts), np.searchsorted(space, ends)
+        some = np.flatnonzero(hi > lo)
+        first, last = space[lo[some]] - starts[some], space[hi[some] - 1] - starts[some]
+        middles = [fresh[i][a + 1 : b] for i, a, b in zip(some.tolist(), first.tolist(), last.tolist(), strict=True)]
+        flat, at = self.words.encode_texts(np.frombuffer(b" ".join(middles), np.uint8), np.cumsum([0] + [len(x) + (i < len(middles) - 1) for i, x in enumerate(middles)]))
+        raw, at = memoryview(flat.tobytes()), (4 * at).tolist()
+        made = dict.fromkeys(fresh)
+        for n, i in enumerate(some.tolist()):
+            whole, middle, ids = fresh[i], middles[n], bytes(raw[at[n] : at[n + 1]])
+            made[whole] = (whole[: first[n]], ids, whole[last[n] + 1 :], (middle.split(None, 1) or [b""])[0], (middle.rsplit(None, 1) or [b""])[-1])
+            self.size += len(whole) + len(ids) + 500
+        for whole in fresh:
+            self.kept[whole] = made[whole] or (whole, None, b"", b"", b"")
+            self.size += len(whole) + 200
+        self.encoded += len(fresh)
+
+    def _repair(self, windows: list[tuple[bytes, bytes, bytes]]) -> None:
+        """The ids of the parted word in (last word before, parted word, first word after), None where the ids at the ends aren't theirs."""
+        texts = [b" ".join(w).decode() for w in windows]
+        sides = [w[i] for w in windows for i in (0, 2)]
+        flat, at = self.words.encode_texts(np.frombuffer(b" ".join(sides) + b" ", np.uint8), np.cumsum([0] + [len(x) + 1 for x in sides]))
+        for n, (window, found) in enumerate(zip(windows, self.words.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True)):
+            ids, left, right = np.array(found.ids, np.uint32), flat[at[2 * n] : at[2 * n + 1]], flat[at[2 * n + 1] : at[2 * n + 2]]
+            inner = ids[len(left) : len(ids) - len(right)]
+            agree = len(inner) == len(ids) - len(left) - len(right) and (ids[: len(left)] == left).all() and (ids[len(ids) - len(right) :] == right).all()
+            self.joins[window] = inner.tobytes() if agree else None
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        """Ids of each text in ``data``."""
         if self.size > KEEP:
-            self.kept, self.size = {}, 0
-        self.kept[raw] = out
-        self.size += len(raw) + len(out[1] or b"") + 200
+            self.kept, self.joins, self.size = {}, {}, 0
+        raw = data.tobytes()
+        special = np.flatnonzero((data[:-1] == 0x3C) & (data[1:] == 0x7C))  # what can be a special token is left to the library
+        whole = set((np.searchsorted(offsets, special, "right") - 1).tolist())
+        bounds = np.unique(np.concatenate((offsets, cuts(data, offsets))))
+        owner = (np.searchsorted(offsets, bounds[:-1], "right") - 1).tolist()
+        chunks = [raw[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        fresh = dict.fromkeys(x for x, i in zip(chunks, owner, strict=True) if x not in self.kept and i not in whole)
+        self.reused += len(chunks) - len(fresh)
+        if fresh:
+            self._learn(list(fresh))
+        plans: dict[int, list] = {}  # of each text: ids, or the windows of parted words
+        at = 0
+        while at < len(chunks):
+            i, to = owner[at], at
+            while to < len(chunks) and owner[to] == i:
+                to += 1
+            if i not in whole:
+                plans[i] = self._plan(chunks[at:to])
+            at = to
+        windows = {p for plan in plans.values() for p in plan if type(p) is tuple and p not in self.joins}
+        if windows:
+            self._repair(list(windows))
+            self.size += 300 * len(windows)
+        out = []
+        for i in range(len(offsets) - 1):
+            if i in whole:
+                out.append(self.words.whole(raw[offsets[i] : offsets[i + 1]].decode()))
+                continue
+            parts = [self.joins[p] if type(p) is tuple else p for p in plans.get(i, ())]
+            if None in parts:
+                self.unrepaired += 1
+                out.append(self.words.whole(raw[offsets[i] : offsets[i + 1]].decode()))
+            else:
+                out.append(np.frombuffer(b"".join(parts), "<u4"))
         return out
 
-    def encode(self, text: str, raw: memoryview, inner: list[int]) -> bytes:
-        """Ids of ``text`` (UTF-8 in ``raw``) with chunks that end at ``inner``."""
-        if not is_plain(text):
-            return self.words.whole(text)
-        out, open_, kept, word, at = [], "", self.kept, self.words.words, 0
-        for to in (*inner, len(raw)):
-            piece = bytes(raw[at:to])
-            at = to
-            head, middle, tail = kept.get(piece) or self._chunk(piece)
-            if middle is None:
-                open_ += head
+    def _plan(self, chunks: list[bytes]) -> list:
+        out, open_, before = [], b"", b""
+        for x in chunks:
+            head, ids, tail, one, last = self.kept[x]
+            open_ += head
+            if ids is None:
                 continue
-            if open_ or head:
-                out.append(word[open_ + head])
-            out.append(middle)
-            open_ = tail
-            kept = self.kept
+            if open_:
+                out.append((before, open_, one))
+            out.append(ids)
+            open_, before = tail, last
         if open_:
-            out.append(word[open_])
-        return b"".join(out)
+            out.append((before, open_, b""))
+        return out
 
 
 def encoded(batches: Iterator[pa.RecordBatch], path: str, column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     """Batches with the ids (uint32) of each row's whole text; null is empty."""
     chunks = ChunkEncoder(encoder(path, False))
     for batch in slices(batches, column, 2 << 20):
-        data, off = _text_buffers(batch.column(column))
-        off = off - off[0]
-        at, view, ids = cuts(data, off), memoryview(np.ascontiguousarray(data)), []
-        first = np.searchsorted(at, off)
-        for i, text in enumerate(batch.column(column).to_pylist()):
-            ids.append(np.frombuffer(chunks.encode(text, view[off[i] : off[i + 1]], (at[first[i] : first[i + 1]] - off[i]).tolist()) if text else b"", "<u4"))
-        yield batch, ids
+        data, off = text_buffers(batch.column(column))
+        yield batch, chunks.encode(data, off - off[0])
 
 
 def vocabulary(path: str) -> list[str]:

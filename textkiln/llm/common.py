@@ -37,5 +37,13 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 8 <<
             at = to
 
 
+def text_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of a string column; a null is empty."""
+    col = col.cast(pa.large_string()).fill_null("") if col.null_count else col.cast(pa.large_string())
+    off = np.frombuffer(col.buffers()[1], np.int64)[col.offset : col.offset + len(col) + 1]
+    data = np.frombuffer(col.buffers()[2] or b"", np.uint8)[off[0] : off[-1]]
+    return data, off
+
+
 def batch_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)

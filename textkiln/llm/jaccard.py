@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textkiln.llm.common import GOLDEN, batch_of, slices, splitmix
+from textkiln.llm.common import GOLDEN, batch_of, slices, splitmix, text_buffers
 from textkiln.operators.graph import components
 from textkiln.operators.storage import materialize
 
@@ -116,14 +116,6 @@ def _signatures(grams: np.ndarray, percent: int, tops: np.ndarray) -> Iterator[t
         yield k, need, splitmix((mixed[bounds[filled + 1]] - mixed[bounds[filled]]) + (filled + 1).astype(np.uint64) * GOLDEN + splitmix(np.full(1, k, np.uint64)))
 
 
-def _text_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes and offsets of a string column; a null is empty."""
-    col = col.cast(pa.large_string()).fill_null("") if col.null_count else col.cast(pa.large_string())
-    off = np.frombuffer(col.buffers()[1], np.int64)[col.offset : col.offset + len(col) + 1]
-    data = np.frombuffer(col.buffers()[2] or b"", np.uint8)[off[0] : off[-1]]
-    return data, off
-
-
 FACTS = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("n_grams", pa.int64()), ("node", pa.int64()), ("blob", pa.binary())])
 FACTS_DDL = "part int, doc_id long, n_grams long, node long, blob binary"
 HITS = pa.schema([("doc_id", pa.int64()), ("n_grams", pa.int64()), ("node", pa.int64()), ("sig", pa.int64()), ("class", pa.int32()), ("need", pa.int32())])
@@ -151,7 +143,7 @@ def _sign(batches: Iterator[pa.RecordBatch], n: int, percent: int, parts: int, f
         return batch_of(FACTS, [pa.array(part[cuts[:-1]], pa.int32()), none, none, none, pa.array(out, pa.binary())])
 
     for batch in slices(batches, "text", 1 << 19):
-        data, off = _text_buffers(batch.column("text"))
+        data, off = text_buffers(batch.column("text"))
         ids = batch.column("doc_id").to_pylist()
         sizes, nodes = [], []
         for doc_id, grams in zip(ids, gram_sets(data, off, n), strict=True):
@@ -362,7 +354,7 @@ def _groups(batches: Iterator[pa.RecordBatch], n: int, percent: int) -> Iterator
                 yield batch_of(LINKS, [list(c) for c in zip(*edges, strict=True)])
 
     for batch in slices(batches, "text", 1 << 19):
-        data, off = _text_buffers(batch.column("text"))
+        data, off = text_buffers(batch.column("text"))
         rows = zip(*(batch.column(c).to_pylist() for c in ("grp", "lo", "hi", "own", "node")), gram_sets(data, off, n), strict=True)
         for grp, lo, hi, part, node, grams in rows:
             if (grp, lo, hi) != key:

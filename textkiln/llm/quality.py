@@ -18,8 +18,7 @@ import zstandard as zstd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textkiln.llm.common import slices
-from textkiln.llm.jaccard import _text_buffers
+from textkiln.llm.common import slices, text_buffers
 
 #: Bytes of a block and of a dictionary; compression level.
 BLOCK, DICTIONARY, LEVEL = 512, 112 << 10, 3
@@ -149,7 +148,7 @@ def score_column(docs: DataFrame, model: Model, text: str = "text", name: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text, 8 << 20):
-            data, off = _text_buffers(batch.column(text))
+            data, off = text_buffers(batch.column(text))
             view, off = memoryview(np.ascontiguousarray(data)), (off - off[0]).tolist()
             scores = [model.score(blocks_of(view[a:b])) for a, b in zip(off[:-1], off[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*keep, name])

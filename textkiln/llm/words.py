@@ -1,8 +1,9 @@
-"""Exact encoding by pieces: words are encoded by the tokenizers library once and then looked up.
+"""Exact encoding by pieces: words are encoded by the tokenizers library once and then looked up, many at a time.
 
-A text is *plain* if its white space is single spaces and newlines between other characters and it holds no
-control characters and no start of a special token. In a plain text both kinds of tokenizer below split at
-every space and newline, so the ids of a text are those of its words in a row. Other texts go to the library whole.
+Both kinds of tokenizer below split a text at ASCII white space before anything else, so the ids of a text are those
+of its pieces in a row. A piece of up to 16 bytes is its own key in a hash table of two 64-bit numbers, so a lookup is
+exact and needs no Python object; longer ones are keyed by their bytes. Texts with the start of a special
+token, and for byte-level tokenizers also those with control characters or white space outside ASCII, go to the library whole.
 """
 
 from __future__ import annotations
@@ -12,12 +13,23 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Words kept by a worker; a full table is emptied, which changes nothing but time.
-MAX_WORDS = 1_000_000
+#: Pieces kept by a worker, and the slots of their table; a full table is emptied, which changes nothing but time.
+MAX_PIECES, SLOTS = 1 << 20, 1 << 21
+#: Bytes looked up at a time.
+BLOCK = 1 << 20
 
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_CONTROL = np.zeros(256, bool)
+_CONTROL[[*range(0x09), *range(0x0E, 0x20), 0x7F]] = True
+_MARK = np.zeros(256, bool)
+_MARK[list(b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~")] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 #: Letters that both kinds of tokenizer keep together, that are in NFC and have lower cases of one letter.
 _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-įıĴ-ɏ]+")
-_MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
+_MASK = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
+_EMPTY = np.zeros(0, np.uint32)
 
 
 @lru_cache
@@ -33,35 +45,64 @@ def byte_letters() -> list[str]:
     return out
 
 
-def is_plain(text: str) -> bool:
-    flat = text.replace("\n", " ")
-    return flat.isprintable() and "  " not in flat and flat[:1] != " " and flat[-1:] != " " and "<|" not in flat
+def marks_at(data: np.ndarray, at: np.ndarray, to: np.ndarray) -> np.ndarray:
+    """Where the ASCII marks that end a word begin, if a plain letter stands before them: there all these tokenizers part; else its end."""
+    cut, left = to.copy(), np.flatnonzero(_MARK[data[to - 1]])
+    while len(left):
+        cut[left] -= 1
+        left = left[cut[left] > at[left]]
+        left = left[_MARK[data[cut[left] - 1]]]
+    some = np.flatnonzero(cut < to)
+    inside = some[cut[some] > at[some]]
+    last, second = data[cut[inside] - 1], data[np.maximum(cut[inside] - 2, 0)]
+    two = (cut[inside] - at[inside] >= 2) & (last >= 0x80)
+    latin = ((second == 0xC3) & (last != 0x97) & (last != 0xB7)) | ((second == 0xC4) & (last != 0xB0) & (last != 0xB2) & (last != 0xB3)) | ((second >= 0xC5) & (second <= 0xC8))
+    ok = _LETTER[last] | (two & latin)
+    keep = np.zeros(len(at), bool)
+    keep[inside[ok]] = True
+    return np.where(keep, cut, to)
 
 
-class _Table(dict):
-    """Word to ids (uint32, little endian) with ``lead`` put before each word."""
+def pieces(data: np.ndarray, offsets: np.ndarray, spaced: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the pieces of all texts in ``data``, in order.
 
-    def __init__(self, tokenizer, lead: str, lower: bool, marks: _Table | None = None):
-        super().__init__()
-        self.tokenizer, self.model, self.lead, self.lower, self.marks = tokenizer, tokenizer.model, lead, lower, marks
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= MAX_WORDS:
-            self.clear()
-        base = word.rstrip(_MARKS)
-        if base and len(base) < len(word) and _LETTERS.fullmatch(base):  # letters, then marks: always apart
-            out = self[base] + (self.marks if self.marks is not None else self)[word[len(base) :]]
-        elif _LETTERS.fullmatch(word):  # one piece for the model
-            piece = (self.lead + (word.lower() if self.lower else word)).encode()
-            out = np.array([t.id for t in self.model.tokenize("".join(map(byte_letters().__getitem__, piece)))], "<u4").tobytes()
-        else:
-            out = np.array(self.tokenizer.encode(self.lead + word, add_special_tokens=False).ids, "<u4").tobytes()
-        self[word] = out
-        return out
+    Pieces are words, without the marks that end them, and these marks; where ``spaced``, a space belongs to the word after it, and the rest of the white space between two words is a
+    piece, or two where no space ends it: what comes before the last character, and that character. White space that ends a text is one piece.
+    """
+    n = len(data)
+    inner = ~_SPACE[data]
+    new = np.zeros(n + 1, bool)
+    new[offsets] = True
+    starts, ends = inner.copy(), inner.copy()
+    starts[1:] &= ~inner[:-1] | new[1:n]
+    ends[:-1] &= ~inner[1:] | new[1:n]
+    at, to = np.flatnonzero(starts), np.flatnonzero(ends) + 1
+    cut = marks_at(data, at, to)
+    if not spaced:
+        begin, end = np.stack((at, cut), 1).ravel(), np.stack((cut, to), 1).ravel()
+        keep = end > begin
+        return begin[keep], end[keep]
+    text = np.searchsorted(offsets, at, "right") - 1
+    before = offsets[text]  # where the gap before a word begins
+    same = np.flatnonzero(text[1:] == text[:-1]) + 1
+    before[same] = to[same - 1]
+    lead = (at > before) & (data[np.maximum(at - 1, 0)] == 0x20)
+    word = at - lead
+    last = np.where((word > before) & ~lead, word - 1, word)
+    gap = np.flatnonzero(offsets[1:] > offsets[:-1])
+    tail = offsets[:-1].copy()
+    tail[text] = to  # of the words of a text the last one stays
+    tail, stop = tail[gap], offsets[1:][gap]
+    begin = np.concatenate((np.stack((before, last, word, cut), 1).ravel(), tail))
+    end = np.concatenate((np.stack((last, word, cut, to), 1).ravel(), stop))
+    keep = end > begin
+    begin, end = begin[keep], end[keep]
+    order = np.argsort(begin, kind="stable")
+    return begin[order], end[order]
 
 
 class Encoder:
-    """spaced: a space belongs to the word after it and newlines are tokens (byte-level BPE); else white space is dropped."""
+    """spaced: byte-level BPE, where white space has tokens; else white space is dropped."""
 
     def __init__(self, path: str, spaced: bool):
         from tokenizers import Tokenizer
@@ -69,32 +110,164 @@ class Encoder:
         self.tokenizer, self.spaced = Tokenizer.from_file(path), spaced
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.words = _Table(self.tokenizer, "", not spaced)
-        self.after = _Table(self.tokenizer, " ", False, self.words) if spaced else self.words
+        self._clear()
+
+    def _clear(self) -> None:
+        self.first, self.second, self.entry = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.uint64), np.full(SLOTS, -1, np.int32)
+        self.long: dict[bytes, int] = {}
+        self.count, self.used = 0, 0
+        self.start, self.pool = np.zeros(1 << 16, np.int64), np.zeros(1 << 18, np.uint32)  # ids of entry i: pool[start[i]:start[i + 1]]
 
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def plain(self, text: str) -> bytes:
-        """Ids of a plain text that isn't empty."""
+    def encode(self, text: str) -> np.ndarray:
+        raw = np.frombuffer(text.encode(), np.uint8)
+        return self.encode_texts(raw, np.array([0, len(raw)]))[0]
+
+    def encode_texts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in ``data`` (UTF-8) in a row, and where each text's ids start."""
+        offsets = np.asarray(offsets, np.int64) - offsets[0]
+        out, counts, at = [], np.zeros(len(offsets) - 1, np.int64), 0
+        while at < len(counts):
+            to = min(len(counts), max(at + 1, int(np.searchsorted(offsets, offsets[at] + BLOCK, "right")) - 1))
+            ids, n = self._block(data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at])
+            out.append(ids)
+            counts[at:to] = n
+            at = to
+        return np.concatenate(out) if out else _EMPTY, np.concatenate(([0], np.cumsum(counts)))
+
+    def _block(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        odd = self._odd(data, offsets)
+        if len(odd):
+            ids, counts, at = [], [], 0
+            for i in [*odd.tolist(), len(offsets) - 1]:
+                if i > at:
+                    part, n = self._plain(data[offsets[at] : offsets[i]], offsets[at : i + 1] - offsets[at])
+                    ids.append(part)
+                    counts.append(n)
+                if i < len(offsets) - 1:
+                    ids.append(self.whole(data[offsets[i] : offsets[i + 1]].tobytes().decode()))
+                    counts.append(np.array([len(ids[-1])]))
+                at = i + 1
+            return np.concatenate(ids), np.concatenate(counts)
+        return self._plain(data, offsets)
+
+    def _odd(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Texts for the library; what lies across the border of two texts may name one too many."""
+        bad = [np.flatnonzero((data[:-1] == 0x3C) & (data[1:] == 0x7C))]
         if not self.spaced:
-            return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
-        out, first, after, newline = [], self.words, self.after.__getitem__, self.words["\n"]
-        for line in text.split("\n"):
-            head, *rest = line.split(" ")
-            out.append(first[head])
-            out.extend(map(after, rest))
-            out.append(newline)
-        out.pop()
-        return b"".join(out)
-
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        return self.plain(text) if is_plain(text) else self.whole(text)
+            bad.append(np.flatnonzero(data == 0))
+        else:
+            bad.append(np.flatnonzero(_CONTROL[data]))
+            padded = np.concatenate((data, np.zeros(2, np.uint8)))
+            for lead, test in (
+                (0xC2, lambda b, c: b <= 0xA0), (0xE1, lambda b, c: ((b == 0x9A) & (c == 0x80)) | ((b == 0xA0) & (c == 0x8E))),
+                (0xE2, lambda b, c: ((b == 0x80) & ((c <= 0x8F) | (c >= 0xA8))) | ((b == 0x81) & (c >= 0x9F))), (0xE3, lambda b, c: (b == 0x80) & (c == 0x80)), (0xEF, lambda b, c: (b == 0xBB) & (c == 0xBF)),
+            ):
+                at = np.flatnonzero(data == lead)
+                bad.append(at[test(padded[at + 1], padded[at + 2])])
+        bad = np.concatenate(bad)
+        return np.unique(np.searchsorted(offsets, bad, "right") - 1) if len(bad) else bad
+
+    def _plain(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        begin, end = pieces(data, offsets, self.spaced)
+        found = self.lookup(data, begin, end)
+        ids, size = self.ids_of(found)
+        at = np.concatenate(([0], np.cumsum(size)))[np.searchsorted(begin, offsets)]
+        return ids, np.diff(at)
+
+    def ids_of(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of entries in a row, and how many each has."""
+        start = self.start[entries]
+        size = self.start[entries + 1] - start
+        to = np.cumsum(size)
+        return self.pool[np.repeat(start - to + size, size) + np.arange(int(to[-1]) if len(to) else 0)], size
+
+    def lookup(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The entry of each piece; new pieces are encoded. Pieces hold no zero byte."""
+        if self.count + len(begin) > MAX_PIECES:
+            self._clear()
+        size = end - begin
+        raw = np.concatenate((data, np.zeros(16, np.uint8)))
+        words = np.ndarray((len(raw) - 7,), "<u8", raw, 0, (1,))
+        first = words[begin] & _MASK[np.minimum(size, 8)]
+        second = np.zeros(len(begin), np.uint64)
+        wide = np.flatnonzero(size > 8)
+        second[wide] = words[begin[wide] + 8] & _MASK[np.minimum(size[wide] - 8, 8)]
+        out = np.full(len(begin), -1, np.int32)
+        short, long = np.flatnonzero(size <= 16), np.flatnonzero(size > 16)
+        slot = ((first[short] * np.uint64(0x9E3779B97F4A7C15)) ^ (second[short] * np.uint64(0xBF58476D1CE4E5B9))) * np.uint64(0x94D049BB133111EB)
+        slot = (slot >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
+        open_, slot = self._probe(first, second, short, slot, out)
+        if len(open_):
+            key = np.stack((first[open_], second[open_]), 1)
+            kinds, one, back = np.unique(key.view("V16").ravel(), return_index=True, return_inverse=True)
+            made = self._encode(data, begin[open_[one]], end[open_[one]])
+            self._insert(kinds.view(np.uint64).reshape(-1, 2), slot[one], made)
+            out[open_] = made[back]
+        if len(long):
+            names = [data[a:b].tobytes() for a, b in zip(begin[long].tolist(), end[long].tolist(), strict=True)]
+            fresh = {name: i for i, name in enumerate(names) if name not in self.long}
+            if fresh:
+                at = long[list(fresh.values())]
+                self.long.update(zip(fresh, self._encode(data, begin[at], end[at]).tolist(), strict=True))
+            out[long] = [self.long[name] for name in names]
+        return out
+
+    def _probe(self, first: np.ndarray, second: np.ndarray, open_: np.ndarray, slot: np.ndarray, out: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Fills ``out`` for pieces in the table; gives the others and the free slot that each came to."""
+        missing, free = [], []
+        while len(open_):
+            entry = self.entry[slot]
+            empty = entry < 0
+            hit = ~empty & (self.first[slot] == first[open_]) & (self.second[slot] == second[open_])
+            out[open_[hit]] = entry[hit]
+            missing.append(open_[empty])
+            free.append(slot[empty])
+            on = ~(hit | empty)
+            open_, slot = open_[on], (slot[on] + 1) & (SLOTS - 1)
+        return (np.concatenate(missing), np.concatenate(free)) if missing else (open_, slot)
+
+    def _insert(self, keys: np.ndarray, slot: np.ndarray, entries: np.ndarray) -> None:
+        left = np.arange(len(keys))
+        while len(left):
+            at = slot[left]
+            _, one = np.unique(at, return_index=True)
+            one = one[self.entry[at[one]] < 0]
+            self.entry[at[one]], self.first[at[one]], self.second[at[one]] = entries[left[one]], keys[left[one], 0], keys[left[one], 1]
+            stay = np.ones(len(left), bool)
+            stay[one] = False
+            left = left[stay]
+            slot[left] = (slot[left] + 1) & (SLOTS - 1)
+
+    def _encode(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """New entries for distinct pieces, encoded one by one: plain letters are one piece for the model, others go through all steps."""
+        texts = [data[a:b].tobytes().decode() for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+        letters, tokenize, ids, others = byte_letters(), self.tokenizer.model.tokenize, [], []
+        for i, text in enumerate(texts):
+            if _LETTERS.fullmatch(text, text[0] == " "):
+                ids.append([t.id for t in tokenize("".join([letters[b] for b in (text if self.spaced else text.lower()).encode()]))])
+            else:
+                ids.append(None)
+                others.append(i)
+        for i, e in zip(others, self.tokenizer.encode_batch_fast([texts[i] for i in others], add_special_tokens=False), strict=True):
+            ids[i] = e.ids
+        size = np.array([len(x) for x in ids], np.int64)
+        flat = np.array([x for one in ids for x in one], np.uint32)
+        n, m = self.count + len(ids) + 1, self.used + len(flat)
+        if n > len(self.start):
+            self.start = np.concatenate((self.start, np.zeros(max(n, len(self.start)), np.int64)))
+        if m > len(self.pool):
+            self.pool = np.concatenate((self.pool, np.zeros(max(m, len(self.pool)), np.uint32)))
+        self.pool[self.used : m] = flat
+        self.start[self.count + 1 : n] = self.used + np.cumsum(size)
+        made = np.arange(self.count, n - 1, dtype=np.int32)
+        self.count, self.used = n - 1, m
+        return made
 
 
 @lru_cache(2)
 def encoder(path: str, spaced: bool) -> Encoder:
-    """One per worker process, so words are shared by all its tasks."""
+    """One per worker process, so pieces are shared by all its tasks."""
     return Encoder(path, spaced)
