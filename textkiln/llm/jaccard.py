@@ -25,7 +25,9 @@ from textkiln.operators.storage import materialize
 #: Growth from one class of set sizes to the next.
 RATIO = 1.25
 #: Sets and n-grams of a group that one task holds of each side.
-PART_SETS, PART_GRAMS = 1024, 400_000
+PART_SETS, PART_GRAMS = 512, 400_000
+#: Sets that share a node with another one and are renamed in one go; with more of them the rest follows in the next.
+MOST_SALTED = 100_000
 
 _rng = np.random.default_rng(20240607)
 _SPACE = np.zeros(256, bool)
@@ -84,9 +86,11 @@ def gram_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> Iterator[np.ndar
             yield words[:0]
 
 
-def node_of(grams: np.ndarray) -> int:
-    """Identity of a set, a signed 64-bit hash."""
-    return int.from_bytes(hashlib.blake2b(grams.tobytes(), digest_size=8).digest(), "little", signed=True)
+def node_of(grams: np.ndarray, salted: frozenset = frozenset()) -> tuple[int, int]:
+    """Identity of a set, signed 64 bits, and 64 bits more by which two sets of one identity are told apart; those in ``salted`` swap the two."""
+    raw = hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
+    node, check = int.from_bytes(raw[:8], "little", signed=True), int.from_bytes(raw[8:], "little", signed=True)
+    return (check, node) if node in salted else (node, check)
 
 
 def _classes(percent: int, largest: int = 1 << 40) -> np.ndarray:
@@ -116,15 +120,15 @@ def _signatures(grams: np.ndarray, percent: int, tops: np.ndarray) -> Iterator[t
         yield k, need, splitmix((mixed[bounds[filled + 1]] - mixed[bounds[filled]]) + (filled + 1).astype(np.uint64) * GOLDEN + splitmix(np.full(1, k, np.uint64)))
 
 
-FACTS = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("n_grams", pa.int64()), ("node", pa.int64()), ("blob", pa.binary())])
-FACTS_DDL = "part int, doc_id long, n_grams long, node long, blob binary"
-HITS = pa.schema([("doc_id", pa.int64()), ("n_grams", pa.int64()), ("node", pa.int64()), ("sig", pa.int64()), ("class", pa.int32()), ("need", pa.int32())])
-HITS_DDL = "doc_id long, n_grams long, node long, sig long, class int, need int"
+FACTS = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("n_grams", pa.int64()), ("node", pa.int64()), ("check", pa.int64()), ("blob", pa.binary())])
+FACTS_DDL = "part int, doc_id long, n_grams long, node long, check long, blob binary"
+HITS = pa.schema([("doc_id", pa.int64()), ("n_grams", pa.int64()), ("node", pa.int64()), ("check", pa.int64()), ("sig", pa.int64()), ("class", pa.int32()), ("need", pa.int32())])
+HITS_DDL = "doc_id long, n_grams long, node long, check long, sig long, class int, need int"
 #: A blob: the number of sets; node, class, need, number of signatures of each; all low and all high parts of the signatures.
 ENTRY = np.dtype([("node", "<i8"), ("class", "<i4"), ("need", "<i4")])
 
 
-def _sign(batches: Iterator[pa.RecordBatch], n: int, percent: int, parts: int, flush: int = 1 << 18) -> Iterator[pa.RecordBatch]:
+def _sign(batches: Iterator[pa.RecordBatch], n: int, percent: int, parts: int, salted: frozenset, flush: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """Documents to a row each, and to blobs of signatures for each part. Equal sets of one task sign once."""
     tops, seen, entries, sigs, owner, held = _classes(percent), set(), [], [], [], 0
 
@@ -140,16 +144,17 @@ def _sign(batches: Iterator[pa.RecordBatch], n: int, percent: int, parts: int, f
             used, local = np.unique(own[a:b], return_inverse=True)
             out.append(np.array([len(used), b - a], "<u4").tobytes() + table[used].tobytes() + local.astype("<u4").tobytes() + (s[a:b] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() + ((s[a:b] >> np.uint64(32)) & np.uint64(0xFFFF)).astype("<u2").tobytes())
         none = pa.nulls(len(out), pa.int64())
-        return batch_of(FACTS, [pa.array(part[cuts[:-1]], pa.int32()), none, none, none, pa.array(out, pa.binary())])
+        return batch_of(FACTS, [pa.array(part[cuts[:-1]], pa.int32()), none, none, none, none, pa.array(out, pa.binary())])
 
     for batch in slices(batches, "text", 1 << 19):
         data, off = text_buffers(batch.column("text"))
         ids = batch.column("doc_id").to_pylist()
-        sizes, nodes = [], []
+        sizes, nodes, checks = [], [], []
         for doc_id, grams in zip(ids, gram_sets(data, off, n), strict=True):
-            node = node_of(grams) if len(grams) else None
+            node, check = node_of(grams, salted) if len(grams) else (None, None)
             sizes.append(len(grams))
             nodes.append(node)
+            checks.append(check)
             if node is None or doc_id is None or node in seen:
                 continue
             seen.add(node)
@@ -158,7 +163,7 @@ def _sign(batches: Iterator[pa.RecordBatch], n: int, percent: int, parts: int, f
                 sigs.append(s)
                 owner.append(len(s))
                 held += len(s)
-        yield batch_of(FACTS, [pa.array([hash((i, m)) % parts for i, m in zip(ids, sizes, strict=True)], pa.int32()), batch.column("doc_id"), sizes, nodes, pa.nulls(len(ids), pa.binary())])
+        yield batch_of(FACTS, [pa.array([hash((i, m)) % parts for i, m in zip(ids, sizes, strict=True)], pa.int32()), batch.column("doc_id"), sizes, nodes, checks, pa.nulls(len(ids), pa.binary())])
         if held >= flush:
             yield blobs()
             entries, sigs, owner, held = [], [], [], 0
@@ -167,24 +172,34 @@ def _sign(batches: Iterator[pa.RecordBatch], n: int, percent: int, parts: int, f
 
 
 def _hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Passes the document rows on, and gives every set's signatures that another set has too."""
-    tables, owners, sigs, seen = [], [], [], 0
+    """Rows sorted by part: passes the document rows on, and gives every set's signatures that another set has too. It holds one part at a time."""
+    blobs, current = [], None
     for batch in batches:
         docs = batch.filter(batch.column("blob").is_null())
         if docs.num_rows:
             none, small = pa.nulls(docs.num_rows, pa.int64()), pa.nulls(docs.num_rows, pa.int32())
-            yield batch_of(HITS, [docs.column("doc_id"), docs.column("n_grams"), docs.column("node"), none, small, small])
+            yield batch_of(HITS, [*[docs.column(c) for c in ("doc_id", "n_grams", "node", "check")], none, small, small])
         for part, blob in zip(batch.column("part").to_pylist(), batch.column("blob"), strict=True):
             if not blob.is_valid:
                 continue
-            view = memoryview(blob.as_buffer())
-            n, m = np.frombuffer(view, "<u4", 2).tolist()
-            at = 8 + n * ENTRY.itemsize
-            tables.append(np.frombuffer(view, ENTRY, n, 8).copy())
-            owners.append(np.frombuffer(view, "<u4", m, at) + np.uint32(seen))
-            low, high = np.frombuffer(view, "<u4", m, at + 4 * m).astype(np.uint64), np.frombuffer(view, "<u2", m, at + 8 * m).astype(np.uint64)
-            sigs.append(low | high << np.uint64(32) | np.uint64(part & 0xFFFF) << np.uint64(48))
-            seen += n
+            if part != current:
+                yield from _matches(current, blobs)
+                blobs, current = [], part
+            blobs.append(blob.as_buffer())
+    yield from _matches(current, blobs)
+
+
+def _matches(part: int, blobs: list) -> Iterator[pa.RecordBatch]:
+    tables, owners, sigs, seen = [], [], [], 0
+    for blob in blobs:
+        view = memoryview(blob)
+        n, m = np.frombuffer(view, "<u4", 2).tolist()
+        at = 8 + n * ENTRY.itemsize
+        tables.append(np.frombuffer(view, ENTRY, n, 8))
+        owners.append(np.frombuffer(view, "<u4", m, at) + np.uint32(seen))
+        low, high = np.frombuffer(view, "<u4", m, at + 4 * m).astype(np.uint64), np.frombuffer(view, "<u2", m, at + 8 * m).astype(np.uint64)
+        sigs.append(low | high << np.uint64(32) | np.uint64(part & 0xFFFF) << np.uint64(48))
+        seen += n
     if not sigs:
         return
     table, own, s = np.concatenate(tables), np.concatenate(owners), np.concatenate(sigs)
@@ -210,7 +225,7 @@ def _hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for a in range(0, len(s), 1 << 16):
         b = min(len(s), a + (1 << 16))
         none = pa.nulls(b - a, pa.int64())
-        yield batch_of(HITS, [none, none, pa.array(node[a:b]), pa.array(s[a:b]), pa.array(table["class"][own[a:b]]), pa.array(table["need"][own[a:b]])])
+        yield batch_of(HITS, [none, none, pa.array(node[a:b]), none, pa.array(s[a:b]), pa.array(table["class"][own[a:b]]), pa.array(table["need"][own[a:b]])])
 
 
 class PrefixTree:
@@ -340,7 +355,7 @@ def _forest(n: int, i: np.ndarray, j: np.ndarray) -> list[int]:
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _groups(batches: Iterator[pa.RecordBatch], n: int, percent: int) -> Iterator[pa.RecordBatch]:
+def _groups(batches: Iterator[pa.RecordBatch], n: int, percent: int, salted: frozenset) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (grp, lo, hi): joins each run of sets and gives a spanning forest of its links."""
     key, sets, nodes, own = None, {}, [], []
 
@@ -360,28 +375,35 @@ def _groups(batches: Iterator[pa.RecordBatch], n: int, percent: int) -> Iterator
             if (grp, lo, hi) != key:
                 yield from done()
                 key, sets, nodes, own = (grp, lo, hi), {}, [], []
-            if node not in sets and len(grams) and node_of(grams) == node:
+            if node not in sets and len(grams) and node_of(grams, salted)[0] == node:
                 sets[node] = grams
                 nodes.append(node)
                 own.append(int(part != lo))
     yield from done()
 
 
-def similarity_groups(docs: DataFrame, *, n: int = 5, percent: int = 80) -> DataFrame:
+def similarity_groups(docs: DataFrame, *, n: int = 5, percent: int = 80, salted: frozenset = frozenset()) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text).
 
     Words are runs of characters other than ASCII white space, with A-Z as a-z; texts link when
     100 * |intersection| >= percent * |union| of their distinct word n-grams. A shorter text is one n-gram of
     all its words; null and empty texts have none and link with nothing. Rows of a null id link with
     nothing either and have a null component. Equal sets are one node, so copies and repeated rows cost
-    nothing; repeated ids share a component only through their texts. Other columns are not read.
+    nothing; repeated ids share a component only through their texts. A very long text is one set of all its n-grams; an empty table gives an
+    empty one. Other columns are not read. Words and n-grams are told apart by 64-bit hashes, sets by 128 bits: where two different ones
+    share a node (64 bits of these) all is done again with the other 64 bits for those in ``salted``.
     """
     spark = docs.sparkSession
-    parts = min(1 << 16, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = texts.mapInArrow(lambda it: _sign(it, n, percent, parts), FACTS_DDL)
-    facts = materialize(signed.repartition("part").mapInArrow(_hits, HITS_DDL), "signatures")
-    rows = facts.where("sig is null").select("doc_id", "n_grams", "node")
+    signed = texts.mapInArrow(lambda it: _sign(it, n, percent, parts, salted), FACTS_DDL)
+    facts = materialize(signed.repartition("part").sortWithinPartitions("part").mapInArrow(_hits, HITS_DDL), "signatures")
+    rows = facts.where("sig is null").select("doc_id", "n_grams", "node", "check")
+    of_node = rows.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n_grams").alias("n_grams"), F.min("check").alias("check"), F.max("check").alias("other"))
+    of_node = materialize(of_node, "nodes")
+    shared = of_node.where("check <> other").select("node").limit(MOST_SALTED).collect()  # of 10**10 sets about three share a node with another one
+    if shared:
+        return similarity_groups(docs, n=n, percent=percent, salted=salted | {r["node"] for r in shared})
     hits = facts.where("sig is not null").select("node", "sig", "class", "need")
     able = hits.groupBy("node", "class").agg(F.count("*").alias("n"), F.min("need").alias("need")).where("n >= need").select("node", "class")
     kept = hits.join(able, ["node", "class"]).select("sig", "node")
@@ -389,8 +411,7 @@ def similarity_groups(docs: DataFrame, *, n: int = 5, percent: int = 80) -> Data
     center = materialize(kept.groupBy("sig").agg(F.min("node").alias("center")), "centers")
     star = kept.join(center, "sig").select(F.col("node").alias("a"), F.col("center").alias("b"))
     grouped = components(star).withColumnRenamed("component", "grp")
-    of_node = rows.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n_grams").alias("n_grams"))
-    members = materialize(grouped.join(of_node, "node"), "members")
+    members = materialize(grouped.join(of_node.select("node", "rep", "n_grams"), "node"), "members")
     split = members.groupBy("grp").agg(F.ceil(F.greatest(F.count("*") / PART_SETS, F.sum("n_grams") / PART_GRAMS)).cast("int").alias("parts"))
     dealt = members.join(split, "grp").withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     # merge: candidates grow with the documents, so their join is a sort-merge join at every size
@@ -399,7 +420,7 @@ def similarity_groups(docs: DataFrame, *, n: int = 5, percent: int = 80) -> Data
     keys = ["grp", "lo", "hi"]
     blocks = with_text.select("grp", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "text")
     blocks = blocks.repartition(*keys).sortWithinPartitions(*keys, "node")
-    links = blocks.mapInArrow(lambda it: _groups(it, n, percent), "a long, b long")
+    links = blocks.mapInArrow(lambda it: _groups(it, n, percent, salted), "a long, b long")
     comp = components(links)
     labelled = rows.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = materialize(labelled.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least")), "least")
