@@ -58,7 +58,9 @@ def replicate(docs: DataFrame, weights: dict[str, float], *, key: str = "doc_id"
     """The rows of ``docs``, each ``n_copies`` times with ``copy_no`` from 0, in the order of ``shuffle_key``.
 
     Null keys draw like a key named "null"; repeated rows draw alike; rows with count 0 leave. An empty table
-    gives an empty one. Columns named n_copies, copy_no, shuffle_key, rate are replaced, other ones stay.
+    gives an empty one; a null or empty text has size 0, a very long one counts with all its bytes. Columns named n_copies, copy_no, shuffle_key, rate
+    are replaced, other ones stay. The key is uniform, so its leading digits alone deal the copies over the partitions in its order: no sample is drawn for
+    the sort, and the copies of one row go to all partitions.
     """
     by = rates(docs, weights, source=source, **options)
     if by.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
@@ -67,7 +69,11 @@ def replicate(docs: DataFrame, weights: dict[str, float], *, key: str = "doc_id"
     draw = lambda c: F.size(F.filter(F.col("_tk_cdf"), lambda p: p <= uniform(F.lit(seed), name, c.cast("string"))))
     count = F.aggregate(F.sequence(F.lit(0), F.col("_tk_draws") - 1), F.lit(0), lambda a, c: a + draw(c))
     joined = docs.join(by, docs[source].eqNullSafe(by["_tk_source"])).withColumns({"rate": F.col("_tk_rate"), "n_copies": count})
-    out = joined.where("n_copies > 0").withColumn("copy_no", F.explode(F.sequence(F.lit(0), F.col("n_copies") - 1)))
+    drawn = joined.where("n_copies > 0").drop("_tk_source", "_tk_size", "_tk_rate", "_tk_draws", "_tk_cdf")
+    out = drawn.withColumn("copy_no", F.explode(F.sequence(F.lit(0), F.col("n_copies") - 1)))
     out = out.withColumn("shuffle_key", F.substring(F.md5(F.concat_ws(":", F.lit(f"order{seed}"), name, F.col("copy_no").cast("string"))), 1, 16))
-    out = out.drop("_tk_source", "_tk_size", "_tk_rate", "_tk_draws", "_tk_cdf")
-    return out.orderBy("shuffle_key") if shuffle else out
+    if not shuffle:
+        return out
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.floor(F.conv(F.substring("shuffle_key", 1, 8), 16, 10).cast("long") * parts / (1 << 32)).cast("int")
+    return out.repartitionById(parts, place).sortWithinPartitions("shuffle_key")
