@@ -24,6 +24,8 @@ from textkiln.operators.storage import materialize
 TABLES, PROBES, SCALE = 4, 2, 2.1
 #: Rows of a cell that one task compares at a time; larger cells are split into pairs of parts.
 PART_ROWS = 1024
+#: Cells where vectors meet are broadcast up to this count (about 3 MB), and joined by a shuffle beyond it.
+BROADCAST_CELLS = 100_000
 
 
 @lru_cache
@@ -80,7 +82,8 @@ def cells(unit: np.ndarray, label: np.ndarray, tables: int, probes: int, scale:
     return out
 
 
-def _explode(batches: Iterator[pa.RecordBatch], schema: pa.Schema, how: tuple) -> Iterator[pa.RecordBatch]:
+def _encode(batches: Iterator[pa.RecordBatch], schema: pa.Schema, how: tuple) -> Iterator[pa.RecordBatch]:
+    """Vectors as doubles in bytes, with the cells of all tables: of each table first the own one, then those it looks into."""
     tables, probes, scale, seed = how
     for whole in batches:
         for a in range(0, whole.num_rows, 2048):
@@ -94,16 +97,11 @@ def _explode(batches: Iterator[pa.RecordBatch], schema: pa.Schema, how: tuple) -
                 v = flat[starts[rows][:, None] + np.arange(dim)].astype(np.float64)
                 scaled = v / np.abs(v).max(1, keepdims=True)
                 unit = scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
-                label = batch.column("label").to_numpy()[rows]
-                code = cells(unit, label, tables, probes, scale, seed)
-                raw, packed = np.ascontiguousarray(v), np.ascontiguousarray(code.reshape(len(rows), -1))
-                vec = pa.array([r.tobytes() for r in raw], pa.binary())
-                codes = pa.array([c.tobytes() for c in packed], pa.binary())
-                ids, weight = batch.column("id").to_numpy()[rows], batch.column("weight").to_numpy()[rows]
-                for t in range(tables):
-                    for p in range(1 + probes):
-                        n = len(rows)
-                        yield batch_of(schema, [pa.array(code[:, t, p].view(np.int64)), pa.array(np.full(n, t, np.int32)), pa.array(np.full(n, p == 0)), pa.array(ids), pa.array(label.astype(np.int64)), pa.array(weight), vec, codes])
+                code = cells(unit, batch.column("salt").to_numpy()[rows], tables, probes, scale, seed).reshape(len(rows), -1)
+                raw = np.ascontiguousarray(v)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * code.shape[1], pa.int32()), pa.array(np.ascontiguousarray(code).view(np.int64).ravel()))
+                kept = batch.take(pa.array(rows))
+                yield batch_of(schema, [*[kept.column(c) for c in ("id", "label", "weight")], pa.array([r.tobytes() for r in raw], pa.binary()), lists])
 
 
 def _meet(codes: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -186,8 +184,9 @@ def _cells_of(batches: Iterator[pa.RecordBatch], schema: pa.Schema, threshold: f
             vec = np.frombuffer(b"".join(s.column("vec").to_pylist()), np.float64).reshape(len(at), -1)
             lo, hi = int(s.column("lo")[0].as_py()), int(s.column("hi")[0].as_py())
             scaled = vec / np.abs(vec).max(1, keepdims=True)
-            g = {c: s.column(c).to_numpy() for c in ("home", "id", "label", "weight")}
-            g |= {"vec": scaled, "unit": scaled / np.linalg.norm(scaled, axis=1, keepdims=True), "codes": np.frombuffer(b"".join(s.column("codes").to_pylist()), np.uint64).reshape(len(at), *shape)}
+            g = {c: s.column(c).to_numpy() for c in ("home", "id", "weight")}
+            g["label"] = s.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
+            g |= {"vec": scaled, "unit": scaled / np.linalg.norm(scaled, axis=1, keepdims=True), "codes": s.column("codes").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(at), *shape)}
             g |= {"table": int(s.column("t")[0].as_py()), "cell": np.uint64(int(s.column("cell")[0].as_py()) & (1 << 64) - 1), "part": s.column("own").to_numpy() if lo != hi else None}
             links, root = _compare(g, threshold)
             linked = np.flatnonzero((links > 0) | (root != np.arange(len(root))))
@@ -212,32 +211,34 @@ def _cells_of(batches: Iterator[pa.RecordBatch], schema: pa.Schema, threshold: f
 def near_duplicates(vectors: DataFrame, *, threshold: float = 0.98, tables: int = TABLES, probes: int = PROBES, scale: float = SCALE, seed: int = 7) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors`` (vec_id, embedding, label).
 
-    Vectors are compared if their labels are equal and not null and their lengths agree; null, empty and zero
+    Vectors are compared if their labels, of any type, are equal and not null and their lengths agree; null, empty and zero
     vectors and ones with null or non-finite components link with nothing. Equal vectors of a label are one row until the end,
-    so copies cost nothing. A cell above PART_ROWS rows is split into parts that are compared pair by pair.
-    Each pair counts in the first table and cell where it meets, so links are not counted twice. Repeated
-    ids are rows of their own that share an id; extra columns are not read. Null ids come back unlinked.
+    so copies cost nothing. Only ids and cells are shuffled to find the cells where vectors meet; the vectors follow into those. A cell above PART_ROWS
+    rows is split into parts that are compared pair by pair. Each pair counts in the first table and cell where it meets, so links are not counted twice.
+    Repeated ids are rows of their own that share an id; extra columns, also of clashing names, are not read. Null ids come back unlinked; an empty
+    table gives an empty one.
     """
-    spark = vectors.sparkSession
-    base = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("vector"), F.col("label").cast("long").alias("label"))
+    base = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("vector"), F.col("label").cast("string").alias("label"))
     fine = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & (F.size("vector") > 0) & F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vector", lambda x: x != 0)
     valid = base.where(F.coalesce(fine, F.lit(False)))
     keyed = valid.withColumn("h", F.xxhash64("label", "vector"))
     reps = keyed.groupBy("h", "label", "vector").agg(F.min("vec_id").alias("id"), F.count("*").alias("weight"))
     reps = materialize(reps, "vectors")
-    exploded_schema = pa.schema([("cell", pa.int64()), ("t", pa.int32()), ("home", pa.bool_()), ("id", pa.int64()), ("label", pa.int64()), ("weight", pa.int64()), ("vec", pa.binary()), ("codes", pa.binary())])
     how, shape = (tables, probes, scale, seed), (tables, 1 + probes)
-    ddl = "cell long, t int, home boolean, id long, label long, weight long, vec binary, codes binary"
-    stored = reps.select("id", "label", "weight", "vector").mapInArrow(lambda it: _explode(it, exploded_schema, how), ddl)
-    sizes = stored.groupBy("cell", "t").agg(F.count("*").alias("n")).where(F.col("n") > PART_ROWS)
-    sizes = materialize(sizes.select(F.col("cell").alias("c"), F.col("t").alias("ct"), F.ceil(F.col("n") / PART_ROWS).cast("int").alias("parts")), "cells")
-    if sizes.limit(100_001).count() <= 100_000:
-        sizes = F.broadcast(sizes)
-    dealt = stored.join(sizes, (F.col("cell") == F.col("c")) & (F.col("t") == F.col("ct")), "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    coded_schema = pa.schema([("id", pa.int64()), ("label", pa.string()), ("weight", pa.int64()), ("vec", pa.binary()), ("codes", pa.list_(pa.int64()))])
+    coded = reps.select("id", "label", "weight", "vector", F.xxhash64("label").alias("salt")).mapInArrow(lambda it: _encode(it, coded_schema, how), "id long, label string, weight long, vec binary, codes array<long>")
+    coded = materialize(coded, "coded")
+    stored = coded.select("id", F.posexplode("codes").alias("p", "cell")).select("id", "cell", F.floor(F.col("p") / (1 + probes)).cast("int").alias("t"), (F.col("p") % (1 + probes) == 0).alias("home"))
+    meeting = stored.groupBy("cell", "t").agg(F.count("*").alias("n"), F.bool_or("home").alias("any")).where("n > 1 and any")
+    meeting = materialize(meeting.select("cell", "t", F.ceil(F.col("n") / PART_ROWS).cast("int").alias("parts")), "cells")
+    if meeting.limit(BROADCAST_CELLS + 1).count() <= BROADCAST_CELLS:
+        meeting = F.broadcast(meeting)
+    dealt = stored.join(meeting, ["cell", "t"])
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
     keys = ["cell", "t", "lo", "hi"]
-    dealt = dealt.select(*keys, "own", "home", "id", "label", "weight", "vec", "codes").repartition(*keys).sortWithinPartitions(*keys, "id")
+    # merge: vectors that meet grow with the table
+    dealt = dealt.select(*keys, "own", "home", "id").join(coded.hint("merge"), "id").repartition(*keys).sortWithinPartitions(*keys, "id")
     found_schema = pa.schema([("id", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
     found = materialize(dealt.mapInArrow(lambda it: _cells_of(it, found_schema, threshold, shape), "id long, links long, root long"), "links")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
