@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,9 +14,8 @@ MIX_WEIGHTS = {f"src{i}": float(i % 5 + 1) for i in range(20)}
 #: The weight of every other source, the null source included.
 MIX_DEFAULT = 1.0
 
-#: Folder of the public tokenizer files; a parameter of every operator that reads one.
-TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
-WORD_BPE, BYTE_BPE = f"{TOKENIZERS}/word_bpe_49k.json", f"{TOKENIZERS}/byte_bpe_50k.json"
+#: Files of the public tokenizers that the queries use; the operators take any path.
+WORD_BPE, BYTE_BPE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,7 +74,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_exact_topk, op3_embedding_near_dedup, op4_mixing, op5_warc, op6_bpe, op7_ngram_jaccard_join, op8_url_filter, op9_token_files, op10_quality_classifier)}
 
 _CODES = """codes AS (SELECT vec_id AS id, list_sum(list_transform(range(64), lambda i: CASE WHEN embedding[i + 1] > 0 THEN 1::HUGEINT << i ELSE 0::HUGEINT END))::UBIGINT AS code
-  FROM embeddings WHERE len(embedding) >= 64)"""
+  FROM embeddings WHERE len(embedding) = 64)"""
 
 _MIX = "CASE source " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in MIX_WEIGHTS.items()) + " ELSE 0 END"
 
