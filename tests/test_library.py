@@ -63,15 +63,6 @@ def test_tags(spark):
     assert [r[0] for r in spark.createDataFrame([(x,) for x in ("ODC-By", "PD-subset", "mit", "CC-BY-NC", "train-only", "x")], "l string").select(G.license_bucket(F.col("l"))).collect()] == ["releasable", "conditional", "releasable", "conditional", "train_only", "train_only"]
 
 
-def test_modular_product_equals_big_integers(spark):
-    rng = random.Random(3)
-    rows = [(rng.randrange(1, D.P61), rng.randrange(D.P61)) for _ in range(2000)] + [(D.P61 - 1, D.P61 - 1), (1, 0)]
-    got = spark.createDataFrame(rows, "a long, x long").select("a", "x", D.mul_mod_p61(F.col("a"), F.col("x")).alias("m")).collect()
-    assert all(r["m"] == r["a"] * r["x"] % D.P61 for r in got)
-    r = spark.createDataFrame([(-1,), (5,)], "x long").select(D.reduce_p61(F.col("x")).alias("m")).collect()
-    assert [x["m"] for x in r] == [((1 << 64) - 1) % D.P61, 5]
-
-
 def test_greedy_and_components_differ(spark):
     edges = spark.createDataFrame([(2, 1), (3, 2)], "a long, b long")
     nodes = spark.createDataFrame([(1,), (2,), (3,), (4,)], "node long")
@@ -131,8 +122,6 @@ def test_readers_and_writers(spark, tmp_path):
         readers.read_source(spark, "nothing", "x")
     merged = readers.merge_sources([("a", spark.range(2).select(F.col("id"))), ("b", spark.createDataFrame([(5, "x")], "id long, extra string"))])
     assert sorted((r["id"], r["source_order"], r["extra"]) for r in merged.collect() if r["extra"]) == [(5, 1, "x")]
-    tokens = sinks.write_uint16(spark.createDataFrame([(2, [3, 4]), (1, [1])], "k long, t array<int>"), str(tmp_path / "tok"), "k", "t").orderBy("offset").collect()
-    assert b"".join(bytes(r["raw"]) for r in tokens) == struct.pack("<3H", 1, 3, 4)
     sinks.write_chat(spark.createDataFrame([([("user", "hi")], 1)], "messages array<struct<role:string,content:string>>, meta int"), str(tmp_path / "chat"))
     assert spark.read.json(str(tmp_path / "chat")).columns == ["messages"]
 
@@ -154,8 +143,6 @@ def test_entry_imports_without_a_session():
 
 
 def test_full_size_near_duplicates_equal_brute_force(spark, tmp_path):
-    import hashlib
-
     from textkiln import plans
 
     rng, pool = random.Random(12), [f"w{i}" for i in range(300)]
@@ -172,11 +159,7 @@ def test_full_size_near_duplicates_equal_brute_force(spark, tmp_path):
     perms = D.permutations(128, seed=11)
     least = lambda hashes: [min((a * x + b) % D.P61 % (1 << 32) for x in hashes) for a, b in perms]
 
-    def grams(t):
-        w = (t or "").split()
-        return {" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
-
-    sigs = [least({int(hashlib.md5(g.encode()).hexdigest()[:15], 16) for g in grams(t)}) for t in texts]
+    sigs = [least([int(x) for x in h]) for h in D.gram_hashes([t or "" for t in texts])]
     run = lambda name: plans.QUERIES[name](spark, str(tmp_path)).collect()
     assert {r["doc_id"]: r["sig"] for r in run("minhash_signatures_128")} == {i: ",".join(map(str, s)) for i, s in enumerate(sigs)}
     meet = lambda x, y: any(x[k : k + 8] == y[k : k + 8] for k in range(0, 128, 8))
@@ -196,7 +179,7 @@ def test_full_size_near_duplicates_equal_brute_force(spark, tmp_path):
     assert {(r["a"], r["b"]) for r in run("lsh_band_edges_128")} <= set(pairs)
     assert sorted(r["component"] for r in run("near_dup_survivors_128") if r["kept"]) == sorted(set(want.values()))
     assert run("cluster_stats_128")[0]["kept"] == len(set(want.values()))
-    chars = [least([int(x) for x in D.char_hashes(t or "")]) for t in texts]
+    chars = [least([int(x) for x in D.char_hashes([t or ""])[0]]) for t in texts]
     kept = []
     for i in range(len(texts)):
         if not any(meet(chars[i], chars[k]) for k in kept):
@@ -204,12 +187,24 @@ def test_full_size_near_duplicates_equal_brute_force(spark, tmp_path):
     assert sorted(r["doc_id"] for r in run("greedy_near_dup_128")) == kept
 
 
-def test_character_shingles_and_signature_limbs():
-    for t in ["", "ab", "abcde", "aaaaaaaaa", "straße 日本語 😀 straße 日本語", "".join(random.Random(1).choice("abc") for _ in range(5000))]:
-        assert len(D.char_hashes(t)) == len({t[i : i + 5] for i in range(max(1, len(t) - 4))})
-    edge = [(D.P61 - 1, D.P61 - 1), (1, 0), ((1 << 31) - 1, 5), (1 << 60, D.P61 - 1)]
-    rng = random.Random(2)
-    for x in [0, 1, D.P61 - 1, (1 << 31) - 1, 1 << 31, *(rng.randrange(D.P61) for _ in range(500))]:
+def test_shingle_hashes_and_signature_limbs():
+    texts = ["", "ab", "abcde", "aaaaaaaaa", "straße 日本語 😀 straße 日本語", "".join(random.Random(1).choice("abc") for _ in range(5000))]
+    assert [len(h) for h in D.char_hashes(texts)] == [len({t[i : i + 5] for i in range(max(1, len(t) - 4))}) for t in texts]
+    rng = random.Random(4)
+    texts += ["a b", "a  b\n", "b a", "x" * 100 + " y", "x" * 101 + " y", *[" ".join(rng.choice(["a", "b", "cc", "d" * 60]) for _ in range(rng.randint(0, 40))) for _ in range(50)]]
+
+    def grams(t):
+        w = t.split()
+        return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
+
+    hashed = D.gram_hashes(texts)
+    assert [len(h) for h in hashed] == [len(grams(t)) for t in texts]
+    known = {}
+    for t, h in zip(texts, hashed, strict=True):
+        assert known.setdefault(frozenset(grams(t)), h.tolist()) == h.tolist() and int(h.max()) < 1 << 60
+    assert len({tuple(h) for h in known.values()}) == len(known)
+    edge = [((1 << 31) - 1, D.P61 - 1), (1, 0), (5, 5), (1 << 30, D.P61 - 1), *D.permutations(8)]
+    for x in [0, 1, (1 << 60) - 1, (1 << 31) - 1, 1 << 31, *(rng.randrange(1 << 60) for _ in range(500))]:
         assert D.signatures_of([np.array([x], np.int64)], edge)[0].tolist() == [(a * x + b) % D.P61 % (1 << 32) for a, b in edge]
-    sets = [np.array([rng.randrange(D.P61) for _ in range(n)]) for n in (3, 1, 40, 7)]
+    sets = [np.array([rng.randrange(1 << 60) for _ in range(n)]) for n in (3, 1, 40, 7)]
     assert (D.signatures_of(sets, edge, block=8) == np.concatenate([D.signatures_of([x], edge) for x in sets])).all()

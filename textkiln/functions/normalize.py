@@ -12,8 +12,17 @@ from pyspark.sql import functions as F
 from textkiln.functions import ranges as R
 from textkiln.functions.text import strip, sub
 
-#: Lines that hold one of these are boilerplate; our own list, pass another to clean_boilerplate().
-BOILERPLATE = ("সর্বস্বত্ব\\s+সংরক্ষিত", "মন্তব্য\\s+করুন", "শেয়ার\\s+করুন", "আরও\\s+পড়ুন", "বিজ্ঞাপন", "নিউজলেটার", "সাবস্ক্রাইব", "(?i)all rights reserved", "(?i)subscribe to our")
+#: Patterns of the lines that are boilerplate; pass another list to clean_boilerplate().
+BOILERPLATE = (
+    r"সর্বস্বত্ব\s+সংরক্ষিত",
+    r"মন্তব্য\s+করুন",
+    r"শেয়ার\s+করুন",
+    r"আরও\s+পড়ুন",
+    r"বিজ্ঞাপন",
+    r"কুকি\s*পলিসি|গোপনীয়তা\s*নীতি",
+    r"নিউজলেটার",
+    r"সাবস্ক্রাইব",
+)
 URL, EMAIL = r"https?://\S+|www\.\S+", r"\S+@\S+\.\S+"
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
 
@@ -32,6 +41,17 @@ def nfkc(text: Column) -> Column:
     return _by_pandas(lambda x: unicodedata.normalize("NFKC", x), text, r"[^\x00-\x7F]")
 
 
+def xxh64_nfc(text: Column, seed: int = 0) -> Column:
+    """XXH64 of the composed text's UTF-8 bytes, as a signed number; F.xxhash64 is the same with the seed 42 and needs no Python."""
+
+    def key(x: str) -> int:
+        import xxhash
+
+        return int.from_bytes(xxhash.xxh64_digest(unicodedata.normalize("NFC", x).encode(), seed=seed), "big", signed=True)
+
+    return F.pandas_udf(lambda s: s.map(lambda x: None if x is None else key(x)).astype("Int64"), "long")(text)
+
+
 def unescape(text: Column) -> Column:
     """All HTML entities."""
     return _by_pandas(html.unescape, text, "&")
@@ -74,11 +94,9 @@ def drop_orphan_marks(text: Column) -> Column:
 def clean_joiners(text: Column, keep_valid: bool = False) -> Column:
     """Removes ZWJ, ZWNJ and U+E000; keep_valid leaves those between hasanta and consonant, and ZWJ between consonant and hasanta."""
     if keep_valid:
-        consonant = r"[\x{0995}-\x{09B9}\x{09DC}-\x{09DF}]"
-        text = sub(text, rf"(\x{{09CD}})([\x{{200C}}\x{{200D}}])({consonant})", "$1\ue000$2$3")
-        text = sub(text, rf"({consonant})(\x{{200D}})(\x{{09CD}})", "$1\ue000$2$3")
-        text = sub(text, r"(?<!\x{E000})[\x{200C}\x{200D}]")
-        return sub(text, r"\x{E000}")
+        hasanta, consonant = r"\x{09CD}", r"[\x{0995}-\x{09B9}\x{09DC}-\x{09DF}]"
+        # both tests look around the joiner itself: its neighbours are never consumed, so chains of joiners are judged one by one
+        return sub(text, rf"(?!(?<={hasanta})[\x{{200C}}\x{{200D}}]{consonant})(?!(?<={consonant})\x{{200D}}{hasanta})[\x{{200C}}\x{{200D}}]|\x{{E000}}")
     return sub(text, r"[\x{200C}\x{200D}\x{E000}]")
 
 
@@ -88,10 +106,13 @@ def squeeze_punctuation(text: Column) -> Column:
 
 
 def bengali_subset(text: Column) -> Column:
-    """The spelling rules that need no dictionary: nukta letters composed, e + aa to o, Assamese letters to Bengali ones."""
+    """The spelling rules that need no dictionary: nukta letters composed, e + aa to o, Assamese letters to Bengali ones.
+
+    They name Bengali letters only, so they work on Bengali spans and leave the rest; runs of spaces and tabs inside a line become one space.
+    """
     for a, b in (("ড়", "ড়"), ("ঢ়", "ঢ়"), ("য়", "য়"), ("ো", "ো")):
         text = F.replace(text, F.lit(a), F.lit(b))
-    return F.translate(text, "ৰৱ", "রব")
+    return sub(F.translate(text, "ৰৱ", "রব"), r"[ \t]+", " ")
 
 
 def cleanup(text: Column) -> Column:
@@ -122,12 +143,41 @@ def strip_wikitext(text: Column) -> Column:
     return strip(sub(sub(text, r"\{\{[^{}]*\}\}|\[\[|\]\]|'''?|<[^>]+>"), r"\n{3,}", "\n\n"))
 
 
-def article_of_html(page: Column) -> Column:
-    """Paragraphs of the article joined by blank lines: scripts, styles and comments go first, then tags."""
-    body = sub(page, r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->")
-    body = F.coalesce(F.nullif(F.regexp_extract(body, r"(?is)<article[^>]*>(.*?)</article>", 1), F.lit("")), body)
+def merge_key(text: Column) -> Column:
+    """The text that a merge compares: NFKC, stripped."""
+    return strip(nfkc(text))
+
+
+def paragraphs_of(body: Column) -> Column:
+    """Texts of the paragraphs of a piece of HTML; what stands before the first one is left out."""
     parts = F.transform(F.split(body, r"(?i)<p\b[^>]*>"), lambda p: F.trim(sub(unescape_common(sub(p, r"<[^>]*>", " ")), r"\s+", " ")))
-    return F.array_join(F.filter(F.slice(parts, 2, 100000), lambda p: p != ""), "\n\n")
+    return F.filter(F.slice(parts, F.lit(2), F.greatest(F.size(parts), F.lit(1))), lambda p: p != "")
+
+
+def article_of_html(page: Column, marker: str | None = None) -> Column:
+    """Paragraphs of the article joined by blank lines: scripts, styles and comments go first, then tags.
+
+    The article is the element whose class or id is ``marker`` (a site's own selector), else the <article>, else of the parts that begin with a
+    <div> the first one with the most paragraphs if these are three or more, else the page.
+    """
+    body = sub(page, r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->")
+    found = lambda pattern: F.nullif(F.regexp_extract(body, pattern, 2), F.lit(""))
+    article = found(r"(?is)(<article[^>]*>)(.*?)</article>")
+    divs = F.transform(F.split(body, r"(?i)<div\b[^>]*>"), lambda x, i: F.struct(F.size(paragraphs_of(x)).alias("n"), (-i).alias("first"), x.alias("x")))
+    best = F.array_max(F.slice(divs, F.lit(2), F.greatest(F.size(divs), F.lit(1))))
+    dense = F.when(best["n"] >= 3, best["x"])
+    own = [found(rf"""(?is)(<[a-z]+\b[^>]*\b(?:class|id)\s*=\s*["'][^"']*\b{marker}\b[^>]*>)(.*?)</(?:div|section|main|article)>""")] if marker else []
+    return F.array_join(paragraphs_of(F.coalesce(*own, article, dense, body)), "\n\n")
+
+
+def readable_of_html(page: Column) -> Column:
+    """Main text without selectors: of the blocks between structural tags those of 25 words and more whose words are mostly outside links."""
+    body = sub(page, r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<(nav|header|footer|aside|form)\b.*?</\1>")
+    count = lambda x: F.size(F.filter(F.split(x, r"\s+"), lambda w: w != ""))
+    bare = lambda x: F.trim(sub(unescape_common(sub(x, r"<[^>]*>", " ")), r"\s+", " "))
+    linked = lambda x: count(bare(F.array_join(F.regexp_extract_all(x, F.lit(r"(?is)<a\b[^>]*>(.*?)</a>"), 1), " ")))
+    blocks = F.filter(F.split(body, r"(?i)</?(?:div|section|article|main|td|ul|ol|table|p|h[1-6])\b[^>]*>"), lambda x: (count(bare(x)) >= 25) & (linked(x) * 3 < count(bare(x))))
+    return F.array_join(F.transform(blocks, bare), "\n\n")
 
 
 def title_of_html(page: Column) -> Column:
@@ -139,6 +189,21 @@ def links_of_html(page: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(page, F.lit(r'href="([^"]*)"'), 1), lambda u: F.regexp_extract(u, r"^([^?#]*)", 1)))
 
 
+def resolve_links(page: Column, url: Column) -> Column:
+    """Distinct links of a page to its own host, absolute, without query and fragment."""
+    scheme, host = F.regexp_extract(url, r"^([a-zA-Z][a-zA-Z0-9+.-]*)://", 1), F.lower(F.regexp_extract(url, r"://([^/?#]*)", 1))
+    root = F.concat(scheme, F.lit("://"), host)
+    folder = F.regexp_extract(F.regexp_extract(url, r"^([^?#]*)", 1), r"^[^/]*//[^/]*(/.*/|/)", 1)
+    base = F.concat(root, F.when(folder == "", "/").otherwise(folder))
+
+    def whole(u: Column) -> Column:
+        bare = F.regexp_extract(u, r"^([^?#]*)", 1)
+        return F.when(bare.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), bare).when(bare.startswith("//"), F.concat(scheme, F.lit(":"), bare)).when(bare.startswith("/"), F.concat(root, bare)).when(bare != "", F.concat(base, bare))
+
+    found = F.transform(F.regexp_extract_all(page, F.lit(r'href="([^"]*)"'), 1), whole)
+    return F.array_distinct(F.filter(found, lambda u: u.isNotNull() & u.rlike("^https?://") & (F.lower(F.regexp_extract(u, r"://([^/?#]*)", 1)) == host)))
+
+
 def truncate_at_sentence(text: Column, most: int = 2000) -> Column:
     """At most ``most`` characters, cut after the last । or . or newline (in this order) that lies beyond the half."""
     head = F.substring(text, 1, most)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import reduce
 
@@ -11,10 +12,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textkiln.functions.text import let, ngrams, words
+from textkiln.operators.storage import materialize
 
 #: The Mersenne prime 2^61 - 1 of the permutations, and the bits of a signature value.
 P61 = (1 << 61) - 1
 MASK32 = (1 << 32) - 1
+#: Words of more bytes are hashed as a whole.
+_LONG = 48
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
 def first_wins(df: DataFrame, key: Column, *order: Column) -> DataFrame:
@@ -22,26 +28,14 @@ def first_wins(df: DataFrame, key: Column, *order: Column) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("_rn = 1").drop("_rn")
 
 
-def exact_dedup(df: DataFrame, text: str = "text", *order: Column) -> DataFrame:
-    """One row per distinct text, by SHA-256; the first by ``order``. Aggregates before it shuffles, so a hot text costs one row a task."""
-    names = df.columns
-    best = df.groupBy(F.sha2(text, 256).alias("_sha")).agg(F.min_by(F.struct(*names), F.struct(*order)).alias("_row"))
-    return best.select("_row.*")
+def exact_dedup(df: DataFrame, key: str, *order: Column) -> DataFrame:
+    """One row per value of ``key``, such as the SHA-256 of a text; the first by ``order``.
 
-
-def mul_mod_p61(a: Column, x: Column) -> Column:
-    """a * x modulo 2^61 - 1 for a, x below it: limbs of 31 bits, so no product or sum reaches 2^63."""
-    low31, low30 = F.lit((1 << 31) - 1), F.lit((1 << 30) - 1)
-    a1, a0 = F.shiftright(a, 31), a.bitwiseAND(low31)
-    x1, x0 = F.shiftright(x, 31), x.bitwiseAND(low31)
-    middle = (a1 * x0 + a0 * x1) % P61  # its 2^61 = 1, so times 2^31 is a rotation
-    shifted = F.shiftleft(middle.bitwiseAND(low30), 31) + F.shiftright(middle, 30)
-    return (a1 * x1 * 2 + shifted + (a0 * x0) % P61) % P61
-
-
-def reduce_p61(x: Column) -> Column:
-    """An unsigned 64-bit value, held in a bigint, modulo 2^61 - 1."""
-    return (x.bitwiseAND(F.lit(P61)) + F.shiftrightunsigned(x, 61)) % P61
+    Aggregates before it shuffles, so a hot text costs one row a task. All columns travel: leave the text out and join it back where it is wanted.
+    """
+    names = [c for c in df.columns if c != key]
+    best = df.groupBy(key).agg(F.min_by(F.struct(*names), F.struct(*order)).alias("_row"))
+    return best.select(key, "_row.*")
 
 
 def word_shingles(text: Column, n: int = 5) -> Column:
@@ -62,63 +56,91 @@ def hash60(text: Column) -> Column:
 
 
 def permutations(n: int, seed: int = 1) -> list[tuple[int, int]]:
-    """n pairs (a in [1, P), b in [0, P)) of a fixed generator."""
+    """n pairs (a in [1, 2^31), b in [0, P)) of a fixed generator: a of 31 bits keeps every product below 2^63."""
     out, state = [], seed
     for _ in range(n):
         pair = []
-        for low in (1, 0):
+        for _ in range(2):
             state = (state * 6364136223846793005 + 1442695040888963407) % (1 << 64)
-            pair.append(max(low, state >> 3) % P61)
-        out.append((max(1, pair[0]), pair[1]))
+            pair.append(state >> 3)
+        out.append((1 + pair[0] % ((1 << 31) - 1), pair[1] % P61))
     return out
 
 
-def minhash(shingles: Column, perms: list[tuple[int, int]], hashed: Column | None = None) -> Column:
-    """Signature: for each permutation the least ((a x + b) mod P) mod 2^32 over the shingles' hashes."""
-    x = hashed if hashed is not None else F.transform(shingles, hash60)
-    one = lambda a, b: F.array_min(F.transform(x, lambda v: ((mul_mod_p61(F.lit(a), v) + F.lit(b)) % P61).bitwiseAND(F.lit(MASK32))))
-    return F.array(*[one(a, b) for a, b in perms])
-
-
 def signatures_of(sets: list[np.ndarray], perms: list[tuple[int, int]], block: int = 16384) -> np.ndarray:
-    """``minhash`` of sets (none empty) of hashes below 2^61, a row each, in exact limbs of 31 bits: no product or sum reaches 2^64."""
+    """For each set (none empty) of hashes below 2^60 a row: for each permutation the least ((a x + b) mod P) mod 2^32.
+
+    x is h 2^31 + l with h below 2^29. As 2^61 is 1 modulo P, a h 2^31 is a h, of 60 bits, with its upper 30 bits brought down; with a l,
+    of 62 bits, and b the sum stays below 2^64.
+    """
     u, at, out = np.uint64, 0, np.empty((len(sets), len(perms)), np.int64)
     ends = np.cumsum([len(x) for x in sets])
     while at < len(sets):
         done = int(ends[at - 1]) if at else 0
         to = max(at + 1, int(np.searchsorted(ends, done + block, "right")))
         x, starts = np.concatenate(sets[at:to]).astype(u), np.concatenate(([0], ends[at : to - 1] - done))
-        x1, x0 = x >> u(31), x & u((1 << 31) - 1)
+        high, low = x >> u(31), x & u((1 << 31) - 1)
         for k, (a, b) in enumerate(perms):
-            a1, a0 = u(a >> 31), u(a & (1 << 31) - 1)
-            m = x0 * a1 + x1 * a0
-            m = (m & u(P61)) + (m >> u(61))
-            v = ((m & u((1 << 30) - 1)) << u(31)) + (m >> u(30)) + x0 * a0
-            v = (v & u(P61)) + (v >> u(61)) + (x1 * (a1 * u(2))) + u(b)
-            v = (v & u(P61)) + (v >> u(61))
-            v = (v + ((v + u(1)) >> u(61))) & u(P61)
-            out[at:to, k] = np.minimum.reduceat(v & u(MASK32), starts)
+            top = high * u(a)
+            total = ((top << u(31)) & u(P61)) + (top >> u(30)) + low * u(a) + u(b)
+            total = (total & u(P61)) + (total >> u(61))
+            total -= u(P61) * (total >= u(P61))
+            out[at:to, k] = np.minimum.reduceat(total & u(MASK32), starts)
         at = to
     return out
 
 
-def char_hashes(text: str, n: int = 5) -> np.ndarray:
-    """Distinct hashes below 2^60 of the character n-grams; a shorter text is one shingle."""
-    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    size, h = max(1, len(c) - n + 1), np.zeros(max(1, len(c) - n + 1), np.uint64)
-    for i in range(min(n, len(c))):
-        h = (h ^ c[i : i + size]) * np.uint64(0x9E3779B97F4A7C15)  # one to one in each character
-        h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    return np.unique((h ^ (h >> np.uint64(32))) >> np.uint64(4))
+def gram_hashes(texts: list[str], n: int = 5) -> list[np.ndarray]:
+    """For each text the distinct hashes below 2^60 of its word n-grams; fewer words are one shingle, none a single empty one."""
+    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+    data = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
+    inner = np.concatenate(([False], ~_SPACE[data]))
+    edge = np.flatnonzero(inner[1:] != inner[:-1])
+    at, to = edge[::2], edge[1::2]
+    word, left, size = np.zeros(len(at), np.uint64), np.arange(len(at)), to - at
+    for i in range(min(int(size.max(initial=0)), _LONG)):  # the i-th byte of every word that has one
+        left = left[size[left] > i]
+        h = (word[left] ^ data[at[left] + i]) * np.uint64(0x9E3779B97F4A7C15)
+        word[left] = h ^ (h >> np.uint64(29))
+    for w in np.flatnonzero(size > _LONG).tolist():
+        word[w] = np.frombuffer(hashlib.blake2b(data[at[w] : to[w]].tobytes(), digest_size=8).digest(), np.uint64)[0]
+
+    def mixed(k: int, begin: int, stop: int) -> np.ndarray:
+        h = np.full(stop - begin, k, np.uint64)
+        for i in range(k):
+            h = (h ^ word[begin + i : stop + i]) * np.uint64(0xBF58476D1CE4E5B9)
+            h ^= h >> np.uint64(31)
+        return (h * np.uint64(0x94D049BB133111EB)) >> np.uint64(4)
+
+    grams = mixed(n, 0, max(0, len(word) - n + 1))
+    first = np.searchsorted(at, np.cumsum([0] + [len(r) + 1 for r in raw])).tolist()
+    return [np.unique(grams[a : b - n + 1]) if b - a >= n else mixed(b - a, a, a + 1) for a, b in zip(first[:-1], first[1:], strict=True)]
+
+
+def char_hashes(texts: list[str], n: int = 5) -> list[np.ndarray]:
+    """For each text the distinct hashes below 2^60 of its character n-grams; a shorter text is one shingle."""
+    out = []
+    for text in texts:
+        c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        size = max(1, len(c) - n + 1)
+        h = np.zeros(size, np.uint64)
+        for i in range(min(n, len(c))):
+            h = (h ^ c[i : i + size]) * np.uint64(0x9E3779B97F4A7C15)  # one to one in each character
+            h ^= h >> np.uint64(29)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        out.append(np.unique((h ^ (h >> np.uint64(32))) >> np.uint64(4)))
+    return out
+
 
+def signatures(df: DataFrame, column: str, perms: list[tuple[int, int]], name: str = "sig", shingles: str = "words", n: int = 5) -> DataFrame:
+    """MinHash signatures by Arrow workers: ``column``, an array of hashes below 2^60 or a text, becomes the array ``name``.
 
-def signatures(df: DataFrame, column: str, perms: list[tuple[int, int]], name: str = "sig") -> DataFrame:
-    """``minhash`` by Arrow workers, for many permutations: ``column`` (hashes of words' shingles, or a text whose characters are
-    shingled) becomes the signature ``name``. A null text is an empty one."""
+    A text is shingled by ``n`` words or by ``n`` chars; a null one is an empty one.
+    """
     keep = [c for c in df.columns if c != column]
-    chars = df.schema[column].dataType.simpleString() == "string"
+    text = df.schema[column].dataType.simpleString() == "string"
     ddl = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep) + f", `{name}` array<bigint>"
+    hashes = {"words": gram_hashes, "chars": char_hashes}[shingles]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,7 +148,7 @@ def signatures(df: DataFrame, column: str, perms: list[tuple[int, int]], name: s
             made = []
             for s in range(0, len(sets), 256):
                 part = sets.slice(s, 256)
-                made.append(signatures_of([char_hashes(v.as_py() or "") if chars else v.values.to_numpy(zero_copy_only=False) for v in part], perms).ravel())
+                made.append(signatures_of(hashes([v or "" for v in part.to_pylist()], n) if text else [v.values.to_numpy(zero_copy_only=False) for v in part], perms).ravel())
             values = pa.array(np.concatenate(made) if made else np.zeros(0, np.int64))
             sig = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * len(perms), pa.int32()), values)
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], sig], names=[*keep, name])
@@ -134,12 +156,20 @@ def signatures(df: DataFrame, column: str, perms: list[tuple[int, int]], name: s
     return df.mapInArrow(run, ddl)
 
 
+def band_members(signatures: DataFrame, bands: int, rows: int, node: str = "doc_id", sig: str = "sig") -> DataFrame:
+    """(node, bucket): each node in the buckets of its band slices."""
+    cut = F.array(*[F.concat_ws("-", F.lit(i), F.slice(sig, i * rows + 1, rows).cast("array<string>")) for i in range(bands)])
+    return signatures.select(F.col(node).alias("node"), F.explode(cut).alias("bucket"))
+
+
 def band_edges(signatures: DataFrame, bands: int, rows: int, node: str = "doc_id", sig: str = "sig") -> DataFrame:
-    """Edges (a, b) between consecutive members of each bucket of equal band slices: linear in the bucket."""
-    cut = F.array(*[F.struct(F.lit(i).alias("band"), F.array_join(F.slice(sig, i * rows + 1, rows), "-").alias("slice")) for i in range(bands)])
-    members = signatures.select(F.col(node).alias("a"), F.explode(cut).alias("k")).select("a", "k.band", "k.slice")
-    least = members.groupBy("band", "slice").agg(F.min("a").alias("b"), F.count("*").alias("n")).where("n > 1")
-    return members.join(least, ["band", "slice"]).where("a <> b").select("a", "b").distinct()
+    """Edges (a, b) from the members of each bucket of equal band slices to its least one: linear in the bucket.
+
+    The least members are a table: the join with it is split where a bucket is hot, which one with an aggregate of the same stage isn't.
+    """
+    members = band_members(signatures, bands, rows, node, sig)
+    least = materialize(members.groupBy("bucket").agg(F.min("node").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n"), "buckets")
+    return members.withColumnRenamed("node", "a").join(least, "bucket").where("a <> b").select("a", "b").distinct()
 
 
 def select_survivors(labelled: DataFrame, component: str, *order: Column) -> DataFrame:

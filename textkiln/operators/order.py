@@ -4,28 +4,48 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textkiln.operators.storage import materialize
+
 
 def seeded(seed: int | str, key: Column) -> Column:
     """A reproducible random order: the MD5 of seed and key."""
     return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
 
 
-def numbered(df: DataFrame, *order: str, value: Column | None = None, buckets: int = 256) -> DataFrame:
+def _sums_before(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds _s, the sum of _v over the rows of the partition before each."""
+    held = 0
+    for batch in batches:
+        v = np.asarray(batch.column("_v").fill_null(0))
+        to = held + np.cumsum(v)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(to - v, pa.int64())], names=[*batch.schema.names, "_s"])
+        held = int(to[-1]) if len(to) else held
+
+
+def numbered(df: DataFrame, *order: str, value: Column | None = None, buckets: int | None = None) -> DataFrame:
     """Adds ``pos`` (from 0 in the order of columns) and, with ``value``, ``before`` (its sum over the rows before).
 
-    Rows are range-partitioned; each range is numbered by itself and shifted by the sums of the ranges
-    before it, of which there are ``buckets`` at most.
+    Rows are range-partitioned and sorted; each range is numbered by itself and shifted by the sums of the ranges
+    before it, of which there are ``buckets``, by default as many as shuffle partitions. The ranges are a table: drawn a second time, their
+    borders would be others.
     """
+    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     v = value if value is not None else F.lit(0)
-    ranged = df.withColumn("_v", v.cast("long")).repartitionByRange(buckets, *order).withColumn("_part", F.spark_partition_id())
-    within = Window.partitionBy("_part").orderBy(*order)
-    local = ranged.withColumn("_i", F.row_number().over(within) - 1).withColumn("_s", F.coalesce(F.sum("_v").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    sums = ranged.groupBy("_part").agg(F.count("*").alias("_n"), F.sum("_v").alias("_t"))
+    ranged = df.withColumn("_v", F.coalesce(v.cast("long"), F.lit(0))).repartitionByRange(buckets, *order).sortWithinPartitions(*order)
+    at = F.monotonically_increasing_id()  # partition and place in it
+    ranged = ranged.withColumn("_m", at).withColumns({"_part": F.shiftright("_m", 33).cast("int"), "_i": F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))}).drop("_m")
+    if value is not None:
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranged.schema) + ", _s long"
+        ranged = ranged.mapInArrow(_sums_before, ddl)
+    local = materialize(ranged, "ranges")
     ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    sums = local.groupBy("_part").agg(F.count("*").alias("_n"), F.sum("_v").alias("_t"))
     sums = sums.select("_part", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_n0"), F.coalesce(F.sum("_t").over(ahead), F.lit(0)).alias("_t0"))
     out = local.join(F.broadcast(sums), "_part").withColumn("pos", F.col("_i") + F.col("_n0"))
     if value is not None:
@@ -39,9 +59,41 @@ def budget_sample(df: DataFrame, size: Column, budget: int, seed: int, key: str)
     return numbered(shuffled, "_h", value=size).where(F.col("before") < budget).drop("_h", "pos", "before")
 
 
+def placed_in_group(df: DataFrame, group: str, *order: str) -> DataFrame:
+    """Adds ``pos`` from 0 within each group, by the global numbering less the group's first: no task holds a whole group. Groups are few."""
+    placed = numbered(df, group, *order)
+    first = placed.groupBy(group).agg(F.min("pos").alias("_first"))
+    joined = placed.join(first.withColumnRenamed(group, "_group"), F.col(group).eqNullSafe(F.col("_group")))
+    return joined.withColumn("pos", F.col("pos") - F.col("_first")).drop("_first", "_group")
+
+
 def rotate(df: DataFrame, order: str, group: str, rows: int) -> DataFrame:
     """Adds ``shard``: every ``rows`` rows of a group in order start a new one."""
-    return df.withColumn("shard", F.floor((F.row_number().over(Window.partitionBy(group).orderBy(order)) - 1) / rows))
+    return placed_in_group(df, group, order).withColumn("shard", F.floor(F.col("pos") / rows)).drop("pos")
+
+
+def sample_rows(df: DataFrame, n: int, key: str, seed: int | str = 0) -> DataFrame:
+    """``n`` rows drawn without replacement: the first in seeded order of the key."""
+    return df.withColumn("_h", seeded(seed, F.col(key))).orderBy("_h", key).limit(n).drop("_h")
+
+
+def running_share(df: DataFrame, *order: str, value: Column) -> DataFrame:
+    """Adds ``so_far``, the sum of values up to and with the row in order, and its share of the whole."""
+    placed = numbered(df.withColumn("_value", value.cast("long")), *order, value=F.col("_value")).drop("pos")
+    whole = df.agg(F.sum(value.cast("long")).alias("_whole"))
+    out = placed.crossJoin(F.broadcast(whole)).withColumn("so_far", F.col("before") + F.col("_value"))  # a table of one row
+    return out.withColumn("share", F.col("so_far") / F.col("_whole")).drop("before", "_value", "_whole")
+
+
+def map_batches(df: DataFrame, change, schema: str, size: int = 1000) -> DataFrame:
+    """``change``, a function from a table of at most ``size`` rows to one of any number, over all rows in batches."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for at in range(0, len(pdf), size):
+                yield change(pdf.iloc[at : at + size].reset_index(drop=True))
+
+    return df.mapInPandas(run, schema)
 
 
 def size_chunks(df: DataFrame, order: str, size: str, target: int) -> DataFrame:
@@ -88,7 +140,12 @@ def pack_sequences(df: DataFrame, order: str, tokens: str, length: int, offset:
 def oversample(df: DataFrame, group: str, quotas: dict[str, int], *order: Column) -> DataFrame:
     """Each group repeated cyclically, or cut, to its quota: adds copy_no and oversampled."""
     table = F.create_map(*[F.lit(x) for kv in quotas.items() for x in kv])
-    sized = df.withColumns({"_q": F.coalesce(F.try_element_at(table, F.col(group)), F.lit(0)), "_n": F.count("*").over(Window.partitionBy(group)), "_r": F.row_number().over(Window.partitionBy(group).orderBy(*order)) - 1})
-    copies = F.when(F.col("_q") > F.col("_r"), F.floor((F.col("_q") - F.col("_r") - 1) / F.col("_n")) + 1).otherwise(0)
+    keyed = df
+    for i, c in enumerate(order):
+        keyed = keyed.withColumn(f"_o{i}", c)
+    names = [f"_o{i}" for i in range(len(order))]
+    sizes = df.groupBy(group).agg(F.count("*").alias("_n")).withColumnRenamed(group, "_group")
+    sized = placed_in_group(keyed, group, *names).join(sizes, F.col(group).eqNullSafe(F.col("_group"))).withColumn("_q", F.coalesce(F.try_element_at(table, F.col(group)), F.lit(0)))
+    copies = F.when(F.col("_q") > F.col("pos"), F.floor((F.col("_q") - F.col("pos") - 1) / F.col("_n")) + 1).otherwise(0)
     out = sized.withColumn("_c", copies).where("_c > 0").withColumn("copy_no", F.explode(F.sequence(F.lit(0), F.col("_c") - 1)))
-    return out.withColumn("oversampled", F.col("copy_no") > 0).drop("_q", "_n", "_r", "_c")
+    return out.withColumn("oversampled", F.col("copy_no") > 0).drop("_q", "_n", "pos", "_c", "_group", *names)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,8 +22,24 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+_scratch: list[str] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Tables made inside the block live in a folder of their own, which goes with it, also after an error: write the results before it ends."""
+    folder = f"{_scratch[-1] if _scratch else shared_dir(spark)}/scratch-{uuid.uuid4().hex}"
+    _scratch.append(folder)
+    try:
+        yield folder
+    finally:
+        _scratch.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch[-1] if _scratch else shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -1,4 +1,4 @@
 """Registered queries and their DuckDB SQL."""
 
-from textkiln.plans import dedup, estimates, pairs, pipelines, scalars, streams
+from textkiln.plans import collect, dedup, estimates, pairs, pipelines, scalars, streams
 from textkiln.plans.base import QUERIES, SQL

@@ -31,12 +31,13 @@ def _ranked(spark, d):
 
 @query(f"WITH {SOURCES_SQL} SELECT doc_id, source FROM documents LEFT JOIN sources USING (source) QUALIFY row_number() OVER (PARTITION BY sha256(text) ORDER BY coalesce(priority, 0) DESC, source, doc_id) = 1")
 def exact_dedup_priority(spark, d):
-    return D.exact_dedup(_ranked(spark, d), "text", -F.col("priority"), F.col("source"), F.col("doc_id")).select("doc_id", "source")
+    rows = _ranked(spark, d).select("doc_id", "source", "priority", F.sha2("text", 256).alias("sha"))
+    return D.exact_dedup(rows, "sha", -F.col("priority"), F.col("source"), F.col("doc_id")).select("doc_id", "source")
 
 
 @query("SELECT doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY sha256(text) ORDER BY doc_id) = 1")
 def exact_dedup_first(spark, d):
-    return D.exact_dedup(_docs(spark, d), "text", F.col("doc_id")).select("doc_id")
+    return D.exact_dedup(_docs(spark, d).select("doc_id", F.sha2("text", 256).alias("sha")), "sha", F.col("doc_id")).select("doc_id")
 
 
 @query("""WITH k AS (SELECT doc_id, lang || source AS key, n_chars % 97 AS score FROM documents), r AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY score DESC, doc_id) AS rn, score > max(score) OVER (PARTITION BY key ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS rep FROM k)
@@ -78,9 +79,9 @@ _COMP = "bi AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges), reach AS (
 
 
 def _signatures(spark, d):
-    hashed = F.transform(F.col("shingles"), D.hash60)
-    rows = _docs(spark, d).select("doc_id", "source", "n_chars", D.word_shingles(T()).alias("shingles")).withColumn("x", hashed)
-    return materialize(rows.select("doc_id", "source", "n_chars", D.minhash(F.col("shingles"), PERMS, F.col("x")).alias("sig")), "signatures")
+    """By hashes of shingles that every engine has, so that DuckDB can follow."""
+    rows = _docs(spark, d).select("doc_id", "source", "n_chars", F.transform(D.word_shingles(T()), D.hash60).alias("x"))
+    return materialize(D.signatures(rows, "x", PERMS), "signatures")
 
 
 @query(f"WITH {_SIG} SELECT doc_id, string_agg(v::VARCHAR, ',' ORDER BY k) AS sig FROM sig GROUP BY doc_id")
@@ -126,16 +127,11 @@ SELECT unnest(kept) AS doc_id FROM (SELECT kept FROM f ORDER BY i DESC LIMIT 1)"
 def greedy_near_dup(spark, d):
     """A document stays unless it shares a band with an earlier one that stays."""
     sig = _signatures(spark, d)
-    cut = F.array(*[F.struct(F.lit(i).alias("band"), F.array_join(F.slice("sig", i * ROWS + 1, ROWS), "-").alias("slice")) for i in range(BANDS)])
-    keyed = sig.select("doc_id", F.explode(cut).alias("k"))
-    pairs = keyed.alias("x").join(keyed.alias("y"), (F.col("x.k") == F.col("y.k")) & (F.col("x.doc_id") > F.col("y.doc_id"))).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
-    return graph.first_independent(sig.select(F.col("doc_id").alias("node")), pairs).select(F.col("node").alias("doc_id"))
+    return graph.first_in_buckets(sig.select(F.col("doc_id").alias("node")), D.band_members(sig, BANDS, ROWS)).select(F.col("node").alias("doc_id"))
 
 
 def _signatures_128(spark, d):
-    rows = _docs(spark, d).withColumn("text", F.coalesce("text", F.lit("")))
-    rows = rows.select("doc_id", "source", "n_chars", F.transform(D.word_shingles(T()), D.hash60).alias("x"))
-    return materialize(D.signatures(rows, "x", PERMS_128), "signatures")
+    return materialize(D.signatures(_docs(spark, d).select("doc_id", "source", "n_chars", "text"), "text", PERMS_128), "signatures")
 
 
 def _components_128(spark, d):
@@ -177,10 +173,8 @@ def cluster_stats_128(spark, d):
 @query()
 def greedy_near_dup_128(spark, d):
     """A document stays unless it shares a band of its character 5-grams with an earlier one that stays."""
-    sig = materialize(D.signatures(_docs(spark, d).select("doc_id", "text"), "text", PERMS_128), "signatures")
-    cut = F.array(*[F.concat_ws("-", F.lit(i), F.slice("sig", i * ROWS_128 + 1, ROWS_128).cast("array<string>")) for i in range(BANDS_128)])
-    members = sig.select(F.col("doc_id").alias("node"), F.explode(cut).alias("bucket"))
-    return graph.first_in_buckets(sig.select(F.col("doc_id").alias("node")), members).select(F.col("node").alias("doc_id"))
+    sig = materialize(D.signatures(_docs(spark, d).select("doc_id", "text"), "text", PERMS_128, shingles="chars"), "signatures")
+    return graph.first_in_buckets(sig.select(F.col("doc_id").alias("node")), D.band_members(sig, BANDS_128, ROWS_128)).select(F.col("node").alias("doc_id"))
 
 
 @query("SELECT source, reason, count(*) AS n FROM (SELECT source, CASE WHEN n_chars < 300 THEN 'short' WHEN lang <> 'en' THEN 'lang:' || lang ELSE 'ok' END AS reason FROM documents) GROUP BY source, reason")
@@ -193,8 +187,10 @@ def reject_histogram(spark, d):
 SELECT source, count(*) AS n_read, count(*) FILTER (uniq) AS n_unique, 100.0::DOUBLE * (count(*) - count(*) FILTER (uniq)) / count(*) AS dup_pct, sum(floor(length(text) / 4.45)) FILTER (uniq)::BIGINT AS tokens FROM u GROUP BY ROLLUP (source)""")
 def process_report(spark, d):
     """Counts per source with their total."""
-    u = _docs(spark, d).withColumn("uniq", F.row_number().over(Window.partitionBy(F.sha2("text", 256)).orderBy("doc_id")) == 1)
-    return u.rollup("source").agg(F.count("*").alias("n_read"), F.count_if("uniq").alias("n_unique"), (100.0 * (F.count("*") - F.count_if("uniq")) / F.count("*")).alias("dup_pct"), F.sum(F.when(F.col("uniq"), F.floor(F.length("text") / 4.45))).alias("tokens"))
+    facts = _docs(spark, d).select("doc_id", "source", F.sha2("text", 256).alias("sha"), F.floor(F.length("text") / 4.45).alias("t"))
+    first = facts.groupBy("sha").agg(F.min("doc_id").alias("doc_id")).select("doc_id", F.lit(True).alias("uniq"))
+    u = facts.drop("sha").join(first, "doc_id", "left").withColumn("uniq", F.coalesce("uniq", F.lit(False)))
+    return u.rollup("source").agg(F.count("*").alias("n_read"), F.count_if("uniq").alias("n_unique"), (100.0 * (F.count("*") - F.count_if("uniq")) / F.count("*")).alias("dup_pct"), F.sum(F.when(F.col("uniq"), F.col("t"))).alias("tokens"))
 
 
 @query("SELECT lang, count(*) AS kept, avg(n_chars) AS mean_chars, min(n_chars) AS least, max(n_chars) AS most, (sum(n_chars) // greatest(count(*), 1))::BIGINT AS floor_mean FROM documents GROUP BY lang")

@@ -34,9 +34,15 @@ def language_reason(lang: Column, text: Column, banglish: Column) -> Column:
 _REASON = f"CASE WHEN length(text) < 100 THEN 'too_short' WHEN NOT (source = 'src3') AND {_PER_LETTER} < 0.5 THEN 'low_bengali_ratio' WHEN {_REP} > 0.3 THEN 'high_repeat_ratio' END"
 
 
-@query(f"WITH {BN} SELECT doc_id, {_REASON} AS reason FROM bn")
+_JUNK = "concat(text, chr(10), 'আরও পড়ুন: ', source, chr(10), 'সাবস্ক্রাইব করুন')"
+
+
+@query(f"""WITH {BN.replace('bn AS', 'raw AS')}, bn AS (SELECT doc_id, source, {STRIP(SUB(f"array_to_string(list_filter(string_split({_JUNK}, chr(10)), lambda l: NOT regexp_matches(l, '{'|'.join(N.BOILERPLATE)}')), chr(10))", "\\n{3,}", "\n\n"))} AS text FROM raw)
+SELECT doc_id, {_REASON} AS reason FROM bn""")
 def quality_reasons(spark, d):
-    return bn(spark, d).select("doc_id", quality_reason(T(), F.col("source") == "src3").alias("reason"))
+    """The first failing check after boilerplate lines, put in here, are gone."""
+    rows = bn(spark, d).withColumn("text", N.clean_boilerplate(F.concat("text", F.lit("\nআরও পড়ুন: "), "source", F.lit("\nসাবস্ক্রাইব করুন"))))
+    return rows.select("doc_id", quality_reason(T(), F.col("source") == "src3").alias("reason"))
 
 
 @query(f"""WITH {BN}, c AS (SELECT doc_id, source, lang, {n_of(R.one_of(R.DEVANAGARI))} > 0 AS dv, {n_of(R.one_of(R.ASSAMESE))} > 0 AS asm, {n_of(R.one_of(R.BLOCKED[2:]))} > 0 AS oth FROM bn)
@@ -51,14 +57,14 @@ def fast_drop(spark, d):
     return table(spark, d, "documents").where((F.length("text") >= 50) & (F.trim("text") != "")).select("doc_id")
 
 
-_MERGE = f"""WITH {BN}, s AS (SELECT *, CASE WHEN length(text) < 100 THEN 'short' WHEN {_PER_VISIBLE} < 0.3 THEN 'ratio' ELSE 'ok' END AS st FROM bn), r AS (SELECT *, row_number() OVER (PARTITION BY sha256(text) ORDER BY doc_id) AS rn FROM s WHERE st = 'ok'),
+_MERGE = f"""WITH {BN}, s AS (SELECT *, CASE WHEN length(text) < 100 THEN 'short' WHEN {_PER_VISIBLE} < 0.3 THEN 'ratio' ELSE 'ok' END AS st FROM bn), r AS (SELECT *, row_number() OVER (PARTITION BY sha256({STRIP('text')}) ORDER BY doc_id) AS rn FROM s WHERE st = 'ok'),
 m AS (SELECT source, doc_id, text, CASE WHEN st <> 'ok' THEN st ELSE 'ok' END AS status FROM s WHERE st <> 'ok' UNION ALL SELECT source, doc_id, text, CASE WHEN rn = 1 THEN 'kept' ELSE 'dedup' END FROM r)"""
 
 
 def merge_status(docs: DataFrame) -> DataFrame:
-    """docs, with bytes for their texts, and status: short, ratio, dedup or kept. Only hashes are shuffled."""
+    """docs, with bytes for their texts, and status: short, ratio, dedup or kept. Texts are compared in NFKC, stripped; only hashes are shuffled."""
     staged = docs.withColumn("st", F.when(F.length("text") < 100, "short").when(S.bengali_per_visible(T()) < 0.3, "ratio").otherwise("ok"))
-    staged = staged.withColumns({"sha": F.sha2("text", 256), "bytes": F.octet_length("text")}).drop("text")
+    staged = staged.withColumns({"sha": F.sha2(N.merge_key(T()), 256), "bytes": F.octet_length("text")}).drop("text")
     rank = F.row_number().over(Window.partitionBy("st", "sha").orderBy("doc_id"))
     status = F.when(F.col("st") != "ok", F.col("st")).when(rank == 1, "kept").otherwise("dedup")
     return staged.withColumn("status", status).drop("st", "sha")
@@ -82,9 +88,10 @@ def track_routing(spark, d):
 
 
 @query(f"""WITH {BN}, {COUNTS}, {ROUTE} SELECT r.doc_id, v AS verdict, md5(left(c.text, 4000)) AS head_md5 FROM routed r JOIN counts c USING (doc_id)
-WHERE assamese >= 3 OR v LIKE 'reject:blocked%' OR v LIKE 'reject:foreign%' OR (v LIKE 'reject:%' AND ('0x' || substr(md5('audit:' || r.doc_id), 1, 8))::BIGINT < 0.02 * 4294967296)""")
+JOIN documents d ON d.doc_id = r.doc_id WHERE d.source <> 'src5' AND (assamese >= 3 OR v LIKE 'reject:blocked%' OR v LIKE 'reject:foreign%' OR (v LIKE 'reject:%' AND ('0x' || substr(md5('audit:' || r.doc_id), 1, 8))::BIGINT < 0.02 * 4294967296))""")
 def audit_stream(spark, d):
-    rows = bn(spark, d).select("doc_id", "text", S.script_counts(T())["assamese"].alias("a"), S.route(T()).alias("v"))
+    """Rejects worth a look: Assamese letters, other scripts, and two of a hundred others; sources of a forced track are no rejects."""
+    rows = bn(spark, d).where("source <> 'src5'").select("doc_id", "text", S.script_counts(T())["assamese"].alias("a"), S.route(T()).alias("v"))
     draw = F.conv(F.substring(seeded("audit", F.col("doc_id")), 1, 8), 16, 10).cast("bigint") < 0.02 * (1 << 32)
     hit = (F.col("a") >= 3) | F.col("v.reason").isin("blocked_script", "foreign_script") | ((F.col("v.track") == "reject") & draw)
     return rows.where(hit).select("doc_id", F.concat_ws(":", "v.track", "v.reason").alias("verdict"), md5(F.left("text", F.lit(4000))).alias("head_md5"))
@@ -107,10 +114,10 @@ SELECT source, count(*) AS n_in, count(*) FILTER (reason IS NULL) AS kept, sum(l
 def profile_a_funnel(spark, d):
     """Profile A from text to the report per source: squeeze, quality reason, exact duplicates, counts."""
     rows = bn(spark, d).withColumn("text", F.regexp_replace(F.regexp_replace(N.squeeze_punctuation(T()), " {2,}", " "), r"^\s+|\s+$", ""))
-    judged = rows.withColumn("q", quality_reason(T(), F.col("source") == "src3"))
-    rank = F.row_number().over(Window.partitionBy(F.col("q").isNull(), F.sha2("text", 256)).orderBy("doc_id"))
-    judged = judged.withColumn("reason", F.when(F.col("q").isNull() & (rank > 1), "exact_duplicate").otherwise(F.col("q")))
-    kept, n = F.col("reason").isNull(), F.length("text")
+    facts = rows.select("doc_id", "source", F.length("text").alias("n"), F.sha2("text", 256).alias("sha"), quality_reason(T(), F.col("source") == "src3").alias("q"))
+    first = facts.where("q is null").groupBy("sha").agg(F.min("doc_id").alias("doc_id")).select("doc_id", F.lit(True).alias("first"))
+    judged = facts.drop("sha").join(first, "doc_id", "left").withColumn("reason", F.when(F.col("q").isNull() & F.col("first").isNull(), "exact_duplicate").otherwise(F.col("q")))
+    kept, n = F.col("reason").isNull(), F.col("n")
     why = lambda name: F.count_if(F.col("reason") == name)
     return judged.groupBy("source").agg(
         F.count("*").alias("n_in"), F.count_if(kept).alias("kept"), F.sum(n).alias("chars_in"), F.coalesce(F.sum(F.when(kept, n)), F.lit(0)).alias("chars_kept"), why("too_short").alias("too_short"),

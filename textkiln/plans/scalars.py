@@ -25,8 +25,13 @@ def white_sql(t: str) -> str:
     return STRIP(f"array_to_string(list_transform(string_split({inner}, chr(10)), lambda l: {STRIP('l')}), chr(10))")
 
 
+DIRTY_SPARK = DIRTY
+for _number in (160, 9472, 2509, 8205):
+    DIRTY_SPARK = DIRTY_SPARK.replace(f"chr({_number})", f"'{chr(_number)}'")
+
+
 def dirty(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.expr(DIRTY.replace("chr(160)", "' '").replace("chr(9472)", "'─'").replace("chr(2509)", "'্'").replace("chr(8205)", "'‍'")).alias("text"))
+    return table(spark, d, "documents").select("doc_id", F.expr(DIRTY_SPARK).alias("text"))
 
 
 def _norm(name, column, sql):
@@ -53,27 +58,58 @@ _norm("norm_unescape", lambda: N.unescape(T()), "replace(replace(replace(text, '
 _norm("norm_nfc", lambda: N.nfc(F.concat(T(), F.lit("éয়"))), "nfc_normalize(concat(text, 'e', chr(769), chr(2479), chr(2492)))")
 
 
-@query()
+@query(f"WITH {BN} SELECT doc_id, md5(text) AS out_md5, length(text)::INTEGER AS n_out FROM bn")
 def norm_nfkc(spark, d):
-    out = bn(spark, d).withColumn("out", N.nfkc(F.concat(T(), F.lit("ﬁ①"))))
+    """Compatibility characters put into the documents (ligatures, full-width and circled forms) come out as the plain ones they stand for."""
+    wide = T()
+    for plain, odd in (("fi", "ﬁ"), ("ff", "ﬀ"), ("A", "Ａ"), ("b", "ｂ"), ("1", "①"), ("...", "…")):
+        wide = F.replace(wide, F.lit(plain), F.lit(odd))
+    out = bn(spark, d).withColumn("out", N.nfkc(wide))
     return out.select("doc_id", md5("out").alias("out_md5"), F.length("out").alias("n_out"))
 
 
-@query()
+_LITE_SQL = lambda t: SUB(SUB(t, "https?://\\S+|www\\.\\S+"), "\\S+@\\S+\\.\\S+")
+
+
+def subset_sql(t: str) -> str:
+    pairs = ((2465, 2492, 2524), (2466, 2492, 2525), (2479, 2492, 2527), (2503, 2494, 2507))
+    for a, b, c in pairs:
+        t = f"replace({t}, concat(chr({a}), chr({b})), chr({c}))"
+    return SUB(f"translate({t}, concat(chr(2544), chr(2545)), concat(chr(2480), chr(2476)))", "[ \\t]+", " ")
+
+
+def cleanup_sql(t: str) -> str:
+    t = SUB(_LITE_SQL(t), R.one_of(R.USELESS))
+    t = f"replace({SUB(SUB(t, '(\\d)\\|(\\d)', '\\1' + chr(0xE001) + '\\2'), '\\|', '।')}, chr(57345), '|')"
+    t = SUB(SUB(t, "\\x{09CD}{2,}", "্"), "(^|\\s)[\\x{09BE}-\\x{09CD}\\x{09D7}\\x{09BC}]+", "\\1")
+    return white_sql(SUB(SUB(t, "[\\x{200C}\\x{200D}\\x{E000}]"), "[।!?.]{2,}([।!?.])", "\\1"))
+
+
+_UNESCAPED = "replace(replace(replace(text, '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
+
+
+@query(f"""WITH {BN.replace('bn AS', 'raw AS')}, bn AS (SELECT doc_id, source, {DIRTY} AS text FROM raw), w AS (SELECT doc_id, source, {white_sql(_UNESCAPED)} AS t FROM bn),
+o AS (SELECT doc_id, CASE WHEN source = 'src3' THEN {white_sql(_LITE_SQL('lower(t)'))} ELSE {cleanup_sql(subset_sql('t'))} END AS out FROM w)
+SELECT doc_id, md5(out) AS out_md5, length(out)::INTEGER AS n_out FROM o""")
 def norm_profile_a(spark, d):
-    out = bn(spark, d).withColumn("out", N.normalize_document(T(), F.col("source") == "src3"))
+    """The whole of profile A on documents with entities, odd spaces, symbols, marks, joiners and addresses put in."""
+    raw = bn(spark, d).withColumn("text", F.expr(DIRTY_SPARK))
+    out = raw.withColumn("out", N.normalize_document(T(), F.col("source") == "src3"))
     return out.select("doc_id", md5("out").alias("out_md5"), F.length("out").alias("n_out"))
 
 
-@query(f"""WITH {BN} SELECT doc_id, md5(replace(replace(replace(replace(translate(text, 'ৰৱ', 'রব'), concat(chr(2465), chr(2492)), chr(2524)), concat(chr(2466), chr(2492)), chr(2525)), concat(chr(2479), chr(2492)), chr(2527)), concat(chr(2503), chr(2494)), chr(2507))) AS out_md5 FROM bn""")
+@query(f"WITH {BN} SELECT doc_id, md5({subset_sql('text')}) AS out_md5 FROM bn")
 def norm_bengali_subset(spark, d):
     return bn(spark, d).select("doc_id", md5(N.bengali_subset(T())).alias("out_md5"))
 
 
-@query(f"""WITH {BN}, j AS (SELECT doc_id, concat(text, chr(10), 'All rights reserved', chr(10), chr(10), chr(10), 'x') AS text FROM bn)
-SELECT doc_id, md5({STRIP(SUB("array_to_string(list_filter(string_split(text, chr(10)), lambda l: NOT regexp_matches(l, 'সর্বস্বত্ব\\s+সংরক্ষিত|মন্তব্য\\s+করুন|শেয়ার\\s+করুন|আরও\\s+পড়ুন|বিজ্ঞাপন|নিউজলেটার|সাবস্ক্রাইব|(?i:all rights reserved)|(?i:subscribe to our)')), chr(10))", "\\n{3,}", "\n\n"))}) AS out_md5 FROM j""")
+_JUNK_LINE = f"({'|'.join(N.BOILERPLATE)})"
+
+
+@query(f"""WITH {BN}, j AS (SELECT doc_id, concat(text, chr(10), 'সর্বস্বত্ব  সংরক্ষিত ২০২৪', chr(10), chr(10), chr(10), 'x', chr(10), 'বিজ্ঞাপন') AS text FROM bn)
+SELECT doc_id, md5({STRIP(SUB(f"array_to_string(list_filter(string_split(text, chr(10)), lambda l: NOT regexp_matches(l, '{_JUNK_LINE}')), chr(10))", "\\n{3,}", "\n\n"))}) AS out_md5 FROM j""")
 def norm_boilerplate(spark, d):
-    return bn(spark, d).select("doc_id", md5(N.clean_boilerplate(F.concat(T(), F.lit("\nAll rights reserved\n\n\nx")))).alias("out_md5"))
+    return bn(spark, d).select("doc_id", md5(N.clean_boilerplate(F.concat(T(), F.lit("\nসর্বস্বত্ব  সংরক্ষিত ২০২৪\n\n\nx\nবিজ্ঞাপন")))).alias("out_md5"))
 
 
 @query("SELECT doc_id, sha256(substr(text, 1, 128)) AS id, sha256(text) AS sha FROM documents")
@@ -180,10 +216,10 @@ def profanity(spark, d):
 
 
 @query(f"""SELECT doc_id, {n_of(G.EMAIL)} AS n_emails, {n_of(G.URL)} AS n_urls,
- regexp_matches(lower(text), '\\b(choti|sex story|xxx)\\b') OR regexp_matches(text, 'চটি|সেক্স') AS nsfw FROM documents""")
+ regexp_matches(lower(text), '\\b({"|".join(G.NSFW_ROMAN)})\\b') OR regexp_matches(text, '{"|".join(G.NSFW_BN)}') AS nsfw FROM (SELECT doc_id, replace(text, 'the and ', 'the hot video ') AS text FROM documents)""")
 def pii_nsfw(spark, d):
     p = G.personal_data(T())
-    return table(spark, d, "documents").select("doc_id", p["n_emails"].alias("n_emails"), p["n_urls"].alias("n_urls"), G.nsfw(T()).alias("nsfw"))
+    return table(spark, d, "documents").withColumn("text", F.replace("text", F.lit("the and "), F.lit("the hot video "))).select("doc_id", p["n_emails"].alias("n_emails"), p["n_urls"].alias("n_urls"), G.nsfw(T()).alias("nsfw"))
 
 
 @query("SELECT doc_id, regexp_matches(concat('x', text, ' 01712345678x'), '(^|[^\\d])(\\+?880|0)1[3-9]\\d{8}($|[^\\d])') AS has_phone FROM documents")
@@ -240,7 +276,6 @@ def url_parts(spark, d):
 
 @query(f"SELECT doc_id, len({WS})::INTEGER AS n_words, sum(len({WS})) OVER (PARTITION BY lang)::BIGINT AS lang_words FROM documents")
 def word_counts(spark, d):
-    from pyspark.sql import Window
-
     n = table(spark, d, "documents").select("doc_id", "lang", F.size(words(T())).alias("n_words"))
-    return n.select("doc_id", "n_words", F.sum("n_words").over(Window.partitionBy("lang")).alias("lang_words"))
+    by = n.groupBy("lang").agg(F.sum("n_words").alias("lang_words"))  # few languages: partial sums, then a table of some rows
+    return n.join(by, "lang").select("doc_id", "n_words", "lang_words")

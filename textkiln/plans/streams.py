@@ -65,7 +65,7 @@ def stream_seen_table(spark, d):
     seen = fresh_path(spark, "seen")
     q = _stream(spark, d, "documents").select("source").writeStream.foreachBatch(streams.seen_table_batch(seen, "source")).option("checkpointLocation", fresh_path(spark, "offsets")).trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.parquet(seen).select("source")
+    return streams.kept_in(spark, seen, "source string")
 
 
 @query("SELECT time_bucket(INTERVAL '1 hour', ts) AS start, event_type, count(*) AS n, sum(value) AS total FROM events GROUP BY 1, 2")
@@ -84,8 +84,13 @@ def window_session(spark, d):
     return streams.sessions(table(spark, d, "events"), "2 hours")
 
 
-@query()
+#: What the literal documents are routed to.
+DEMO_ROUTES = (("native", "native", "ok"), ("short", "reject", "too_short"), ("banglish", "banglish", "romanized"), ("romanized", "banglish", "romanized"), ("codeswitch", "codeswitch", "codeswitch"), ("dialect", "native", "ok"), ("blocked", "reject", "blocked_script"), ("assamese", "reject", "assamese"), ("english", "reject", "english_or_other"))
+
+
+@query("WITH k(k, kind, track, reason) AS (VALUES " + ", ".join(f"({i}, '{a}', '{b}', '{c}')" for i, (a, b, c) in enumerate(DEMO_ROUTES)) + ") SELECT i, kind, track, reason FROM range(21) r(i) JOIN k ON i % 9 = k")
 def demo_routes(spark, d):
+    """The literal documents, over and over, with their routes."""
     from textkiln.functions.script import route
 
-    return readers.demo_documents(spark).select("kind", route(F.col("text")).alias("v")).select("kind", "v.track", "v.reason")
+    return readers.demo_documents(spark, 21).select("i", "kind", route(F.col("text")).alias("v")).select("i", "kind", "v.track", "v.reason")

@@ -22,3 +22,10 @@ def pair_of(record: Column) -> Column:
             pair = F.struct(u.alias("user"), v.alias("assistant"))
             out = F.when(u.isNotNull() & v.isNotNull(), pair) if out is None else out.when(u.isNotNull() & v.isNotNull(), pair)
     return out
+
+
+def pair_in(record: Column) -> Column:
+    """Struct (user, assistant) of a record given as JSON: its first non-empty user and assistant messages, else pair_of, else null."""
+    messages = F.from_json(F.get_json_object(record, "$.messages"), "array<struct<role: string, content: string>>")
+    turn = lambda role: F.get(F.filter(messages, lambda m: (m["role"] == role) & (F.trim(F.coalesce(m["content"], F.lit(""))) != "")), F.lit(0))["content"]
+    return F.coalesce(F.when(turn("user").isNotNull() & turn("assistant").isNotNull(), F.struct(turn("user").alias("user"), turn("assistant").alias("assistant"))), pair_of(record))

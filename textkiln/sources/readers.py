@@ -68,10 +68,24 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", parse("content").alias("tokens"))
 
 
-def demo_documents(spark: SparkSession) -> DataFrame:
-    """A few literal documents, one for each route."""
-    rows = [("native", "আমার সোনার বাংলা আমি তোমায় ভালোবাসি " * 12), ("short", "আমি"), ("banglish", "ami tomake onek bhalo kotha bolbo"), ("english", "the quick brown fox is in the garden"), ("blocked", "यह हिन्दी है"), ("assamese", "অসমীয়া ভাষাৰ কথা ৰৱ"), ("mixed", "আমি আজ office যাব কারণ meeting আছে")]
-    return spark.createDataFrame(rows, "kind string, text string")
+#: Our own documents, one for each route, in both scripts and with contamination.
+DEMO = (
+    ("native", "নদীর ধারে ছোট একটি গ্রাম আছে। সেখানে সকালে পাখির ডাক শোনা যায় এবং মানুষ মাঠে কাজ করে। " * 4),
+    ("short", "নদীর জল শান্ত।"),
+    ("banglish", "ami ajke bari jabo na, tumi kemon acho bolo, onek kotha ache"),
+    ("romanized", "report ta kal submit korbo, meeting ta khub boring hoise bhai, tui koi"),
+    ("codeswitch", "আমি আজ office যাব কারণ client এর meeting আছে, তারপর বাসায় ফিরব dinner করতে।"),
+    ("dialect", "মুই বাজারত যাম বাহে, তোই মোর সাথে আইসেক, হামরা একসাথে ফিরমো।" * 5),
+    ("blocked", "यह वाक्य हिन्दी में है और इसे यहाँ नहीं होना चाहिए।"),
+    ("assamese", "মই আজি ঘৰলৈ যাম আৰু তাৰ পাছত কিতাপ পঢ়িম, তোমাৰ লগত কথা পাতিম।"),
+    ("english", "the river is quiet this morning and the boats are not yet on their way"),
+)
+
+
+def demo_documents(spark: SparkSession, n: int = len(DEMO)) -> DataFrame:
+    """``n`` documents (i, kind, text): the literal ones, over and over."""
+    bank = spark.createDataFrame([(i, *row) for i, row in enumerate(DEMO)], "k int, kind string, text string")
+    return spark.range(n).select(F.col("id").alias("i")).join(F.broadcast(bank), F.col("i") % len(DEMO) == F.col("k")).select("i", "kind", "text")
 
 
 def discover_links(pages: DataFrame, html: Column) -> DataFrame:

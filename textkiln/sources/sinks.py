@@ -1,14 +1,144 @@
-"""Writers: rotated JSON shards, release buckets, chat files, text samples, token files, size-bounded chunks with a manifest."""
+"""Writers: rotated and named JSON shards, release buckets, chat files, samples, token files, size-bounded chunks, manifests, shipping."""
 
 from __future__ import annotations
 
+import gzip
+import json
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyarrow import fs
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textkiln.operators.order import numbered, size_chunks
+from textkiln.operators.storage import materialize
+
+
+def _system(uri: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(uri if ":/" in uri else f"file://{uri}")
+
+
+def put(folder: str, name: str, data: bytes) -> None:
+    """A file that appears whole or not at all."""
+    system, path = _system(folder)
+    system.create_dir(path, recursive=True)
+    made = f"{path}/.{name}.{uuid.uuid4().hex}"
+    with system.open_output_stream(made, compression=None) as out:
+        out.write(data)
+    system.move(made, f"{path}/{name}")
+
+
+def next_index(spark: SparkSession, folder: str) -> DataFrame:
+    """(source, track, next): the index above the largest of the shards source-track-00000.jsonl.gz in the folder."""
+    system, path = _system(folder)
+    system.create_dir(path, recursive=True)
+    named = F.regexp_extract_all(F.element_at(F.split("path", "/"), -1), F.lit(r"^(.*)-([^-]*)-(\d+)\.jsonl\.gz$"), F.lit(0))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.jsonl.gz").schema("path string, modificationTime timestamp, length long, content binary").load(folder)
+    part = lambda i: F.regexp_extract(F.element_at(F.split("path", "/"), -1), r"^(.*)-([^-]*)-(\d+)\.jsonl\.gz$", i)
+    return files.where(F.size(named) > 0).groupBy(part(1).alias("source"), part(2).alias("track")).agg((F.max(part(3).cast("int")) + 1).alias("next"))
+
+
+def write_named_shards(df: DataFrame, folder: str, order: str, rows: int = 50_000) -> DataFrame:
+    """Gzip JSON shards named source-track-00000.jsonl.gz of at most ``rows`` rows of ``df`` (source, track, ...) in order.
+
+    Indexes go on above those in the folder, so nothing is replaced. Gives a row per shard: source, track, shard (index), name, docs.
+    A shard is one task; a source of many rows is many shards.
+    """
+    spark = df.sparkSession
+    above = materialize(next_index(spark, folder), "shard-index")
+    placed = numbered(df, "source", "track", order)
+    first = placed.groupBy("source", "track").agg(F.min("pos").alias("_first"))
+    known = first.join(above, ["source", "track"], "left").withColumn("_next", F.coalesce("next", F.lit(0))).drop("next")
+    sharded = placed.join(known, ["source", "track"]).withColumn("_shard", F.floor((F.col("pos") - F.col("_first")) / rows) + F.col("_next")).drop("pos", "_first", "_next")
+    fields = [c for c in df.columns]
+    lines = sharded.select("source", "track", F.col("_shard").cast("long").alias("shard"), order, F.to_json(F.struct(*fields)).alias("line"))
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, held = None, []
+
+        def flush() -> pd.DataFrame:
+            name = f"{key[0]}-{key[1]}-{key[2]:05d}.jsonl.gz"
+            put(folder, name, gzip.compress(("\n".join(held) + "\n").encode(), 4, mtime=0))
+            return pd.DataFrame({"source": [key[0]], "track": [key[1]], "shard": [key[2]], "name": [name], "docs": [len(held)]})
+
+        for pdf in batches:
+            for source, track, shard, line in zip(pdf["source"], pdf["track"], pdf["shard"], pdf["line"], strict=True):
+                if (source, track, shard) != key:
+                    if held:
+                        yield flush()
+                    key, held = (source, track, shard), []
+                held.append(line)
+        if held:
+            yield flush()
+
+    keys = ["source", "track", "shard"]
+    dealt = lines.repartition(*keys).sortWithinPartitions(*keys, order).drop(order)
+    return materialize(dealt.mapInPandas(write, "source string, track string, shard long, name string, docs long"), "named-shards")
+
+
+def file_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """(name, bytes, sha256) of the files of a folder, of what they hold on disk."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+
+
+def ship(files: DataFrame, target: str, delete: bool = True) -> DataFrame:
+    """Copy files (path) to another file system and then delete them: a row per file, done when its copy has the same size."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for path in pdf["path"]:
+                source, at = _system(path)
+                name = at.rpartition("/")[2]
+                with source.open_input_stream(at, compression=None) as stream:
+                    put(target, name, stream.read())
+                there, folder = _system(target)
+                same = there.get_file_info(f"{folder}/{name}").size == source.get_file_info(at).size
+                if same and delete:
+                    source.delete_file(at)
+                out.append((path, f"{target}/{name}", same))
+            yield pd.DataFrame(out, columns=["path", "shipped", "done"])
+
+    return materialize(files.select("path").mapInPandas(run, "path string, shipped string, done boolean"), "shipped")
+
+
+def rewrite_shards(files: DataFrame, target: str, change) -> DataFrame:
+    """Every JSON shard of ``files`` (path, name) that ``target`` lacks, with ``change`` (a function from record to record, or None to drop it) applied.
+
+    A shard appears under its name when it is whole, so a run that is repeated goes on with what is missing. Gives name, n_in, n_out.
+    """
+    system, folder = _system(target)
+    system.create_dir(folder, recursive=True)
+    done = files.sparkSession.createDataFrame([(f.base_name,) for f in system.get_file_info(fs.FileSelector(folder)) if not f.base_name.startswith(".")], "name string")
+    open_ = files.join(done, "name", "left_anti").select("path", "name")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for path, name in zip(pdf["path"], pdf["name"], strict=True):
+                source, at = _system(path)
+                with source.open_input_stream(at, compression=None) as stream:
+                    raw = stream.read()
+                text = (gzip.decompress(raw) if name.endswith(".gz") else raw).decode("utf-8", "replace")
+                records = [json.loads(x) for x in text.splitlines() if x.strip()]
+                made = [json.dumps(r, ensure_ascii=False) for r in map(change, records) if r is not None]
+                data = ("\n".join(made) + "\n" * bool(made)).encode()
+                put(target, name, gzip.compress(data, 4, mtime=0) if name.endswith(".gz") else data)
+                yield pd.DataFrame({"name": [name], "n_in": [len(records)], "n_out": [len(made)]})
+
+    return materialize(open_.mapInPandas(run, "name string, n_in long, n_out long"), "rewritten")
+
+
+def write_review(df: DataFrame, path: str, n: int, key: str, seed: int = 0) -> None:
+    """A text file of ``n`` rows (task, score, source, user, assistant) drawn without replacement, numbered from 1."""
+    from textkiln.operators.order import sample_rows
+
+    drawn = numbered(sample_rows(df, n, key, seed), key, buckets=1)  # n rows
+    entry = F.format_string("[%d] task=%s score=%.2f source=%s\n    Q: %s\n    A: %s\n", F.col("pos") + 1, "task", "score", "source", "user", "assistant")
+    drawn.orderBy("pos").select(entry.alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
 def write_shards(df: DataFrame, path: str, by: list[str], rows: int = 50_000, mode: str = "append") -> None:
@@ -41,15 +171,28 @@ def write_chunks(df: DataFrame, path: str, order: str, text: str, target: int) -
 
 
 def write_uint16(df: DataFrame, path: str, order: str, tokens: str) -> DataFrame:
-    """Token arrays as little-endian uint16 text-free files in order: (part, offset, n, tokens_b64) rows in Parquet, ready to concatenate."""
+    """Token arrays in order as little-endian uint16 files: a row per file, path, start (tokens before it) and n. The files in order of start are
+    one array, ready to be mapped or concatenated. Ids of 65536 and more are an error.
+    """
     import numpy as np
 
-    placed = numbered(df.select(order, tokens), order, value=F.size(tokens))
+    placed = numbered(df.select(order, tokens), order, value=F.size(tokens)).select("before", F.col(tokens).alias("t"))
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        start, parts = None, []
         for pdf in batches:
-            yield pd.DataFrame({"offset": pdf["before"], "n": pdf[tokens].map(len), "raw": pdf[tokens].map(lambda t: np.asarray(t, "<u2").tobytes())})
-
-    out = placed.mapInPandas(pack, "offset long, n int, raw binary")
-    out.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+            if start is None and len(pdf):
+                start = int(pdf["before"].iloc[0])
+            for t in pdf["t"]:
+                ids = np.asarray(t, np.int64)
+                if len(ids) and (ids.min() < 0 or ids.max() > 65535):
+                    raise ValueError("an id doesn't fit 16 bits")
+                parts.append(ids.astype("<u2").tobytes())
+        if start is not None:
+            context, data = TaskContext.get(), b"".join(parts)
+            name = f"tokens-{context.partitionId():05d}-{context.taskAttemptId()}.bin"
+            put(path, name, data)
+            yield pd.DataFrame({"path": [f"{path}/{name}"], "start": [start], "n": [len(data) // 2]})
+
+    dealt = placed.repartitionByRange("before").sortWithinPartitions("before")
+    return materialize(dealt.mapInPandas(pack, "path string, start long, n long"), "uint16")
