@@ -49,6 +49,33 @@ def test_sharding_law_slots_and_fields(spark, docs):
     assert sharding.shard(spark.createDataFrame([(None, "x")] * 3, "doc_id long, text string"), "doc_id", 16).count() == 3
 
 
+def _drawn(key, leaves, seed=0):
+    """The shard of an integer key: the least -ln(u) / weight of the children at each level."""
+    import xxhash
+
+    path, among = "", leaves
+    for level in range(3):
+        groups = {}
+        for x in among:
+            groups.setdefault((x.region, x.rack, x.shard)[level], []).append(x)
+        best = []
+        for g in sorted(groups):
+            h = xxhash.xxh64_intdigest(int(key).to_bytes(8, "little", signed=True), seed=xxhash.xxh64_intdigest(f"{seed}/{path}/{g}".encode(), seed=42))
+            best.append((-math.log(((h >> 11) + 0.5) / 2**53) / sum(x.weight for x in groups[g]), g))
+        g = min(best)[1] if len(best) > 1 else best[0][1]
+        path, among = f"{path}/{g}", groups[g]
+    return among[0].shard
+
+
+def test_shards_equal_plain_draws(spark):
+    got = sharding.shard(spark.range(600).select((F.col("id") * 7919 - 1000).alias("doc_id"), F.lit("x").alias("text")), "doc_id", 16).collect()
+    for r in got:
+        assert r["shard"] == _drawn(r["doc_id"], sharding.tree(16)) and r["grown_shard"] == _drawn(r["doc_id"], sharding.tree(17))
+    heavy = sharding.tree(20, weights={3: 2.5, 18: 0.5})
+    placed = spark.range(300).select("id", sharding.assign(F.col("id"), heavy, 9).alias("s")).collect()
+    assert all(r["s"] == _drawn(r["id"], heavy, 9) for r in placed)
+
+
 def test_sharding_growth_weights_and_subtrees(spark):
     keys = spark.range(40_000)
     place = lambda leaves: [r[0] for r in keys.select(sharding.assign(F.col("id"), leaves)).collect()]
@@ -188,6 +215,45 @@ def test_mixing_inverts_poisson(spark):
     assert abs(distinct["big"] / 15_000 - (1 - math.exp(-2 / 3))) < 0.02 and abs(distinct["small"] / 5000 - (1 - math.exp(-2))) < 0.02
 
 
+def _plain_copies(rows, weights, default, seed):
+    """Copies of each row (doc_id, source, text) by inversion of the Poisson distribution."""
+    size = Counter()
+    for _, source, text in rows:
+        size[source] += len((text or "").encode())
+    weight = {s: weights.get(s, default) if size[s] else 0.0 for s in size}
+    out = []
+    for i, source, _ in rows:
+        rate = weight[source] * sum(size.values()) / sum(weight.values()) / size[source] if size[source] and weight[source] else 0.0
+        draws = max(1, math.ceil(rate / 16))
+        n = 0
+        for k in range(draws):
+            u = int(hashlib.md5(f"{seed}:{'null' if i is None else i}:{k}".encode()).hexdigest()[:13], 16) / 2**52
+            p = below = math.exp(-rate / draws)
+            j = 0
+            while below <= u and j < 84:
+                j += 1
+                p *= rate / draws / j
+                below += p
+                n += 1
+        out.append(n)
+    return out
+
+
+def test_mixing_equals_plain_inversion(spark):
+    rng = random.Random(8)
+    rows = [(i if i % 17 else None, rng.choice(["a", "b", "c", None, "empty"]), None) for i in range(400)]
+    rows = [(i, s, None if s == "empty" else "x" * rng.randint(0, 40)) for i, s, _ in rows] + [(9, "a", "again")] * 2
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(3)
+    got = mixing.replicate(df, {"a": 3.0, "b": 0.0}, default=1.5, seed=5).collect()
+    want = Counter()
+    for row, n in zip(rows, _plain_copies(rows, {"a": 3.0, "b": 0.0}, 1.5, 5), strict=True):
+        want.update({(*row, k): 1 for k in range(n)})
+    assert Counter((r["doc_id"], r["source"], r["text"], r["copy_no"]) for r in got) == want and len(want) > 200
+    name = lambda r: f"order5:{'null' if r['doc_id'] is None else r['doc_id']}:{r['copy_no']}"
+    assert all(r["shuffle_key"] == hashlib.md5(name(r).encode()).hexdigest()[:16] for r in got)
+    assert [r["shuffle_key"] for r in got] == sorted(r["shuffle_key"] for r in got)
+
+
 def test_mixing_large_rates_and_edges(spark, docs):
     one = spark.createDataFrame([(i, "s", "x") for i in range(50)], "doc_id long, source string, text string")
     counts = [r["c"] for r in mixing.replicate(one, {"s": 1.0}, total=50 * 300.0, seed=2).groupBy("doc_id").agg(F.count("*").alias("c")).collect()]
@@ -615,45 +681,58 @@ def test_calibration_is_the_minimum_of_the_penalised_loss():
     assert all(np.isfinite(quality.calibrate(x, np.ones(3000))))
 
 
-def test_quality_scores_equal_a_plain_computation(spark):
+def _plain_scorer(rows, labels):
+    """The score of a text after a fit on rows (doc_id, text) and labels (doc_id, quality), by plain Python."""
     import zstandard as zstd
 
-    rng = random.Random(3)
-    vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(300)]
-    rows = [(i, " ".join(rng.choice(vocabulary) + ("!" if i % 3 == 0 and rng.random() < 0.4 else "") for _ in range(rng.randint(1, 400)))) for i in range(300)] + [(300, None), (301, ""), (7, "a lesser text of id 7")]
-    labels = [(i, int(i % 3 > 0)) for i in range(300)] + [(7, 0), (None, 0)]
-    df, known = spark.createDataFrame(rows, "doc_id long, text string").repartition(3), spark.createDataFrame(labels, "doc_id long, quality int")
-    got = Counter((r["doc_id"], r["text"], round(r["score"], 9)) for r in quality.score_column(df, quality.fit(df, known)).collect())
-    text = {i: max(t for j, t in rows if j == i) for i in range(300)}
-    order = sorted((i for i in text if zlib.crc32(str(i).encode()) % 5), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
-    cut = lambda t: [t.encode()[a : a + 512] for a in range(0, len(t.encode()), 512)]
+    quality_of, text = {}, {}
+    for i, y in labels:
+        if i is not None and y in (0, 1) and zlib.crc32(str(i).encode()) % 5:
+            quality_of[i] = max(y, quality_of.get(i, 0))
+    for i, t in rows:
+        if i in quality_of:
+            text[i] = max((t or "").encode(), text.get(i, b""))
+    order = sorted(text, key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+    cut = lambda raw: [raw[a : a + 512] for a in range(0, len(raw), 512)]
 
     def packers(ids):
         made = []
         for label in (1, 0):
-            blocks = [b for i in ids if int(i % 3 > 0) == label for b in cut(text[i])]
+            blocks = [b for i in ids if quality_of[i] == label for b in cut(text[i])]
             try:
                 raw = zstd.train_dictionary(112 << 10, blocks, k=200, d=8).as_bytes()
             except zstd.ZstdError:
                 raw = b"".join(blocks)[-(112 << 10) :]
-            made.append(zstd.ZstdCompressor(level=3, dict_data=zstd.ZstdCompressionDict(raw), write_checksum=False, write_content_size=False, write_dict_id=False))
+            options = {"dict_data": zstd.ZstdCompressionDict(raw), "write_checksum": False} if raw else {}
+            made.append(zstd.ZstdCompressor(level=3, write_content_size=False, write_dict_id=False, **options))
         return made
 
-    def difference(t, pair):
-        good, bad = (sum(len(z.compress(b)) for b in cut(t)) for z in pair)
-        return (bad - good) / (bad + good) if t else 0.0
+    def difference(raw, pair):
+        good, bad = (sum(len(z.compress(b)) for b in cut(raw)) for z in pair)
+        return (bad - good) / (bad + good) if raw else 0.0
 
     x, y = [], []
     for fold in (0, 1):
         pair = packers(order[1 - fold :: 2])
         x += [difference(text[i], pair) for i in order[fold::2]]
-        y += [float(i % 3 > 0) for i in order[fold::2]]
+        y += [float(quality_of[i]) for i in order[fold::2]]
     x, y = np.array(x), np.array(y)
-    w, pair = np.zeros(2), packers(order)
-    s, weight = np.stack([np.ones(len(x)), (x - x.mean()) / x.std()], 1), np.where(y == 1, len(y) / 2 / y.sum(), len(y) / 2 / (len(y) - y.sum()))
+    w, pair, n = np.zeros(2), packers(order), len(y)
+    s, weight = np.stack([np.ones(n), (x - x.mean()) / x.std()], 1), np.where(y == 1, n / 2 / y.sum(), n / 2 / (n - y.sum()))
     for _ in range(200_000):  # plain gradient descent
-        w += 2 / len(y) * (s.T @ (weight * (y - 1 / (1 + np.exp(-(s @ w))))) - 1e-2 * w)
-    want = Counter((i, t, round(float(1 / (1 + math.exp(-(w[0] + w[1] * (difference(t or "", pair) - x.mean()) / x.std())))), 9)) for i, t in rows)
+        w += 2 / n * (s.T @ (weight * (y - 1 / (1 + np.exp(-(s @ w))))) - 1e-2 * w)
+    return lambda t: float(1 / (1 + math.exp(-(w[0] + w[1] * (difference((t or "").encode(), pair) - x.mean()) / x.std()))))
+
+
+def test_quality_scores_equal_a_plain_computation(spark):
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(300)]
+    rows = [(i, " ".join(rng.choice(vocabulary) + ("!" if i % 3 == 0 and rng.random() < 0.4 else "") for _ in range(rng.randint(1, 400)))) for i in range(300)] + [(300, None), (301, ""), (7, "a lesser text of id 7")]
+    labels = [(i, int(i % 3 > 0)) for i in range(300)] + [(7, 0), (None, 0)]
+    df, known = spark.createDataFrame(rows, "doc_id long, text string").repartition(3), spark.createDataFrame(labels, "doc_id long, quality int")
+    got = Counter((r["doc_id"], r["text"], round(r["score"], 9)) for r in quality.score_column(df, quality.fit(df, known)).collect())
+    score = _plain_scorer(rows, labels)
+    want = Counter((i, t, round(score(t), 9)) for i, t in rows)
     pairs = lambda c: sorted(((i if i is not None else -1, t or "", p) for i, t, p in c.elements()))
     assert [a[:2] for a in pairs(got)] == [a[:2] for a in pairs(want)]
     assert np.allclose([a[2] for a in pairs(got)], [a[2] for a in pairs(want)], atol=1e-5)

@@ -156,7 +156,10 @@ def decode(ids: np.ndarray, pieces: list[str]) -> str:
 
 
 def encode_documents(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``docs`` with n_tokens and ids. A null or empty text has no ids; other columns stay (n_tokens and ids are replaced)."""
+    """``docs`` with n_tokens and ids. A null or empty text has no ids; other columns stay (n_tokens and ids are replaced).
+
+    A long text is encoded whole, repeated rows alike, and an empty table gives an empty one.
+    """
     keep = [c for c in docs.columns if c not in ("n_tokens", "ids")]
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in keep) + ", n_tokens long, ids array<int>"
 
@@ -171,7 +174,7 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text") -> DataFram
 
 
 def decode_documents(docs: DataFrame, path: str, ids: str = "ids") -> DataFrame:
-    """``docs`` with the column decoded; null ids give null."""
+    """``docs`` with the column decoded (replaced if there is one); null ids give null, none an empty text, an empty table an empty one."""
     keep = [c for c in docs.columns if c != "decoded"]
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in keep) + ", decoded string"
 
@@ -185,7 +188,11 @@ def decode_documents(docs: DataFrame, path: str, ids: str = "ids") -> DataFrame:
 
 
 def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_tokens, ids_sha256, decoded_sha256): encodes and decodes in one pass and keeps only digests of both."""
+    """(key, n_tokens, ids_sha256, decoded_sha256): encodes and decodes in one pass and keeps only digests of both.
+
+    Null and empty texts have no ids and the digests of an empty text; long texts are read whole; null and repeated keys stay as they
+    are, a row each; an empty table gives an empty one. Other columns, also of these names, are not read.
+    """
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

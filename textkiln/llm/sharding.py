@@ -82,8 +82,8 @@ def shard(df: DataFrame, key: str, n_shards: int = 16, *, text: str = "text", se
     """Add shard, slot (gapless from 0 in each shard) and grown_shard (with one shard more) to every row.
 
     Slots are numbered in hash buckets of about ``bucket_rows`` rows, each from the sum of the counts before
-    it, so no task orders a whole shard. A null key is a key like others; null text has size 1 and CRC 0.
-    Rows that are repeated get slots of their own. Columns of these names are replaced; others stay.
+    it, so no task orders a whole shard. A null key is a key like others; null text has size 1 and CRC 0; a long text counts with all its bytes.
+    Rows that are repeated get slots of their own; an empty table gives an empty one. Columns of these names are replaced; others stay.
     """
     size = (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long")
     k = F.col(key)
