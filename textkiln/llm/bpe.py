@@ -15,14 +15,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from textkiln.llm.common import slices, splitmix, text_buffers
+from textkiln.llm.common import slices, splitmix, text_batches, text_buffers, trimmed
 from textkiln.llm.jaccard import _BYTE, _power
 from textkiln.llm.words import _SPACE, Encoder, encoder
 
 #: Bytes of the rolling window, and the mean length of a chunk.
 WINDOW, MEAN = 24, 256
 #: Bytes of chunks that a worker keeps; then it starts afresh.
-KEEP = 24 << 20
+KEEP = 16 << 20
 
 
 def cuts(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, mean: int = MEAN) -> np.ndarray:
@@ -136,6 +136,7 @@ class ChunkEncoder:
         return out
 
 
+@trimmed
 def encoded(batches: Iterator[pa.RecordBatch], path: str, column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     """Batches with the ids (uint32) of each row's whole text; null is empty."""
     chunks = ChunkEncoder(encoder(path, False))
@@ -170,7 +171,7 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text") -> DataFram
             lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.diff(at), pa.int64()), lists], names=[*keep, "n_tokens", "ids"])
 
-    return docs.select(*keep).mapInArrow(run, ddl)
+    return text_batches(docs).select(*keep).mapInArrow(run, ddl)
 
 
 def decode_documents(docs: DataFrame, path: str, ids: str = "ids") -> DataFrame:
@@ -184,7 +185,7 @@ def decode_documents(docs: DataFrame, path: str, ids: str = "ids") -> DataFrame:
             out = [None if x is None else " ".join([pieces[i] for i in x]) for x in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=[*keep, "decoded"])
 
-    return docs.select(*keep).mapInArrow(run, ddl)
+    return text_batches(docs).select(*keep).mapInArrow(run, ddl)
 
 
 def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -206,4 +207,4 @@ def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
                 b.append(hashlib.sha256(" ".join([pieces[i] for i in listed]).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(key), pa.array([len(x) for x in ids], pa.int64()), pa.array(a), pa.array(b)], names=[key, "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return text_batches(docs).select(key, text).mapInArrow(run, f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textkiln.llm.common import GOLDEN, batch_of, slices, splitmix, text_buffers
+from textkiln.llm.common import GOLDEN, batch_of, slices, splitmix, text_batches, text_buffers, trimmed
 from textkiln.operators.graph import components
 from textkiln.operators.storage import materialize
 
@@ -128,6 +128,7 @@ HITS_DDL = "doc_id long, n_grams long, node long, check long, sig long, class in
 ENTRY = np.dtype([("node", "<i8"), ("class", "<i4"), ("need", "<i4")])
 
 
+@trimmed
 def _sign(batches: Iterator[pa.RecordBatch], n: int, percent: int, parts: int, salted: frozenset, flush: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """Documents to a row each, and to blobs of signatures for each part. Equal sets of one task sign once."""
     tops, seen, entries, sigs, owner, held = _classes(percent), set(), [], [], [], 0
@@ -171,6 +172,7 @@ def _sign(batches: Iterator[pa.RecordBatch], n: int, percent: int, parts: int, s
         yield blobs()
 
 
+@trimmed
 def _hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by part: passes the document rows on, and gives every set's signatures that another set has too. It holds one part at a time."""
     blobs, current = [], None
@@ -355,6 +357,7 @@ def _forest(n: int, i: np.ndarray, j: np.ndarray) -> list[int]:
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
+@trimmed
 def _groups(batches: Iterator[pa.RecordBatch], n: int, percent: int, salted: frozenset) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (grp, lo, hi): joins each run of sets and gives a spanning forest of its links."""
     key, sets, nodes, own = None, {}, [], []
@@ -395,7 +398,7 @@ def similarity_groups(docs: DataFrame, *, n: int = 5, percent: int = 80, salted:
     """
     spark = docs.sparkSession
     parts = 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = text_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = texts.mapInArrow(lambda it: _sign(it, n, percent, parts, salted), FACTS_DDL)
     facts = materialize(signed.repartition("part").sortWithinPartitions("part").mapInArrow(_hits, HITS_DDL), "signatures")
     rows = facts.where("sig is null").select("doc_id", "n_grams", "node", "check")

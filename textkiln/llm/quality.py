@@ -18,7 +18,7 @@ import zstandard as zstd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textkiln.llm.common import slices, text_buffers
+from textkiln.llm.common import slices, text_batches, text_buffers, trimmed
 
 #: Bytes of a block and of a dictionary; compression level.
 BLOCK, DICTIONARY, LEVEL = 512, 112 << 10, 3
@@ -146,6 +146,7 @@ def score_column(docs: DataFrame, model: Model, text: str = "text", name: str =
     keep = [c for c in docs.columns if c != name]
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in keep) + f", `{name}` double"
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text, 8 << 20):
             data, off = text_buffers(batch.column(text))
@@ -153,4 +154,4 @@ def score_column(docs: DataFrame, model: Model, text: str = "text", name: str =
             scores = [model.score(blocks_of(view[a:b])) for a, b in zip(off[:-1], off[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*keep, name])
 
-    return docs.select(*keep).mapInArrow(run, ddl)
+    return text_batches(docs).select(*keep).mapInArrow(run, ddl)

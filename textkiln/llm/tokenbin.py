@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textkiln.llm.common import batch_of, slices, text_buffers
+from textkiln.llm.common import batch_of, slices, text_batches, text_buffers, trimmed
 from textkiln.llm.files import atomic_writer, attempt_name, deal, reader
 from textkiln.llm.words import encoder
 from textkiln.operators.storage import materialize
@@ -242,8 +242,9 @@ def write_token_files(docs: DataFrame, path: str, folder: str, *, key: str = "do
     their texts. A very long text is one document of a file of its own size at least. An empty table gives no file. Other
     columns, whatever their names, are not read.
     """
-    ordered = docs.select(F.col(key).cast("long").alias("k"), F.xxhash64(text).alias("h"), F.col(text).cast("string").alias("text")).repartitionByRange("k", "h").sortWithinPartitions("k", "h").select("k", "text")
+    ordered = text_batches(docs).select(F.col(key).cast("long").alias("k"), F.xxhash64(text).alias("h"), F.col(text).cast("string").alias("text")).repartitionByRange("k", "h").sortWithinPartitions("k", "h").select("k", "text")
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, part = encoder(path, True), TaskContext.get().partitionId()
         first = words.tokenizer.get_vocab_size(with_added_tokens=True)
@@ -283,6 +284,7 @@ def read_token_files(files: DataFrame, *, with_ids: bool = True) -> DataFrame:
     fields = [("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())] + [("ids", pa.list_(pa.int32()))] * with_ids
     schema = pa.schema(fields)
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, start in zip(batch.column("path").to_pylist(), batch.column("start").to_pylist(), strict=True):

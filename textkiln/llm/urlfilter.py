@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textkiln.llm.common import batch_of, slices
+from textkiln.llm.common import batch_of, slices, text_batches
 from textkiln.operators.storage import materialize
 
 #: Fixed rules: verdict, host, path.
@@ -187,7 +187,7 @@ def judge(pages: DataFrame, *, rules=RULES, key: str = "page_id", url: str = "ur
     stand in a name are looked up, and words never seen count for neither side. Repeated rows are judged alike and each is an example;
     an empty table gives an empty one. Other columns, also of clashing names, are not read.
     """
-    parts = pages.select(F.col(key), F.col(text).cast("string").alias(text), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
+    parts = text_batches(pages).select(F.col(key), F.col(text).cast("string").alias(text), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     rule, ruled = rule_of(F.col("host"), F.col("path"), rules)
     facts = materialize(read_pages(parts.withColumns({"rule": rule, "ruled": ruled}), key, text), "url-facts")
     rows = facts.where("junk is not null").select(F.col(f"_{key}").alias(key), *[F.col(f"_{c}").alias(c) for c in ("host", "path", "rule", "ruled")], "junk")

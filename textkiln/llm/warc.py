@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textkiln.llm.common import batch_of, slices
+from textkiln.llm.common import batch_of, slices, text_batches
 from textkiln.llm.files import atomic_writer, attempt_name, deal, reader
 from textkiln.operators.storage import materialize
 
@@ -109,7 +109,7 @@ def write_archives(pages: DataFrame, folder: str, *, least: int = 0, file_bytes:
     names, are not read. The pages are shuffled only if more than BROADCAST_PAYLOADS payloads occur twice or more, and
     then a hot payload is split as any skewed join.
     """
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
+    rows = text_batches(pages).select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("sha", F.sha1("html"))
     same = rows.where(F.octet_length("html") >= least).groupBy("sha", "page_id", "url").agg(F.count("*").alias("n"))
     first = same.groupBy("sha").agg(F.sum("n").alias("n"), F.max(F.struct("page_id", "url", F.col("n").alias("rows"))).alias("r"))

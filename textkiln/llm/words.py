@@ -110,13 +110,15 @@ class Encoder:
         self.tokenizer, self.spaced = Tokenizer.from_file(path), spaced
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.small = self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16
         self._clear()
 
     def _clear(self) -> None:
-        self.first, self.second, self.entry = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.uint64), np.full(SLOTS, -1, np.int32)
+        self.entry = np.full(SLOTS, -1, np.int32)
+        self.first, self.second = np.zeros(1 << 16, np.uint64), np.zeros(1 << 16, np.uint64)  # the key of each entry
         self.long: dict[bytes, int] = {}
         self.count, self.used = 0, 0
-        self.start, self.pool = np.zeros(1 << 16, np.int64), np.zeros(1 << 18, np.uint32)  # ids of entry i: pool[start[i]:start[i + 1]]
+        self.start, self.pool = np.zeros((1 << 16) + 1, np.uint32), np.zeros(1 << 18, np.uint16 if self.small else np.uint32)  # ids of entry i: pool[start[i]:start[i + 1]]
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -179,10 +181,10 @@ class Encoder:
 
     def ids_of(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of entries in a row, and how many each has."""
-        start = self.start[entries]
+        start = self.start[entries].astype(np.int64)
         size = self.start[entries + 1] - start
         to = np.cumsum(size)
-        return self.pool[np.repeat(start - to + size, size) + np.arange(int(to[-1]) if len(to) else 0)], size
+        return self.pool[np.repeat(start - to + size, size) + np.arange(int(to[-1]) if len(to) else 0)].astype(np.uint32), size
 
     def lookup(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """The entry of each piece; new pieces are encoded. Pieces hold no zero byte."""
@@ -221,7 +223,7 @@ class Encoder:
         while len(open_):
             entry = self.entry[slot]
             empty = entry < 0
-            hit = ~empty & (self.first[slot] == first[open_]) & (self.second[slot] == second[open_])
+            hit = ~empty & (self.first[entry] == first[open_]) & (self.second[entry] == second[open_])
             out[open_[hit]] = entry[hit]
             missing.append(open_[empty])
             free.append(slot[empty])
@@ -230,12 +232,13 @@ class Encoder:
         return (np.concatenate(missing), np.concatenate(free)) if missing else (open_, slot)
 
     def _insert(self, keys: np.ndarray, slot: np.ndarray, entries: np.ndarray) -> None:
+        self.first[entries], self.second[entries] = keys[:, 0], keys[:, 1]
         left = np.arange(len(keys))
         while len(left):
             at = slot[left]
             _, one = np.unique(at, return_index=True)
             one = one[self.entry[at[one]] < 0]
-            self.entry[at[one]], self.first[at[one]], self.second[at[one]] = entries[left[one]], keys[left[one], 0], keys[left[one], 1]
+            self.entry[at[one]] = entries[left[one]]
             stay = np.ones(len(left), bool)
             stay[one] = False
             left = left[stay]
@@ -256,10 +259,10 @@ class Encoder:
         size = np.array([len(x) for x in ids], np.int64)
         flat = np.array([x for one in ids for x in one], np.uint32)
         n, m = self.count + len(ids) + 1, self.used + len(flat)
-        if n > len(self.start):
-            self.start = np.concatenate((self.start, np.zeros(max(n, len(self.start)), np.int64)))
-        if m > len(self.pool):
-            self.pool = np.concatenate((self.pool, np.zeros(max(m, len(self.pool)), np.uint32)))
+        for name, need in (("start", n), ("first", n), ("second", n), ("pool", m)):
+            held = getattr(self, name)
+            if need > len(held):
+                setattr(self, name, np.concatenate((held, np.zeros(max(need - len(held), len(held) // 2), held.dtype))))
         self.pool[self.used : m] = flat
         self.start[self.count + 1 : n] = self.used + np.cumsum(size)
         made = np.arange(self.count, n - 1, dtype=np.int32)
