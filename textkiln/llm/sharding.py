@@ -89,7 +89,7 @@ def shard(df: DataFrame, key: str, n_shards: int = 16, *, text: str = "text", se
     k = F.col(key)
     place, grown = assign(k, tree(n_shards), seed), assign(k, tree(n_shards + 1, base=n_shards if n_shards < 16 else 16), seed)
     buckets = max(1, -(-df.count() // (bucket_rows * n_shards)))
-    bucket = F.pmod(F.xxhash64(F.lit("slot"), k), F.lit(buckets)).cast("int")
+    bucket = F.pmod(F.xxhash64(F.lit("slot"), k, size), F.lit(buckets)).cast("int")  # by size too: rows of one hot key are spread
     keyed = df.withColumns({
         "size": size, "text_crc32": F.crc32(F.coalesce(F.encode(F.col(text), "UTF-8"), F.lit(b""))), "law": F.lit("key"),
         "shard": place, "grown_shard": grown, "_tk_bucket": bucket,
