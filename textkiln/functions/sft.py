@@ -15,6 +15,7 @@ TASKS = (("creative", r"(poem|story|song|letter|কবিতা|গল্প).{0
 TEXTBOOK, GENERIC = (r"chapter \d", r"as an ai", r"অধ্যায়"), (r"important", r"various", r"in general", r"গুরুত্বপূর্ণ")
 META, TIME_SENSITIVE = (r"here is (a|the)", r"নিচে"), (r"today", r"latest", r"আজ")
 EMOTIONS = ("happy", "sad", "আনন্দ", "দুঃখ")
+#: Shares of the tasks in a selection.
 QUOTAS = {"factual": 0.18, "advice": 0.18, "creative": 0.24, "dialogue": 0.12, "translation": 0.04, "math": 0.12, "structured": 0.12}
 LIST_LINE = r"(^|\n)\s*[-*১-৯0-9]"
 
@@ -55,7 +56,7 @@ def repeated_lines(text: Column) -> Column:
 
 
 def score(user: Column, answer: Column, task: Column, source: Column) -> Column:
-    """Additive score of a pair."""
+    """Additive score of a pair (weights and bands are fixed values)."""
     n, s = word_count(answer), sentence_count(answer)
     lively = task.isin("creative", "dialogue", "advice")
     give = lambda flag, x: F.when(flag, F.lit(float(x))).otherwise(0.0)
@@ -73,7 +74,7 @@ def score(user: Column, answer: Column, task: Column, source: Column) -> Column:
 
 
 def reject_reason(user: Column, answer: Column, task: Column, min_ratio: float = 0.35) -> Column:
-    """The first reason to drop a pair, null to keep it. Works on collapsed text, so a list shows only at its start."""
+    """The first reason to drop a pair, null to keep it (limits are fixed values). Works on collapsed text, so a list shows only at its start."""
     user, answer = collapse(user), collapse(answer)
     n = word_count(answer)
     cues = hits(answer, "[:ঃ]")
@@ -87,7 +88,7 @@ def reject_reason(user: Column, answer: Column, task: Column, min_ratio: float =
 
 
 def topk_score(bn_ratio: Column, answer: Column, user: Column) -> Column:
-    """0.5 ratio + 0.3 length band + 0.2 request band."""
+    """0.5 ratio + 0.3 length band + 0.2 request band (fixed values)."""
     n, m = F.length(answer), F.length(user)
     return bn_ratio * 0.5 + F.when(n < 100, 0.2).when(n < 300, 0.5).when(n < 2000, 1.0).otherwise(0.8) * 0.3 + F.when(m < 10, 0.3).when(m < 200, 1.0).otherwise(0.7) * 0.2
 
