@@ -28,6 +28,8 @@ LEAST = 16
 FILE_IDS = 4_000_000
 #: Bits of the table that tells which pairs can be frequent; they are counted exactly afterwards.
 _BITS = 18
+#: The goal falls by this factor from round to round.
+STEP = 4
 
 
 def _slots(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -76,15 +78,17 @@ def _replace(x: np.ndarray, at: np.ndarray, to: np.ndarray, goal: int, floor: in
         return np.zeros((0, 2), np.uint32), none, none
     rank = np.empty(len(pairs), np.int64)
     rank[np.argsort(-size, kind="stable")] = np.arange(len(pairs))
-    slot = lambda k: ((k >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15) ^ k * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(44)
-    home, place = slot(pairs), np.full(1 << 20, -1, np.int32)
-    place[home] = np.arange(len(pairs))
-    shared = np.zeros(1 << 20, bool)  # slots of several pairs
-    shared[home[place[home] != np.arange(len(pairs))]] = True
-    at_slot = slot(keys)
-    which = place[at_slot]
-    search = np.flatnonzero(shared[at_slot])
-    which[search] = np.minimum(np.searchsorted(pairs, keys[search]), len(pairs) - 1)
+    if len(keys) < 1 << 16:
+        which = np.minimum(np.searchsorted(pairs, keys), len(pairs) - 1)
+    else:  # by a table of slots, and where several pairs have one slot by search
+        slot = lambda k: ((k >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15) ^ k * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(46)
+        home, place, shared = slot(pairs), np.full(1 << 18, -1, np.int32), np.zeros(1 << 18, bool)
+        place[home] = np.arange(len(pairs))
+        shared[home[place[home] != np.arange(len(pairs))]] = True
+        at_slot = slot(keys)
+        which = place[at_slot]
+        search = np.flatnonzero(shared[at_slot])
+        which[search] = np.minimum(np.searchsorted(pairs, keys[search]), len(pairs) - 1)
     hit = np.flatnonzero(which >= 0)
     hit = hit[pairs[which[hit]] == keys[hit]]
     order = rank[which[hit]]
@@ -113,12 +117,12 @@ def build_grammar(x: np.ndarray, last: np.ndarray, first: int, least: int = LEAS
         slot = _slots(x[:-1], x[1:])
         count = np.bincount(slot, minlength=1 << _BITS)
         top = int(count.max())
-        goal = max(least, min(top, goal or top) // 4)
+        goal = max(least, min(top, goal or top) // STEP)
         hot = (count >= goal)[slot]
         hot[np.flatnonzero(last[:-1])] = False
         at = np.flatnonzero(hot)
         at = np.delete(at, _closed(x, at, at + 1))
-        fresh, done, lost = _replace(x, at, at + 1, goal, max(least, goal // 4), made)
+        fresh, done, lost = _replace(x, at, at + 1, goal, max(least, goal // STEP), made)
         made += len(fresh)
         rules.append(fresh)
         if goal != least and len(done):
@@ -129,15 +133,18 @@ def build_grammar(x: np.ndarray, last: np.ndarray, first: int, least: int = LEAS
             x, last = x[keep], last[keep]
     if len(x) > 1:  # at the last goal symbols stay in place, linked to the next and the one before
         after, before, alive = np.arange(1, len(x) + 1, dtype=np.int32), np.arange(-1, len(x) - 1, dtype=np.int32), np.ones(len(x), bool)
-        to = at + 1
+        to, near = at + 1, np.zeros(len(x) + 1, bool)
         while len(done):
             places, gone, lost = at[done], to[done], at[lost]
             last[places], alive[gone] = last[gone], False
             after[places] = after[gone]
             tail = after[gone] < len(x)
             before[after[gone][tail]] = places[tail]
-            at = np.unique(np.concatenate((places, before[places], after[places], lost, before[lost])))
-            at = at[(at >= 0) & (at < len(x))]
+            for spots in (places, before[places], after[places], lost, before[lost]):  # -1 and len(x), outside, are the mark's last place
+                near[spots] = True
+            near[-1] = False
+            at = np.flatnonzero(near)
+            near[at] = False
             at = at[alive[at] & ~last[at]]
             to = after[at]
             keep = np.ones(len(at), bool)
@@ -173,6 +180,17 @@ class Grammar:
         return self.flat[np.repeat(self.start[symbols] - to + size, size) + np.arange(int(to[-1]) if len(to) else 0)]
 
 
+def lengths_of(rules: np.ndarray, first: int) -> np.ndarray:
+    """How many ids each rule expands to."""
+    out = np.ones(first + len(rules), np.int64)
+    highest, at = np.maximum.accumulate(rules.max(1)) if len(rules) else np.zeros(0, np.int64), 0
+    while at < len(rules):
+        to = int(np.searchsorted(highest, first + at))
+        out[first + at : first + to] = out[rules[at:to].astype(np.int64)].sum(1)
+        at = to
+    return out[first:]
+
+
 def pack_symbols(x: np.ndarray, symbols: int) -> tuple[int, bytes]:
     """(bits, bytes): the low 16 bits of all symbols, then what is above them in 0, 1, 2, 4, 8 or 16 bits each."""
     bits = next(b for b in (0, 1, 2, 4, 8, 16) if symbols <= 1 << 16 + b)
@@ -204,7 +222,7 @@ def pack(x: np.ndarray, sizes: np.ndarray, doc_ids: np.ndarray, first: int, null
     x, last, rules = build_grammar(x, last, first, least)
     filled = np.zeros(len(sizes), np.int64)
     filled[sizes > 0] = np.diff(np.concatenate(([-1], np.flatnonzero(last))))
-    lengths = Grammar(rules, first).length[first:]
+    lengths = lengths_of(rules, first)
     bits, symbols = pack_symbols(x, first + len(rules))
     head = np.array([len(sizes), len(rules), len(x), first, bits, nulls], "<u8")
     return b"".join([MAGIC, head.tobytes(), rules.astype("<u4").tobytes(), lengths.astype("<u4").tobytes(), np.asarray(doc_ids, "<i8").tobytes(), np.concatenate(([0], np.cumsum(filled))).astype("<u8").tobytes(), sizes.astype("<u8").tobytes(), symbols])

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
 #: Pieces kept by a worker, and the slots of their table; a full table is emptied, which changes nothing but time.
-MAX_PIECES, SLOTS = 1 << 20, 1 << 21
+MAX_PIECES, SLOTS = 3 << 19, 1 << 21
 #: Bytes looked up at a time.
 BLOCK = 1 << 20
 
@@ -246,18 +247,21 @@ class Encoder:
 
     def _encode(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """New entries for distinct pieces, encoded one by one: plain letters are one piece for the model, others go through all steps."""
-        texts = [data[a:b].tobytes().decode() for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
-        letters, tokenize, ids, others = byte_letters(), self.tokenizer.model.tokenize, [], []
+        raw = data.tobytes()
+        texts = [raw[a:b].decode() for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+        letters, tokenize, plain, spaced = dict(enumerate(byte_letters())), self.tokenizer.model.tokenize, _LETTERS.fullmatch, self.spaced
+        ids, others = [], []
         for i, text in enumerate(texts):
-            if _LETTERS.fullmatch(text, text[0] == " "):
-                ids.append([t.id for t in tokenize("".join([letters[b] for b in (text if self.spaced else text.lower()).encode()]))])
+            if plain(text, text[0] == " "):
+                piece = (text if spaced else text.lower()).encode().decode("latin-1").translate(letters)  # bytes as characters
+                ids.append([t.id for t in tokenize(piece)])
             else:
                 ids.append(None)
                 others.append(i)
         for i, e in zip(others, self.tokenizer.encode_batch_fast([texts[i] for i in others], add_special_tokens=False), strict=True):
             ids[i] = e.ids
-        size = np.array([len(x) for x in ids], np.int64)
-        flat = np.array([x for one in ids for x in one], np.uint32)
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))
         n, m = self.count + len(ids) + 1, self.used + len(flat)
         for name, need in (("start", n), ("first", n), ("second", n), ("pool", m)):
             held = getattr(self, name)
