@@ -10,6 +10,7 @@ from textkiln.functions import ranges as R
 from textkiln.functions import script as S
 from textkiln.functions import tags as G
 from textkiln.operators.order import seeded
+from textkiln.operators.storage import materialize
 from textkiln.plans.base import BN, SOURCES_SQL, bn, md5, n_of, query, sources, table
 from textkiln.plans.base import text as T
 from textkiln.plans.scalars import _B, _RATIO, COUNTS, LINES, ROUTE, STRIP, SUB
@@ -115,6 +116,7 @@ def profile_a_funnel(spark, d):
     """Profile A from text to the report per source: squeeze, quality reason, exact duplicates, counts."""
     rows = bn(spark, d).withColumn("text", F.regexp_replace(F.regexp_replace(N.squeeze_punctuation(T()), " {2,}", " "), r"^\s+|\s+$", ""))
     facts = rows.select("doc_id", "source", F.length("text").alias("n"), F.sha2("text", 256).alias("sha"), quality_reason(T(), F.col("source") == "src3").alias("q"))
+    facts = materialize(facts, "facts")  # thin, and read twice
     first = facts.where("q is null").groupBy("sha").agg(F.min("doc_id").alias("doc_id")).select("doc_id", F.lit(True).alias("first"))
     judged = facts.drop("sha").join(first, "doc_id", "left").withColumn("reason", F.when(F.col("q").isNull() & F.col("first").isNull(), "exact_duplicate").otherwise(F.col("q")))
     kept, n = F.col("reason").isNull(), F.col("n")
