@@ -505,6 +505,44 @@ def test_jaccard_edges(spark):
     assert jaccard.similarity_groups(empty(spark)).count() == 0
 
 
+def test_common_passages_dont_tie_all_documents_into_one_group(spark, monkeypatch):
+    rng = random.Random(3)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    common, rows = [word() for _ in range(66)], []
+    for _ in range(40):
+        family = [word() for _ in range(32)]
+        rows += [" ".join(common + family + [word() for _ in range(own)]) for own in (3, 6, 10)]  # of a family the first two link
+    made, whole = {}, jaccard.materialize
+    monkeypatch.setattr(jaccard, "materialize", lambda df, name: made.setdefault(name, whole(df, name)))
+    table = list(enumerate(rows))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.similarity_groups(spark.createDataFrame(table, "doc_id long, text string"), n=4, percent=85).collect()}
+    assert got == _groups(table, 4, 85) and len({c for _, c in got.values()}) < len(rows)
+    sizes = [r["count"] for r in made["members"].groupBy("grp").count().collect()]
+    assert max(sizes) <= 30 and len(sizes) >= 20  # each text goes to a block for every 512 sets of its group
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_sets_that_share_enough_signatures_share_a_rare_one(spark, seed):
+    rng = random.Random(seed)
+    sets = {i: {rng.choice((rng.randrange(12), rng.randrange(400))) for _ in range(30)} for i in range(60)}
+    holders = {s: sum(s in x for x in sets.values()) for s in range(400)}
+    need = {i: rng.randint(1, 14) for i in sets}
+    rows = [(i, 0, s, need[i], holders[s]) for i, x in sets.items() for s in x if holders[s] > 1]
+    left = {i: set() for i in sets}
+    for r in jaccard.rarest(spark.createDataFrame(rows, "node long, class int, sig long, need int, holders int")).collect():
+        left[r["node"]].add(r["sig"])
+    assert all(left[a] & left[b] for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= max(need[a], need[b]))
+    assert all(len(left[i]) == max(0, sum(r[0] == i for r in rows) - need[i] + 1) for i in sets)
+
+
+def test_only_texts_of_candidates_are_dealt(spark):
+    docs = spark.range(-500, 4000).selectExpr("id as doc_id", "'x' as text")
+    ids = spark.createDataFrame([(i,) for i in (-500, -1, 0, 63, 64, 3999)], "rep long")
+    got = [r["doc_id"] for r in jaccard.among(docs, ids).collect()]
+    assert {-500, -1, 0, 63, 64, 3999} <= set(got) and len(got) == len(set(got)) < 20
+    assert jaccard.among(docs, ids.limit(0)).count() == 0
+
+
 def test_sets_that_share_a_node_are_told_apart(spark, monkeypatch):
     whole = jaccard.node_of
 

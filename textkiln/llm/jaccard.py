@@ -3,7 +3,9 @@
 Sets are hashed n-grams in one global order. Two sets of at least ``percent`` % similarity differ in at most
 ``D = size * (100 - percent) / percent`` n-grams, so of ``D + 1 + spare`` ranges of hash values at least
 ``1 + spare`` hold the same n-grams in both. Documents that agree with others in too few ranges have no
-partner and leave; the rest form candidate groups. In each, prefix trees over the sets find the pairs:
+partner and leave. Of the others' signatures those that the most sets have go, one fewer than must agree: two
+sets that link still share one that is left (the prefix filter), so common passages don't tie all documents into
+one group. The rest form candidate groups. In each, prefix trees over the sets find the pairs:
 a node's n-grams are matched once for all sets below it, and a subtree ends where its remaining length
 can't reach the overlap that is needed. The result is exact.
 """
@@ -15,17 +17,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textkiln.llm.common import GOLDEN, batch_of, slices, splitmix, text_batches, text_buffers, trimmed
 from textkiln.operators.graph import components
-from textkiln.operators.storage import materialize
+from textkiln.operators.storage import materialize, release
 
 #: Growth from one class of set sizes to the next.
 RATIO = 1.25
 #: Sets and n-grams of a group that one task holds of each side.
 PART_SETS, PART_GRAMS = 512, 400_000
+#: Bits that tell which texts are candidates: a broadcast of a 64th of them in rows at most.
+FILTER_BITS = 1 << 24
 #: Sets that share a node with another one and are renamed in one go; with more of them the rest follows in the next.
 MOST_SALTED = 100_000
 
@@ -122,8 +126,8 @@ def _signatures(grams: np.ndarray, percent: int, tops: np.ndarray) -> Iterator[t
 
 FACTS = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("n_grams", pa.int64()), ("node", pa.int64()), ("check", pa.int64()), ("blob", pa.binary())])
 FACTS_DDL = "part int, doc_id long, n_grams long, node long, check long, blob binary"
-HITS = pa.schema([("doc_id", pa.int64()), ("n_grams", pa.int64()), ("node", pa.int64()), ("check", pa.int64()), ("sig", pa.int64()), ("class", pa.int32()), ("need", pa.int32())])
-HITS_DDL = "doc_id long, n_grams long, node long, check long, sig long, class int, need int"
+HITS = pa.schema([("doc_id", pa.int64()), ("n_grams", pa.int64()), ("node", pa.int64()), ("check", pa.int64()), ("sig", pa.int64()), ("class", pa.int32()), ("need", pa.int32()), ("holders", pa.int32())])
+HITS_DDL = "doc_id long, n_grams long, node long, check long, sig long, class int, need int, holders int"
 #: A blob: the number of sets; node, class, need, number of signatures of each; all low and all high parts of the signatures.
 ENTRY = np.dtype([("node", "<i8"), ("class", "<i4"), ("need", "<i4")])
 
@@ -180,7 +184,7 @@ def _hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs = batch.filter(batch.column("blob").is_null())
         if docs.num_rows:
             none, small = pa.nulls(docs.num_rows, pa.int64()), pa.nulls(docs.num_rows, pa.int32())
-            yield batch_of(HITS, [*[docs.column(c) for c in ("doc_id", "n_grams", "node", "check")], none, small, small])
+            yield batch_of(HITS, [*[docs.column(c) for c in ("doc_id", "n_grams", "node", "check")], none, small, small, small])
         for part, blob in zip(batch.column("part").to_pylist(), batch.column("blob"), strict=True):
             if not blob.is_valid:
                 continue
@@ -224,10 +228,12 @@ def _matches(part: int, blobs: list) -> Iterator[pa.RecordBatch]:
     some[1:] |= same
     some[:-1] |= same
     s, own, node = s[some].view(np.int64), own[some], node[some]
+    cuts = np.flatnonzero(np.concatenate((np.ones(min(1, len(s)), bool), s[1:] != s[:-1], [True])))
+    holders = np.repeat(np.diff(cuts), np.diff(cuts)).astype(np.int32)
     for a in range(0, len(s), 1 << 16):
         b = min(len(s), a + (1 << 16))
         none = pa.nulls(b - a, pa.int64())
-        yield batch_of(HITS, [none, none, pa.array(node[a:b]), none, pa.array(s[a:b]), pa.array(table["class"][own[a:b]]), pa.array(table["need"][own[a:b]])])
+        yield batch_of(HITS, [none, none, pa.array(node[a:b]), none, pa.array(s[a:b]), pa.array(table["class"][own[a:b]]), pa.array(table["need"][own[a:b]]), pa.array(holders[a:b])])
 
 
 class PrefixTree:
@@ -385,6 +391,24 @@ def _groups(batches: Iterator[pa.RecordBatch], n: int, percent: int, salted: fro
     yield from done()
 
 
+def rarest(hits: DataFrame) -> DataFrame:
+    """Rows (node, class, sig, need, holders) of the signatures by which a set can meet a partner: all but the ``need - 1`` that the most sets hold.
+
+    Sets that link share ``need`` signatures of a class at least, of either's; in one order of all signatures the first that they share is
+    among those left of both. A set with fewer than ``need`` has no row.
+    """
+    common_first = Window.partitionBy("node", "class").orderBy(F.desc("holders"), F.desc("sig"))
+    return hits.withColumn("place", F.row_number().over(common_first)).where("place >= need").drop("place")
+
+
+def among(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text) whose doc_id is in ``ids`` (rep), and a few others: ids meet by FILTER_BITS bits, so that other texts aren't shuffled."""
+    words = lambda c: f"shiftright(pmod(xxhash64({c}), {FILTER_BITS}L), 6)"
+    bit = lambda c: f"shiftleft(1L, cast(pmod(xxhash64({c}), 64L) as int))"
+    held = ids.groupBy(F.expr(words("rep")).alias("word")).agg(F.expr(f"bit_or({bit('rep')})").alias("bits"))
+    return docs.join(F.broadcast(held), F.expr(f"{words('doc_id')} = word")).where(F.expr(f"bits & {bit('doc_id')} <> 0")).select(docs.columns)
+
+
 def similarity_groups(docs: DataFrame, *, n: int = 5, percent: int = 80, salted: frozenset = frozenset()) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text).
 
@@ -404,21 +428,21 @@ def similarity_groups(docs: DataFrame, *, n: int = 5, percent: int = 80, salted:
     rows = facts.where("sig is null").select("doc_id", "n_grams", "node", "check")
     of_node = rows.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n_grams").alias("n_grams"), F.min("check").alias("check"), F.max("check").alias("other"))
     of_node = materialize(of_node, "nodes")
+    release(spark)
     shared = of_node.where("check <> other").select("node").limit(MOST_SALTED).collect()  # of 10**10 sets about three share a node with another one
     if shared:
         return similarity_groups(docs, n=n, percent=percent, salted=salted | {r["node"] for r in shared})
-    hits = facts.where("sig is not null").select("node", "sig", "class", "need")
-    able = hits.groupBy("node", "class").agg(F.count("*").alias("n"), F.min("need").alias("need")).where("n >= need").select("node", "class")
-    kept = hits.join(able, ["node", "class"]).select("sig", "node")
+    kept = rarest(facts.where("sig is not null")).select("sig", "node")
     # least members are tables of their own: a join with an aggregate of the same stage isn't split where a key is hot
     center = materialize(kept.groupBy("sig").agg(F.min("node").alias("center")), "centers")
     star = kept.join(center, "sig").select(F.col("node").alias("a"), F.col("center").alias("b"))
     grouped = components(star).withColumnRenamed("component", "grp")
+    release(spark)
     members = materialize(grouped.join(of_node.select("node", "rep", "n_grams"), "node"), "members")
     split = members.groupBy("grp").agg(F.ceil(F.greatest(F.count("*") / PART_SETS, F.sum("n_grams") / PART_GRAMS)).cast("int").alias("parts"))
     dealt = members.join(split, "grp").withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     # merge: candidates grow with the documents, so their join is a sort-merge join at every size
-    with_text = dealt.join(texts.where("doc_id is not null").hint("merge"), dealt["rep"] == texts["doc_id"]).select("grp", "node", "own", "parts", "text")
+    with_text = dealt.join(among(texts.where("doc_id is not null"), members).hint("merge"), dealt["rep"] == texts["doc_id"]).select("grp", "node", "own", "parts", "text")
     with_text = with_text.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     keys = ["grp", "lo", "hi"]
     blocks = with_text.select("grp", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "text")

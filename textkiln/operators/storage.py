@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -49,6 +50,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files behind tables that are written: it does so for plans that the driver's garbage collector finds unused."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal a table of fewer files than cores over all cores; a table of more files is left as it is read."""
     cores = df.sparkSession.sparkContext.defaultParallelism
