@@ -543,6 +543,17 @@ def test_only_texts_of_candidates_are_dealt(spark):
     assert jaccard.among(docs, ids.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("sets,each", [(1, 1), (1, 40), (300, 1), (50, 7)])
+def test_blobs_of_signatures_round_trip_and_are_small(sets, each):
+    rng = np.random.default_rng(sets)
+    node, kind, need = rng.integers(-(1 << 63), 1 << 63, sets), rng.integers(0, 120, sets), rng.integers(1, 1 << 31, sets)
+    own, sigs = np.repeat(np.arange(sets), each), rng.integers(0, 1 << 63, sets * each, np.uint64)
+    blob = jaccard.packed(node, kind, need, own * 3 + 5, sigs)  # places may be those of a larger table
+    got = jaccard.unpacked(blob)
+    assert all((x == y).all() and len(x) == len(y) for x, y in zip(got, (node, kind, need, own, sigs & np.uint64((1 << 48) - 1)), strict=True))
+    assert len(blob) <= 9 + 13 * sets + 6.125 * sets * each  # 16 and 10 bytes before
+
+
 def test_sets_that_share_a_node_are_told_apart(spark, monkeypatch):
     whole = jaccard.node_of
 

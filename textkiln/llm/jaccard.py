@@ -128,8 +128,31 @@ FACTS = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("n_grams", pa.
 FACTS_DDL = "part int, doc_id long, n_grams long, node long, check long, blob binary"
 HITS = pa.schema([("doc_id", pa.int64()), ("n_grams", pa.int64()), ("node", pa.int64()), ("check", pa.int64()), ("sig", pa.int64()), ("class", pa.int32()), ("need", pa.int32()), ("holders", pa.int32())])
 HITS_DDL = "doc_id long, n_grams long, node long, check long, sig long, class int, need int, holders int"
-#: A blob: the number of sets; node, class, need, number of signatures of each; all low and all high parts of the signatures.
-ENTRY = np.dtype([("node", "<i8"), ("class", "<i4"), ("need", "<i4")])
+
+
+def packed(node: np.ndarray, kind: np.ndarray, need: np.ndarray, own: np.ndarray, sigs: np.ndarray) -> bytes:
+    """A blob of signatures without their 16 high bits, which the part tells; own: the place of each one's set in node, kind and need, ascending, none left out.
+
+    The numbers of sets and signatures; nodes, classes, the need byte by byte; a bit for each signature that begins a set; low and high parts. Of a
+    large table hardly two signatures of a set meet in a blob, so what is held of a set is most of it.
+    """
+    new = np.ones(len(own), bool)
+    new[1:] = own[1:] != own[:-1]
+    return b"".join((
+        np.array([len(node), len(sigs)], "<u4").tobytes(), node.astype("<i8").tobytes(), kind.astype("u1").tobytes(), need.astype("<i4").view("u1").reshape(-1, 4).T.tobytes(),
+        np.packbits(new).tobytes(), (sigs & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(), ((sigs >> np.uint64(32)) & np.uint64(0xFFFF)).astype("<u2").tobytes(),
+    ))
+
+
+def unpacked(blob: pa.Buffer | bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What was given to ``packed``; signatures without their 16 high bits."""
+    view = memoryview(blob)
+    n, m = np.frombuffer(view, "<u4", 2).tolist()
+    ends = np.cumsum([8, 8 * n, n, 4 * n, -(-m // 8), 4 * m]).tolist()
+    need = np.ascontiguousarray(np.frombuffer(view, "u1", 4 * n, ends[2]).reshape(4, n).T).view("<i4").ravel()
+    own = np.cumsum(np.unpackbits(np.frombuffer(view, "u1", -(-m // 8), ends[3]), count=m), dtype=np.uint32) - np.uint32(1)
+    sigs = np.frombuffer(view, "<u4", m, ends[4]).astype(np.uint64) | np.frombuffer(view, "<u2", m, ends[5]).astype(np.uint64) << np.uint64(32)
+    return np.frombuffer(view, "<i8", n, ends[0]), np.frombuffer(view, "u1", n, ends[1]), need, own, sigs
 
 
 @trimmed
@@ -138,7 +161,7 @@ def _sign(batches: Iterator[pa.RecordBatch], n: int, percent: int, parts: int, s
     tops, seen, entries, sigs, owner, held = _classes(percent), set(), [], [], [], 0
 
     def blobs() -> pa.RecordBatch:
-        table = np.array(entries, ENTRY)
+        node, kind, need = (np.array(c, np.int64) for c in zip(*entries, strict=True))
         s, own = np.concatenate(sigs), np.repeat(np.arange(len(owner), dtype=np.uint32), owner)
         part = ((s >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
         order = np.argsort(part, kind="stable")
@@ -146,8 +169,8 @@ def _sign(batches: Iterator[pa.RecordBatch], n: int, percent: int, parts: int, s
         cuts = np.concatenate(([0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)]))
         out = []
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            used, local = np.unique(own[a:b], return_inverse=True)
-            out.append(np.array([len(used), b - a], "<u4").tobytes() + table[used].tobytes() + local.astype("<u4").tobytes() + (s[a:b] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() + ((s[a:b] >> np.uint64(32)) & np.uint64(0xFFFF)).astype("<u2").tobytes())
+            used = np.unique(own[a:b])
+            out.append(packed(node[used], kind[used], need[used], own[a:b], s[a:b]))
         none = pa.nulls(len(out), pa.int64())
         return batch_of(FACTS, [pa.array(part[cuts[:-1]], pa.int32()), none, none, none, none, pa.array(out, pa.binary())])
 
@@ -196,20 +219,16 @@ def _hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _matches(part: int, blobs: list) -> Iterator[pa.RecordBatch]:
-    tables, owners, sigs, seen = [], [], [], 0
+    nodes, kinds, needs, owners, sigs, seen = [], [], [], [], [], 0
     for blob in blobs:
-        view = memoryview(blob)
-        n, m = np.frombuffer(view, "<u4", 2).tolist()
-        at = 8 + n * ENTRY.itemsize
-        tables.append(np.frombuffer(view, ENTRY, n, 8))
-        owners.append(np.frombuffer(view, "<u4", m, at) + np.uint32(seen))
-        low, high = np.frombuffer(view, "<u4", m, at + 4 * m).astype(np.uint64), np.frombuffer(view, "<u2", m, at + 8 * m).astype(np.uint64)
-        sigs.append(low | high << np.uint64(32) | np.uint64(part & 0xFFFF) << np.uint64(48))
-        seen += n
+        node, kind, need, own, s = unpacked(blob)
+        for held, more in zip((nodes, kinds, needs, owners, sigs), (node, kind, need, own + np.uint32(seen), s | np.uint64(part & 0xFFFF) << np.uint64(48)), strict=True):
+            held.append(more)
+        seen += len(node)
     if not sigs:
         return
-    table, own, s = np.concatenate(tables), np.concatenate(owners), np.concatenate(sigs)
-    del tables, owners, sigs
+    nodes, kinds, needs, own, s = (np.concatenate(x) for x in (nodes, kinds, needs, owners, sigs))
+    del owners, sigs
     order = np.argsort(s, kind="stable")
     s, own = s[order], own[order]
     same = s[1:] == s[:-1]
@@ -217,7 +236,7 @@ def _matches(part: int, blobs: list) -> Iterator[pa.RecordBatch]:
     some[1:] |= same
     some[:-1] |= same
     s, own = s[some], own[some]
-    node = table["node"][own]
+    node = nodes[own]
     order = np.lexsort((node, s))
     s, own, node = s[order], own[order], node[order]
     first = np.ones(len(s), bool)
@@ -233,7 +252,7 @@ def _matches(part: int, blobs: list) -> Iterator[pa.RecordBatch]:
     for a in range(0, len(s), 1 << 16):
         b = min(len(s), a + (1 << 16))
         none = pa.nulls(b - a, pa.int64())
-        yield batch_of(HITS, [none, none, pa.array(node[a:b]), none, pa.array(s[a:b]), pa.array(table["class"][own[a:b]]), pa.array(table["need"][own[a:b]]), pa.array(holders[a:b])])
+        yield batch_of(HITS, [none, none, pa.array(node[a:b]), none, pa.array(s[a:b]), pa.array(kinds[own[a:b]], pa.int32()), pa.array(needs[own[a:b]]), pa.array(holders[a:b])])
 
 
 class PrefixTree:
