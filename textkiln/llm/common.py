@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import ctypes
 import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+
+from textkiln.functions.workers import trim
+from textkiln.operators.storage import TEXT_ROWS, text_batches  # noqa: F401  the operators take them from here
 
 #: Fixed constants of the splitmix64 finaliser.
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -40,27 +41,6 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 8 <<
             at = to
 
 
-#: Rows of an Arrow batch of texts: the session's default of 10,000 makes batches of tens of MB in the JVM and again in the worker.
-TEXT_ROWS = "1024"
-
-
-def text_batches(df: DataFrame) -> DataFrame:
-    """``df``; its session deals texts to workers in batches of TEXT_ROWS rows unless it was told another number."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if df.sparkSession.conf.get(name) == "10000":
-        df.sparkSession.conf.set(name, TEXT_ROWS)
-    return df
-
-
-def trim() -> None:
-    """Gives memory that is free in this worker back to the system: workers live on after their task. Without effect where there is no malloc_trim."""
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL(None).malloc_trim(0)
-    except (OSError, AttributeError):
-        pass
-
-
 def trimmed(run):
     """The batches of ``run``, then trim()."""
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textkiln.functions.text import let, ngrams, words
+from textkiln.functions.workers import by_workers
 from textkiln.operators.storage import materialize
 
 #: The Mersenne prime 2^61 - 1 of the permutations, and the bits of a signature value.
@@ -45,9 +46,35 @@ def word_shingles(text: Column, n: int = 5) -> Column:
 
 
 def char_shingles(text: Column, n: int = 5) -> Column:
-    """Distinct character n-grams; a shorter text is one shingle."""
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1))), lambda i: F.substring(text, i, F.lit(n)))
-    return F.array_distinct(grams)
+    """Distinct character n-grams; a shorter text is one shingle, a null one has none.
+
+    The text is cut into characters once: substring() would count from the text's beginning for every gram.
+    """
+    grams = let(F.split(text, ""), lambda c: F.transform(F.sequence(F.lit(1), F.greatest(F.size(c) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(c, i, n), "")))
+    return F.when(text.isNull(), F.array().cast("array<string>")).otherwise(F.array_distinct(grams))
+
+
+def distinct_grams(text: str, n: int = 5) -> int:
+    """How many distinct character n-grams a text has, exactly; a shorter text is one."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    if len(c) <= n:
+        return 1
+    bits, size = 64 // n, len(c) - n + 1
+    if int(c.max()) >> bits:
+        c = np.unique(c, return_inverse=True)[1]  # the text's own alphabet
+    large = int(c.max()) >> bits > 0
+    gram = c[:size].astype(np.uint64)
+    for i in range(1, n):
+        if large:  # still too many letters: what precedes is numbered first
+            gram = np.unique(gram, return_inverse=True)[1].astype(np.uint64)
+        gram = (gram << np.uint64(21 if large else bits)) | c[i : i + size].astype(np.uint64)
+    gram.sort()
+    return 1 + int(np.count_nonzero(gram[1:] != gram[:-1]))
+
+
+def count_char_shingles(text: Column, n: int = 5) -> Column:
+    """The size of char_shingles() by Arrow workers, which make no string of a shingle."""
+    return by_workers(lambda: lambda rows: [0 if t is None else distinct_grams(t, n) for t in rows], "int", pa.int32())(text)
 
 
 def hash60(text: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textkiln.operators.storage import spread
+from textkiln.operators.storage import spread, text_batches
 
 #: Fixed letter maps of the projection to Bengali, Assamese and Devanagari letters.
 LATIN = "abcdefghijklmnopqrstuvwxyzàâäáéèêëíîïìóôöòúùûüñçßœæãõ."
@@ -49,7 +49,7 @@ def query(sql: str | None = None):
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df) if name in ("documents", "pages") else df
+    return spread(text_batches(df)) if name in ("documents", "pages") else df
 
 
 def bn(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -67,7 +67,7 @@ def word_shingles(spark, d):
 
 @query("SELECT doc_id, len(list_distinct(list_transform(range(1, greatest(length(t) - 4, 1) + 1), lambda i: substr(t, i, 5))))::INTEGER AS n FROM (SELECT doc_id, text AS t FROM documents)")
 def char_shingles(spark, d):
-    return _docs(spark, d).select("doc_id", F.size(D.char_shingles(T())).alias("n"))
+    return _docs(spark, d).select("doc_id", D.count_char_shingles(T()).alias("n"))
 
 
 _PERMS_SQL = "perms(k, a, b) AS (VALUES " + ", ".join(f"({i}, {a}::HUGEINT, {b}::HUGEINT)" for i, (a, b) in enumerate(PERMS)) + ")"
