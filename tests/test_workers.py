@@ -49,6 +49,17 @@ def test_texts_go_to_workers_in_small_batches(spark, name):
     assert spark.conf.get(ROWS) == "1024"
 
 
+def test_token_ids_of_odd_texts(spark):
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    texts = [None, "", "a b", "word " * 60_000]
+    model = K.tokenizer_of(path)
+    ids = [[] if t is None else list(model.encode(t)) for t in texts]
+    assert column(spark, texts, lambda t: K.token_ids(t, path, 1, 2)) == [[1, *x, 2] for x in ids]
+    assert column(spark, texts, lambda t: K.decoded(K.token_ids(t, path), path)) == [model.decode(x) for x in ids]
+
+
 def test_character_shingles_of_odd_texts(spark):
     wide = "".join(map(chr, range(0x4E00, 0x4E00 + 6000)))
     texts = [None, "", "ab", "abcde", "abcdef" * 3, "aé😀অ" * 5, wide + wide, "word " * 40_000]

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from functools import lru_cache
+from itertools import chain
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textkiln.functions.workers import by_workers
+
 #: A factory is called once per worker; the tokenizer has encode(text) -> ids, decode(ids) -> text and pieces() -> list of strings.
 Factory = Callable[[], "object"]
 
@@ -55,27 +59,28 @@ def tokenizer_of(path: str):
     return SentencePieces(path) if path.endswith(".model") else HuggingTokenizer(path)
 
 
+def _ids_array(found: list[list[int]]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, found)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.fromiter(chain.from_iterable(found), np.int32, int(ends[-1]))))
+
+
 def token_ids(text: Column, path: str, begin: int | None = None, end: int | None = None) -> Column:
     """Ids of the whole text, between ``begin`` and ``end`` where these are given; a null text has none of its own."""
 
-    @F.pandas_udf("array<int>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def make():
         model = tokenizer_of(path)
-        for texts in batches:
-            yield texts.map(lambda t: [] if t is None else model.encode(t))
+        return lambda rows: _ids_array([[] if t is None else model.encode(t) for t in rows])
 
     mark = lambda x: [F.array(F.lit(x))] if x is not None else []
-    return F.concat(*mark(begin), encode(text), *mark(end))
+    return F.concat(*mark(begin), by_workers(make, "array<int>", pa.list_(pa.int32()))(text), *mark(end))
 
 
 def decoded(ids: Column, path: str) -> Column:
-    @F.pandas_udf("string")
-    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def make():
         model = tokenizer_of(path)
-        for rows in batches:
-            yield rows.map(lambda x: None if x is None else model.decode([int(i) for i in x]))
+        return lambda rows: [None if x is None else model.decode(x) for x in rows]
 
-    return decode(ids)
+    return by_workers(make, "string", pa.string())(ids)
 
 
 def vocabulary(spark, path: str) -> DataFrame:
