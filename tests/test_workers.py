@@ -49,6 +49,17 @@ def test_texts_go_to_workers_in_small_batches(spark, name):
     assert spark.conf.get(ROWS) == "1024"
 
 
+def test_normalization_of_odd_texts(spark):
+    texts = [None, "", "plain", "é", "ﬁ&amp;&lt;", "&", "য়", "é" * 300_000]
+    import html
+    import unicodedata
+
+    whole = lambda f: [None if t is None else f(t) for t in texts]
+    assert column(spark, texts, N.unescape) == whole(html.unescape)
+    for fn, form in ((N.nfc, "NFC"), (N.nfkc, "NFKC")):
+        assert column(spark, texts, fn) == whole(lambda t, form=form: unicodedata.normalize(form, t))
+
+
 def test_token_ids_of_odd_texts(spark):
     import public_tokenizers
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 import html
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from textkiln.functions import ranges as R
 from textkiln.functions.text import strip, sub
+from textkiln.functions.workers import by_workers
 
 #: Patterns of the lines that are boilerplate; pass another list to clean_boilerplate().
 BOILERPLATE = (
@@ -27,18 +28,22 @@ URL, EMAIL = r"https?://\S+|www\.\S+", r"\S+@\S+\.\S+"
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
 
 
-def _by_pandas(fn, text: Column, needs: str) -> Column:
-    """fn by a pandas UDF, only where the pattern matches."""
-    udf = F.pandas_udf(lambda s: s.map(lambda x: None if x is None else fn(x)), "string")
-    return F.when(text.rlike(needs), udf(F.when(text.rlike(needs), text))).otherwise(text)
+def _by_workers(fn, text: Column, needs: str) -> Column:
+    """fn by Arrow workers, only where the pattern matches; texts that it leaves as they are don't travel back."""
+
+    def changed(rows: list) -> list:
+        out = (None if x is None else fn(x) for x in rows)
+        return [None if new == old else new for old, new in zip(rows, out, strict=True)]
+
+    return F.coalesce(by_workers(lambda: changed, "string", pa.string())(F.when(text.rlike(needs), text)), text)
 
 
 def nfc(text: Column) -> Column:
-    return _by_pandas(lambda x: unicodedata.normalize("NFC", x), text, r"[^\x00-\x7F]")
+    return _by_workers(lambda x: unicodedata.normalize("NFC", x), text, r"[^\x00-\x7F]")
 
 
 def nfkc(text: Column) -> Column:
-    return _by_pandas(lambda x: unicodedata.normalize("NFKC", x), text, r"[^\x00-\x7F]")
+    return _by_workers(lambda x: unicodedata.normalize("NFKC", x), text, r"[^\x00-\x7F]")
 
 
 def xxh64_nfc(text: Column, seed: int = 0) -> Column:
@@ -49,12 +54,12 @@ def xxh64_nfc(text: Column, seed: int = 0) -> Column:
 
         return int.from_bytes(xxhash.xxh64_digest(unicodedata.normalize("NFC", x).encode(), seed=seed), "big", signed=True)
 
-    return F.pandas_udf(lambda s: s.map(lambda x: None if x is None else key(x)).astype("Int64"), "long")(text)
+    return by_workers(lambda: lambda rows: [None if x is None else key(x) for x in rows], "long", pa.int64())(text)
 
 
 def unescape(text: Column) -> Column:
     """All HTML entities."""
-    return _by_pandas(html.unescape, text, "&")
+    return _by_workers(html.unescape, text, "&")
 
 
 def unescape_common(text: Column) -> Column:
