@@ -77,3 +77,7 @@ def test_character_shingles_of_odd_texts(spark):
     grams = lambda t: {t[i : i + 5] for i in range(max(1, len(t) - 4))}
     assert column(spark, texts, D.count_char_shingles) == [0 if t is None else len(grams(t)) for t in texts]
     assert [set(x) for x in column(spark, texts, D.char_shingles)] == [set() if t is None else grams(t) for t in texts]
+
+
+def test_trigrams_are_counted_without_a_shuffle(spark):
+    assert "hashpartitioning" not in plans.QUERIES["repeated_trigrams"](spark, SF)._jdf.queryExecution().executedPlan().toString()

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from textkiln.functions import sft as P
-from textkiln.functions.text import ngrams, words
+from textkiln.functions.text import let, ngrams, words
 from textkiln.operators import dedup as D
 from textkiln.operators import graph, order
 from textkiln.operators.storage import materialize
@@ -289,9 +289,7 @@ def heldout_perplexity(spark, d):
 @query(f"""WITH p AS (SELECT doc_id, {WS} AS w FROM documents), g AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) AS g, len(w) AS n FROM p WHERE len(w) >= 9), c AS (SELECT doc_id, g, any_value(n) AS n, count(*) AS c FROM g GROUP BY doc_id, g),
 r AS (SELECT doc_id, coalesce(sum(c) FILTER (c > 1), 0)::DOUBLE / (any_value(n) - 2) AS r FROM c GROUP BY doc_id) SELECT documents.doc_id, coalesce(r, 0.0)::DOUBLE AS repeated FROM documents LEFT JOIN r USING (doc_id)""")
 def repeated_trigrams(spark, d):
-    """Share of repeated trigrams: grams are exploded and counted, so a long text spreads over tasks."""
+    """Share of repeated trigrams: those that have an equal neighbour among the sorted ones of their document; nothing is shuffled."""
     rows = _docs(spark, d).select("doc_id", words(T()).alias("w"))
-    grams = rows.where(F.size("w") >= 9).select("doc_id", (F.size("w") - 2).alias("n"), F.explode(ngrams(F.col("w"), 3)).alias("g"))
-    counts = grams.groupBy("doc_id", "g").agg(F.count("*").alias("c"), F.max("n").alias("n"))
-    share = counts.groupBy("doc_id").agg((F.coalesce(F.sum(F.when(F.col("c") > 1, F.col("c"))), F.lit(0)) / F.max("n")).alias("repeated"))
-    return rows.select("doc_id").join(share, "doc_id", "left").select("doc_id", F.coalesce("repeated", F.lit(0.0)).alias("repeated"))
+    again = let(F.sort_array(ngrams(F.col("w"), 3)), lambda s: F.size(F.filter(s, lambda g, i: (g == F.get(s, i - 1)) | (g == F.get(s, i + 1)))))
+    return rows.select("doc_id", F.when(F.size("w") >= 9, again / (F.size("w") - 2)).otherwise(0.0).alias("repeated"))
