@@ -81,3 +81,17 @@ def test_character_shingles_of_odd_texts(spark):
 
 def test_trigrams_are_counted_without_a_shuffle(spark):
     assert "hashpartitioning" not in plans.QUERIES["repeated_trigrams"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_costly_columns_are_computed_once(spark):
+    counts = {"char_ratios": ("regexp_replace", 4)}
+    for name, (part, n) in counts.items():
+        assert plan_of(plans.QUERIES[name](spark, SF)).count(part) == n, name
+
+
+def test_script_counts_and_tags_of_odd_texts(spark):
+    texts = [None, "", "abc ÀɎ", "অআ১ৰ", "кирил अब ا 中文 12", "।॥", "damn Damn idiots"]
+    assert column(spark, texts, S.script_facts)[0]["letters"] is None
+    rows = column(spark, texts, S.script_facts)[1:]
+    assert [tuple(r) for r in rows] == [(0, 0, 0, 0, 0, 0), (0, 5, 0, 0, 0, 5), (2, 0, 1, 0, 0, 3), (0, 0, 0, 3, 7, 7), (0, 0, 0, 0, 0, 0), (0, 14, 0, 0, 0, 14)]
+    assert [r["per_visible"] for r in column(spark, ["অ a", None], S.bengali_ratios)] == [0.5, None]

@@ -16,6 +16,11 @@ def chars(text: Column, kind: str) -> Column:
     return F.length(text) - F.length(F.regexp_replace(text, f"{kind}+", ""))
 
 
+def others(text: Column, kind: str) -> Column:
+    """Characters outside the class ``kind``: a class in brackets that is negated runs many times slower."""
+    return F.length(F.regexp_replace(text, f"{kind}+", ""))
+
+
 def sub(text: Column, pattern: str, to: str = "") -> Column:
     return F.regexp_replace(text, pattern, to)
 
@@ -40,8 +45,8 @@ def lines(text: Column) -> Column:
 
 
 def ratio(part: Column, whole: Column) -> Column:
-    """part / whole, 0 where whole is 0."""
-    return F.when(whole == 0, F.lit(0.0)).otherwise(part / F.when(whole != 0, whole))
+    """part / whole, 0 where whole is 0. Both are computed once."""
+    return let(F.struct(part.alias("part"), whole.alias("whole")), lambda x: F.when(x["whole"] == 0, F.lit(0.0)).otherwise(x["part"] / F.when(x["whole"] != 0, x["whole"])))
 
 
 def literal_set(values) -> Column:

@@ -124,7 +124,7 @@ _RATIO = lambda a, b: f"CASE WHEN {b} = 0 THEN 0.0::DOUBLE ELSE {a}::DOUBLE / {b
 @query(f"""WITH {BN}, c AS (SELECT doc_id, {_B} AS b, {n_of(chr(92) + 'p{L}')} AS l, {n_of(chr(92) + 'S')} AS s, {n_of("[^" + chr(92) + "s.,;:!?" + chr(92) + "-()" + chr(92) + "[" + chr(92) + "]{}" + chr(92) + "x22" + chr(92) + "x27`/" + chr(92) + chr(92) + "|@#$%^&*+=~<>0-9]")} AS k FROM bn)
 SELECT doc_id, {_RATIO('b', 'l')} AS per_letter, {_RATIO('b', 's')} AS per_visible, {_RATIO('b', 'k')} AS per_content FROM c""")
 def char_ratios(spark, d):
-    return bn(spark, d).select("doc_id", S.bengali_per_letter(T()).alias("per_letter"), S.bengali_per_visible(T()).alias("per_visible"), S.bengali_per_content(T()).alias("per_content"))
+    return bn(spark, d).select("doc_id", S.bengali_ratios(T()).alias("r")).select("doc_id", "r.per_letter", "r.per_visible", "r.per_content")
 
 
 #: Letters of the Bengali and Devanagari blocks, for a language without class intersection.
@@ -135,7 +135,7 @@ COUNTS = f"""counts AS (SELECT *, bengali + latin + other + assamese AS letters
 
 @query(f"WITH {BN}, {COUNTS} SELECT doc_id, bengali, latin, assamese, blocked, other, letters FROM counts")
 def script_counts(spark, d):
-    return bn(spark, d).select("doc_id", *[c.alias(k) for k, c in S.script_counts(T()).items()])
+    return bn(spark, d).select("doc_id", S.script_facts(T()).alias("c")).select("doc_id", "c.*")
 
 
 def _in(values):
@@ -157,9 +157,9 @@ def script_route(spark, d):
 
 @query(f"WITH {BN}, {COUNTS} SELECT doc_id, CASE WHEN bengali / greatest(1, letters) >= 0.9 THEN 'bengali' WHEN latin / greatest(1, letters) >= 0.9 THEN 'latin' ELSE 'mixed' END AS label FROM counts")
 def script_label(spark, d):
-    c = S.script_counts(T())
+    c = F.col("c")
     whole = F.greatest(F.lit(1), c["letters"])
-    return bn(spark, d).select("doc_id", S.script_label(c["bengali"] / whole, c["latin"] / whole).alias("label"))
+    return bn(spark, d).select("doc_id", S.script_facts(T()).alias("c")).select("doc_id", S.script_label(c["bengali"] / whole, c["latin"] / whole).alias("label"))
 
 
 @query(f"WITH {BN} SELECT doc_id, {n_of(R.one_of(R.DEVANAGARI))} AS devanagari_chars, {n_of(R.one_of(R.ASSAMESE))} AS assamese_chars, {n_of(R.one_of(R.BLOCKED[2:]))} AS other_script_chars FROM bn")
