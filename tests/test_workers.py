@@ -95,3 +95,21 @@ def test_script_counts_and_tags_of_odd_texts(spark):
     rows = column(spark, texts, S.script_facts)[1:]
     assert [tuple(r) for r in rows] == [(0, 0, 0, 0, 0, 0), (0, 5, 0, 0, 0, 5), (2, 0, 1, 0, 0, 3), (0, 0, 0, 3, 7, 7), (0, 0, 0, 0, 0, 0), (0, 14, 0, 0, 0, 14)]
     assert [r["per_visible"] for r in column(spark, ["অ a", None], S.bengali_ratios)] == [0.5, None]
+
+
+def test_shared_hashes_give_the_same_signatures():
+    rng = random.Random(5)
+    perms = D.permutations(16, 3)
+    pool = [rng.getrandbits(60) for _ in range(300)]
+    sets = [np.array(rng.sample(pool, rng.randint(1, 200)), np.uint64) for _ in range(60)]
+    want = [[min((a * x + b) % D.P61 % (1 << 32) for x in map(int, s)) for a, b in perms] for s in sets]
+    assert D.signatures_of(sets, perms).tolist() == D.signatures_of(sets, perms, most=1).tolist() == want
+
+
+def test_permutation_of_the_rare_hashes():
+    found = 0
+    for a, b in D.permutations(200, 7):
+        x = [y for r in range(3) if (y := (r - b) * pow(a, -1, D.P61) % D.P61) < 1 << 60] + [0, (1 << 60) - 1]
+        found += len(x) - 2
+        assert next(D.permuted(np.array(x, np.uint64), [(a, b)])).tolist() == [(a * y + b) % D.P61 % (1 << 32) for y in x]
+    assert found > 100

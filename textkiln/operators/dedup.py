@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textkiln.functions.text import let, ngrams, words
-from textkiln.functions.workers import by_workers
+from textkiln.functions.workers import by_workers, cuts, trim
 from textkiln.operators.storage import materialize
 
 #: The Mersenne prime 2^61 - 1 of the permutations, and the bits of a signature value.
@@ -94,29 +94,74 @@ def permutations(n: int, seed: int = 1) -> list[tuple[int, int]]:
     return out
 
 
-def signatures_of(sets: list[np.ndarray], perms: list[tuple[int, int]], block: int = 16384) -> np.ndarray:
+def permuted(x: np.ndarray, perms: list[tuple[int, int]]) -> Iterator[np.ndarray]:
+    """For each permutation ((a x + b) mod P) mod 2^32 of hashes below 2^60, in an array that the next one overwrites.
+
+    a x + b is q 2^61 + r with q at most 2^30, and 2^61 is 1 modulo P, so the remainder is q + r, less P where that is P or more. As 2^61 is 0
+    modulo 2^32, the low 32 bits of q + r are those of a x + b + q. q + r reaches P only where the upper 30 bits of r are 2^30 - 2 at least: those
+    rare hashes get one more, as P is -1 modulo 2^32.
+    """
+    u, low31, low30 = np.uint64, np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1)
+    high, low, word = x >> u(31), x & low31, x.astype(np.uint32)
+    t, h, q, out = np.empty_like(x), np.empty_like(x), np.empty_like(x), np.empty_like(word)
+    for a, b in perms:
+        np.multiply(low, u(a), out=t)
+        t += u(b)
+        np.right_shift(t, u(31), out=q)
+        np.multiply(high, u(a), out=h)
+        h += q
+        np.right_shift(h, u(30), out=q)
+        h &= low30
+        np.multiply(word, np.uint32(a), out=out)
+        out += np.uint32(b & MASK32)
+        out += q.astype(np.uint32)
+        if len(x) and int(h.max()) >= (1 << 30) - 2:
+            r = (h << u(31)) | (t & low31)
+            out += (q + r >= u(P61)).astype(np.uint32)
+        yield out
+
+
+def signatures_of(sets: list[np.ndarray], perms: list[tuple[int, int]], block: int = 16384, most: int = 1 << 19) -> np.ndarray:
     """For each set (none empty) of hashes below 2^60 a row: for each permutation the least ((a x + b) mod P) mod 2^32.
 
-    x is h 2^31 + l with h below 2^29. As 2^61 is 1 modulo P, a h 2^31 is a h, of 60 bits, with its upper 30 bits brought down; with a l,
-    of 62 bits, and b the sum stays below 2^64.
+    Sets are taken together up to ``most`` hashes. Where these are mostly the same ones, as character n-grams are, each is permuted once and the sets gather
+    rows of that table; else the hashes are permuted set by set.
     """
-    u, at, out = np.uint64, 0, np.empty((len(sets), len(perms)), np.int64)
+    at, out = 0, np.empty((len(sets), len(perms)), np.int64)
     ends = np.cumsum([len(x) for x in sets])
     while at < len(sets):
         done = int(ends[at - 1]) if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, done + block, "right")))
-        x, starts = np.concatenate(sets[at:to]).astype(u), np.concatenate(([0], ends[at : to - 1] - done))
-        high, low = x >> u(31), x & u((1 << 31) - 1)
-        for k, (a, b) in enumerate(perms):
-            top = high * u(a)
-            total = ((top << u(31)) & u(P61)) + (top >> u(30)) + low * u(a) + u(b)
-            total = (total & u(P61)) + (total >> u(61))
-            total -= u(P61) * (total >= u(P61))
-            out[at:to, k] = np.minimum.reduceat(total & u(MASK32), starts)
+        to = max(at + 1, int(np.searchsorted(ends, done + most, "right")))
+        x = np.concatenate(sets[at:to]).astype(np.uint64)
+        starts = np.concatenate(([0], ends[at : to - 1] - done))
+        if to - at > 1 and (known := _few(x)) is not None:
+            table, flat = np.empty((len(known[0]), len(perms)), np.uint32), np.empty((len(perms), block), np.uint32)
+            for s in range(0, len(table), block):
+                here = known[0][s : s + block]
+                for k, v in enumerate(permuted(here, perms)):
+                    flat[k, : len(here)] = v
+                for c in range(0, len(here), 256):  # turned while it is in the cache
+                    table[s + c : s + min(c + 256, len(here))] = flat[:, c : min(c + 256, len(here))].T
+            for i, (s, e) in enumerate(zip(starts, [*starts[1:], len(x)], strict=True)):
+                out[at + i] = np.min([table.take(known[1][c : min(c + 4096, e)], axis=0).min(axis=0) for c in range(s, e, 4096)], axis=0)
+        else:
+            i = 0
+            while i < len(starts):
+                j = max(i + 1, int(np.searchsorted(starts, starts[i] + block, "right")) - 1)
+                s, e = starts[i], starts[j] if j < len(starts) else len(x)
+                for k, v in enumerate(permuted(x[s:e], perms)):
+                    out[at + i : at + j, k] = np.minimum.reduceat(v, starts[i:j] - s)
+                i = j
         at = to
     return out
 
 
+def _few(x: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """The distinct values and the place of each among them, if they are half as many at most."""
+    values, place = np.unique(x, return_inverse=True)
+    return (values, place) if 2 * len(values) <= len(x) else None
+
+
 def gram_hashes(texts: list[str], n: int = 5) -> list[np.ndarray]:
     """For each text the distinct hashes below 2^60 of its word n-grams; fewer words are one shingle, none a single empty one."""
     raw = [t.encode("utf-8", "surrogatepass") for t in texts]
@@ -170,15 +215,16 @@ def signatures(df: DataFrame, column: str, perms: list[tuple[int, int]], name: s
     hashes = {"words": gram_hashes, "chars": char_hashes}[shingles]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = batch.column(column)
-            made = []
-            for s in range(0, len(sets), 256):
-                part = sets.slice(s, 256)
-                made.append(signatures_of(hashes([v or "" for v in part.to_pylist()], n) if text else [v.values.to_numpy(zero_copy_only=False) for v in part], perms).ravel())
-            values = pa.array(np.concatenate(made) if made else np.zeros(0, np.int64))
-            sig = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * len(perms), pa.int32()), values)
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], sig], names=[*keep, name])
+        try:
+            for batch in batches:
+                for at, n_rows in cuts(batch.column(column)):
+                    part = batch.slice(at, n_rows)
+                    sets = part.column(column)
+                    made = signatures_of(hashes([v or "" for v in sets.to_pylist()], n) if text else [v.values.to_numpy(zero_copy_only=False) for v in sets], perms)
+                    sig = pa.ListArray.from_arrays(pa.array(np.arange(n_rows + 1) * len(perms), pa.int32()), pa.array(made.ravel()))
+                    yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], sig], names=[*keep, name])
+        finally:
+            trim()
 
     return df.mapInArrow(run, ddl)
 
