@@ -84,9 +84,10 @@ def test_trigrams_are_counted_without_a_shuffle(spark):
 
 
 def test_costly_columns_are_computed_once(spark):
-    counts = {"char_ratios": ("regexp_replace", 4)}
+    counts = {"char_ratios": ("regexp_replace", 4), "profile_b_collect": ("translate(", 5)}
     for name, (part, n) in counts.items():
         assert plan_of(plans.QUERIES[name](spark, SF)).count(part) == n, name
+    assert "&&" not in plan_of(plans.QUERIES["script_route"](spark, SF))
 
 
 def test_script_counts_and_tags_of_odd_texts(spark):

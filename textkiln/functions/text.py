@@ -30,6 +30,11 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def only(row: Column, keep) -> Column:
+    """The struct ``row`` in an array if ``keep`` holds for it, else an empty array, to be exploded: a filter on what is costly to compute goes below the projection that computes it, and there computes it again."""
+    return F.filter(F.array(row), keep)
+
+
 def strip(text: Column) -> Column:
     return sub(text, r"^\s+|\s+$")
 

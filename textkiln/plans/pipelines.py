@@ -9,6 +9,7 @@ from textkiln.functions import normalize as N
 from textkiln.functions import ranges as R
 from textkiln.functions import script as S
 from textkiln.functions import tags as G
+from textkiln.functions.text import only
 from textkiln.operators.order import seeded
 from textkiln.operators.storage import materialize
 from textkiln.plans.base import BN, SOURCES_SQL, bn, md5, n_of, query, sources, table
@@ -131,11 +132,11 @@ def profile_a_funnel(spark, d):
  bengali / greatest(1, letters)::DOUBLE AS bengali_ratio, latin / greatest(1, letters)::DOUBLE AS latin_ratio, assamese AS assamese_chars FROM counts c JOIN routed USING (doc_id) JOIN bn USING (doc_id) WHERE v NOT LIKE 'reject:%'""")
 def profile_b_collect(spark, d):
     """Profile B: route every document and tag what isn't rejected."""
-    c = S.script_counts(T())
+    c = F.col("r.counts")
     whole = F.greatest(F.lit(1), c["letters"])
-    rows = bn(spark, d).select("doc_id", "source", S.route(T()).alias("v"), (c["bengali"] / whole).alias("bengali_ratio"), (c["latin"] / whole).alias("latin_ratio"), c["assamese"].alias("assamese_chars"))
-    rows = rows.where("v.track <> 'reject'")
-    return rows.select("doc_id", "source", "v.track", S.script_label(F.col("bengali_ratio"), F.col("latin_ratio")).alias("script"), "bengali_ratio", "latin_ratio", "assamese_chars")
+    rows = bn(spark, d).select("doc_id", "source", F.explode(only(S.routed(T()), lambda r: r["verdict"]["track"] != "reject")).alias("r"))
+    rows = rows.select("doc_id", "source", "r.verdict.track", (c["bengali"] / whole).alias("bengali_ratio"), (c["latin"] / whole).alias("latin_ratio"), c["assamese"].alias("assamese_chars"))
+    return rows.select("doc_id", "source", "track", S.script_label(F.col("bengali_ratio"), F.col("latin_ratio")).alias("script"), "bengali_ratio", "latin_ratio", "assamese_chars")
 
 
 _BUCKET = """CASE WHEN regexp_matches(lower(license), 'train-only|tou|see-card') THEN 'train_only' WHEN regexp_matches(lower(license), 'verify per-item|pd-subset|cc-by-nc') THEN 'conditional'
