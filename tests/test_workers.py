@@ -114,3 +114,11 @@ def test_permutation_of_the_rare_hashes():
         found += len(x) - 2
         assert next(D.permuted(np.array(x, np.uint64), [(a, b)])).tolist() == [(a * y + b) % D.P61 % (1 << 32) for y in x]
     assert found > 100
+
+
+def test_shards_are_whole_over_batches(spark, tmp_path):
+    rows = spark.range(3000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("id"), F.concat(F.lit("লেখা "), F.repeat(F.lit("x"), 900)).alias("text"), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("source"), F.lit("web").alias("track"))
+    made = sorted(tuple(r) for r in sinks.write_named_shards(rows, str(tmp_path / "named"), "doc_id", 1500).collect())
+    assert made == [("a", "web", 0, "a-web-00000.jsonl.gz", 1000), ("b", "web", 0, "b-web-00000.jsonl.gz", 1500), ("b", "web", 1, "b-web-00001.jsonl.gz", 500)]
+    back = readers.read_jsonl(spark, str(tmp_path / "named"))
+    assert sorted(int(r["id"]) for r in back.where("length(text) = 905").select("id", "_corrupt").collect()) == list(range(3000))

@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import gzip
+import io
 import json
 import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textkiln.functions.workers import cuts, trim
 from textkiln.operators.order import numbered, size_chunks
-from textkiln.operators.storage import materialize
+from textkiln.operators.storage import materialize, text_batches
 
 
 def _system(uri: str) -> tuple[fs.FileSystem, str]:
@@ -56,27 +59,49 @@ def write_named_shards(df: DataFrame, folder: str, order: str, rows: int = 50_00
     fields = [c for c in df.columns]
     lines = sharded.select("source", "track", F.col("_shard").cast("long").alias("shard"), order, F.to_json(F.struct(*fields)).alias("line"))
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, held = None, []
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, docs, made = None, 0, []
 
-        def flush() -> pd.DataFrame:
-            name = f"{key[0]}-{key[1]}-{key[2]:05d}.jsonl.gz"
-            put(folder, name, gzip.compress(("\n".join(held) + "\n").encode(), 4, mtime=0))
-            return pd.DataFrame({"source": [key[0]], "track": [key[1]], "shard": [key[2]], "name": [name], "docs": [len(held)]})
-
-        for pdf in batches:
-            for source, track, shard, line in zip(pdf["source"], pdf["track"], pdf["shard"], pdf["line"], strict=True):
-                if (source, track, shard) != key:
-                    if held:
-                        yield flush()
-                    key, held = (source, track, shard), []
-                held.append(line)
-        if held:
-            yield flush()
+        def begin() -> None:
+            nonlocal data, shard_file
+            data = io.BytesIO()
+            shard_file = gzip.GzipFile(filename="", mode="wb", compresslevel=4, fileobj=data, mtime=0)
 
+        def flush() -> None:
+            name = f"{key[0]}-{key[1]}-{key[2]:05d}.jsonl.gz"
+            shard_file.close()
+            put(folder, name, data.getvalue())
+            made.append((*key, name, docs))
+
+        def told() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_pylist([dict(zip(schema.names, row, strict=True)) for row in made], schema)
+            made.clear()
+            return out
+
+        data = shard_file = None  # only compressed bytes of the open shard are held
+        try:
+            for batch in batches:
+                for at, n in cuts(batch.column("line")):
+                    part = batch.slice(at, n)
+                    for source, track, shard, line in zip(*[part.column(c).to_pylist() for c in ("source", "track", "shard", "line")], strict=True):
+                        if (source, track, shard) != key:
+                            if key:
+                                flush()
+                            key, docs = (source, track, shard), 0
+                            begin()
+                        shard_file.write(line.encode() + b"\n")
+                        docs += 1
+                yield told()
+            if key:
+                flush()
+            yield told()
+        finally:
+            trim()
+
+    schema = pa.schema([("source", pa.string()), ("track", pa.string()), ("shard", pa.int64()), ("name", pa.string()), ("docs", pa.int64())])
     keys = ["source", "track", "shard"]
     dealt = lines.repartition(*keys).sortWithinPartitions(*keys, order).drop(order)
-    return materialize(dealt.mapInPandas(write, "source string, track string, shard long, name string, docs long"), "named-shards")
+    return materialize(text_batches(dealt).mapInArrow(write, "source string, track string, shard long, name string, docs long"), "named-shards")
 
 
 def file_manifest(spark: SparkSession, path: str) -> DataFrame:
