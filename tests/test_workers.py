@@ -84,7 +84,7 @@ def test_trigrams_are_counted_without_a_shuffle(spark):
 
 
 def test_costly_columns_are_computed_once(spark):
-    counts = {"char_ratios": ("regexp_replace", 4), "profile_b_collect": ("translate(", 5)}
+    counts = {"char_ratios": ("regexp_replace", 4), "profanity": ("regexp_extract_all", 3), "profile_b_collect": ("translate(", 5)}
     for name, (part, n) in counts.items():
         assert plan_of(plans.QUERIES[name](spark, SF)).count(part) == n, name
     assert "&&" not in plan_of(plans.QUERIES["script_route"](spark, SF))
@@ -96,6 +96,7 @@ def test_script_counts_and_tags_of_odd_texts(spark):
     rows = column(spark, texts, S.script_facts)[1:]
     assert [tuple(r) for r in rows] == [(0, 0, 0, 0, 0, 0), (0, 5, 0, 0, 0, 5), (2, 0, 1, 0, 0, 3), (0, 0, 0, 3, 7, 7), (0, 0, 0, 0, 0, 0), (0, 14, 0, 0, 0, 14)]
     assert [r["per_visible"] for r in column(spark, ["অ a", None], S.bengali_ratios)] == [0.5, None]
+    assert [r["count"] for r in column(spark, texts, G.profanity)] == [None, 0, 0, 0, 0, 0, 2]
 
 
 def test_shared_hashes_give_the_same_signatures():
