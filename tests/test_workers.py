@@ -84,7 +84,7 @@ def test_trigrams_are_counted_without_a_shuffle(spark):
 
 
 def test_costly_columns_are_computed_once(spark):
-    counts = {"char_ratios": ("regexp_replace", 4), "profanity": ("regexp_extract_all", 3), "profile_b_collect": ("translate(", 5)}
+    counts = {"char_ratios": ("regexp_replace", 4), "profanity": ("regexp_extract_all", 3), "news_gate": ("translate(", 5), "profile_b_collect": ("translate(", 5)}
     for name, (part, n) in counts.items():
         assert plan_of(plans.QUERIES[name](spark, SF)).count(part) == n, name
     assert "&&" not in plan_of(plans.QUERIES["script_route"](spark, SF))
